@@ -8,19 +8,21 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as X
 
-N = F.count("*").cast("bigint")
+
+def _rows() -> Column:
+    return F.count("*").alias("n")
 
 
 def _dimensions(documents: DataFrame) -> DataFrame:
     """The corpus reduced to one row per combination of its low-cardinality fields."""
     return documents.groupBy("estado", "formato", "fenomeno", "idioma").agg(
-        N.alias("n"),
+        _rows(),
         F.sum("n_palabras").alias("palabras"),
         F.sum("n_caracteres").alias("caracteres"),
         F.count_if(F.coalesce("truncado", F.lit(False))).alias("truncados"),
@@ -117,7 +119,7 @@ def chunk_statistics(chunks: DataFrame) -> DataFrame:
     """One row: documents, chunks, chunks per document, mean sizes."""
     return chunks.agg(
         F.count_distinct("doc_id").cast("bigint").alias("documents"),
-        N.alias("chunks"),
+        _rows().alias("chunks"),
         F.avg("n_caracteres_chunk").alias("mean_chars"),
         F.avg("n_palabras_chunk").alias("mean_words"),
         F.avg("num_tokens").alias("mean_tokens"),
@@ -129,7 +131,7 @@ def chunk_statistics(chunks: DataFrame) -> DataFrame:
 
 def length_percentiles(rows: DataFrame, column: str = "num_tokens") -> DataFrame:
     """Exact median, 90th percentile and maximum, from a table of value counts."""
-    counted = rows.groupBy(column).agg(N.alias("n"))
+    counted = rows.groupBy(column).agg(_rows())
     return counted.agg(
         F.percentile(column, 0.5, F.col("n")).alias("p50"),
         F.percentile(column, 0.9, F.col("n")).alias("p90"),
@@ -145,7 +147,7 @@ def boundary_share(chunks: DataFrame) -> DataFrame:
     """
     ends = X.ends_sentence("texto")
     per_document = chunks.groupBy("doc_id", "idioma").agg(
-        N.alias("n"),
+        _rows(),
         F.count_if(ends).alias("ok"),
         F.max_by(ends, "posicion").alias("last_ok"),
         F.max("posicion").alias("last"),
@@ -163,7 +165,7 @@ def boundary_share(chunks: DataFrame) -> DataFrame:
 def fragments_within_limit(fragments: DataFrame, limit: int = V.FRAGMENT_WORDS) -> DataFrame:
     """Per query: fragments, and those no longer than ``limit`` words."""
     return fragments.groupBy("query_id").agg(
-        N.alias("n"),
+        _rows(),
         F.count_if(X.word_count("text") <= limit).cast("bigint").alias("within"),
     )
 

@@ -24,7 +24,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than cores, dealt out to all cores.
+
+    A large table has more splits than cores and is left as it is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:

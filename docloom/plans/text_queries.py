@@ -15,8 +15,9 @@ from docloom.plans.registry import as_pages, corpus, query, table
 # The documents are clean already, so the cleaning queries soil them first: accents
 # decomposed, odd and zero-width spaces, tabs, leader dots, control characters.
 SOIL = (
-    ("é", "é"), ("ñ", "ñ"), (", ", ", \t​ "), (" of ", " of­ "),
-    (".\n", " . . . . . 14\r\n\r\n\r\n \n"), (" la ", " \x07la\t\t"),
+    ("\u00e9", "e\u0301"), ("\u00f1", "n\u0303"), (", ", ",\u00a0\t\u200b "),
+    (" of ", "\u2003of\u00ad "), (".\n", " . . . . . 14\r\n\r\n\r\n \n"),
+    (" la ", " \x07la\t\t"),
 )
 
 
