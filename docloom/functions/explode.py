@@ -1,0 +1,21 @@
+"""Arrays to rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from docloom.functions.text import col
+
+
+def explode_items(
+    df: DataFrame, keep: list[str | Column], items: Column | str, pos: str, value: str
+) -> DataFrame:
+    """``keep``, the 0-based ``pos`` and the ``value`` of every array item.
+
+    From an inner explode Spark infers a filter on the array's size and pushes it to
+    the scan, which computes a derived array a second and third time.  The outer form
+    has no such inference; the row it makes for an empty array is dropped here.
+    """
+    rows = df.select(*keep, F.posexplode_outer(col(items)).alias(pos, value))
+    return rows.filter(F.col(pos).isNotNull()).withColumn(pos, F.col(pos).cast("bigint"))

@@ -13,6 +13,7 @@ from docloom import fixed_values as V
 from docloom import schemas
 from docloom.functions import pack
 from docloom.functions import text as X
+from docloom.functions.explode import explode_items
 from docloom.functions.segment import Segmenter, by_language
 
 
@@ -27,10 +28,9 @@ def sentences(
 ) -> DataFrame:
     """One row per sentence: the other columns, ``pos`` and ``oracion``."""
     rest = [c for c in documents.columns if c != text]
-    return (
-        documents.withColumn(text, X.clean_text(text))
-        .select(*rest, F.posexplode(segmenter(F.col(text), F.col(language))))
-        .select(*rest, F.col("pos").cast("bigint").alias("pos"), F.col("col").alias("oracion"))
+    cleaned = documents.withColumn(text, X.clean_text(text))
+    return explode_items(
+        cleaned, rest, segmenter(F.col(text), F.col(language)), "pos", "oracion"
     )
 
 
@@ -60,19 +60,17 @@ def chunk_documents(
             "doc_id", *inherited, _language(documents).alias("idioma"),
             X.clean_text("texto").alias("texto"),
         )
-        .filter(F.col("texto") != "")
         .withColumn("_sentences", segmenter(F.col("texto"), F.col("idioma")))
         .drop("texto")
         .withColumn("_chunks", pack.pack_chunks("_sentences", limit))
         .drop("_sentences")
     )
-    exploded = packed.select(
-        "*", F.size("_chunks").alias("_n"), F.posexplode("_chunks").alias("posicion", "texto")
-    )
+    keep = ["doc_id", *V.INHERITED, F.size("_chunks").alias("_n")]
+    exploded = explode_items(packed, keep, "_chunks", "posicion", "texto")
     return exploded.select(
         X.chunk_id("doc_id", "posicion").alias("chunk_id"),
         "doc_id",
-        F.col("posicion").cast("bigint").alias("posicion"),
+        "posicion",
         "texto",
         count_tokens("texto").alias("num_tokens"),
         *V.INHERITED,
@@ -87,10 +85,9 @@ def fragment_chunks(
 ) -> DataFrame:
     """Fragments of each chunk's text: the other columns, ``frag_pos`` and ``text``."""
     rest = [c for c in chunks.columns if c not in ("texto", "idioma")]
-    return (
-        chunks.withColumn("_sentences", segmenter(F.col("texto"), _language(chunks)))
-        .select(*rest, F.posexplode(pack.pack_fragments("texto", "_sentences", limit)))
-        .select(*rest, F.col("pos").cast("bigint").alias("frag_pos"), F.col("col").alias("text"))
+    cut = chunks.withColumn("_sentences", segmenter(F.col("texto"), _language(chunks)))
+    return explode_items(
+        cut, rest, pack.pack_fragments("texto", "_sentences", limit), "frag_pos", "text"
     )
 
 

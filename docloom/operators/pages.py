@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as X
+from docloom.functions.explode import explode_items
 
 _SALTS = 16
 
@@ -36,7 +37,7 @@ def boilerplate(
     variants of a line on one page count twice; blank pages count as pages.
     """
     signatures = (
-        pages.select("doc_id", F.explode(margin_lines("texto", margin)).alias("linea"))
+        explode_items(pages, ["doc_id"], margin_lines("texto", margin), "pos", "linea")
         .select("doc_id", X.line_signature("linea").alias("firma"))
         .filter(F.length("firma").between(1, V.MAX_SIGNATURE))
         .groupBy("doc_id", "firma")

@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 from docloom.operators.compact import first_per_group
 
 MAX_QUERY_BYTES = 64 << 20
+# The last bits of a product depend on where a row lies in its batch.  Without them
+# equal vectors score the same, and ties fall to the row id on every run.
+_SCORE_DECIMALS = 10
 _SCORES_AT_ONCE = 4_000_000
 _HELD_CANDIDATES = 2_000_000
 _QUERIES_PER_BLOCK = 1024
@@ -39,7 +42,7 @@ class _Best:
     def add(self, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
         step = max(1, _SCORES_AT_ONCE // max(1, len(queries)))
         for at in range(0, len(ids), step):
-            scores = queries @ vectors[at : at + step].T
+            scores = np.round(queries @ vectors[at : at + step].T, _SCORE_DECIMALS)
             floor = self.floor
             first = np.isneginf(floor).any()
             if first and scores.shape[1] > self.k:

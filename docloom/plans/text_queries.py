@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docloom import fixed_values as V
 from docloom.functions import segment
 from docloom.functions import text as X
+from docloom.functions.explode import explode_items
 from docloom.operators import chunks as C
 from docloom.operators.pages import boilerplate, ordered_text, strip_page_lines
 from docloom.plans import sql as Q
@@ -36,9 +37,7 @@ def _soiled_sql(x: str) -> str:
 def _lines(spark, folder):
     """Lines of all documents with their position."""
     rows = table(spark, folder, "documents")
-    return rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "linea")).select(
-        "doc_id", F.col("pos").cast("bigint").alias("pos"), "linea"
-    )
+    return explode_items(rows, ["doc_id"], F.split("text", "\n"), "pos", "linea")
 
 
 LINES = """lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS linea,
@@ -254,10 +253,7 @@ kept AS (SELECT doc_id, linea, pos FROM menu WHERE NOT ({Q.strip('linea')} <> ''
 )
 def menu_lines(spark, folder):
     rows = table(spark, folder, "documents").select("doc_id", F.split("text", "\n").alias("_lines"))
-    kept = rows.select("doc_id", X.drop_repeated_menu_lines("_lines").alias("_kept"))
-    return kept.select("doc_id", F.posexplode("_kept").alias("pos", "linea")).select(
-        "doc_id", F.col("pos").cast("bigint").alias("pos"), "linea"
-    )
+    return explode_items(rows, ["doc_id"], X.drop_repeated_menu_lines("_lines"), "pos", "linea")
 
 
 PREAMBLE = f"""num AS (SELECT doc_id, linea, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS i FROM kept),
