@@ -96,8 +96,8 @@ def token_bucket(tokens: Column | str) -> Column:
     return F.when(X.col(tokens) <= V.SHORT_TOKENS, F.lit("short")).otherwise(F.lit("long"))
 
 
-def metadata_records(chunks: DataFrame) -> DataFrame:
-    """Metadata of the index: required fields, the extra ones present, nothing else.
+def metadata_records(chunks: DataFrame, *also: str) -> DataFrame:
+    """Metadata of the index: required fields, the extra ones present, ``also``, no others.
 
     A missing required column fails when the plan is analysed.
     """
@@ -107,6 +107,7 @@ def metadata_records(chunks: DataFrame) -> DataFrame:
         *[F.col(c).cast("bigint").alias(c) if c in numbers else F.col(c)
           for c in V.METADATA_REQUIRED],
         *extra,
+        *also,
     )
 
 
