@@ -62,13 +62,17 @@ def trigram_profiles(labelled: DataFrame, text: str = "texto", language: str = "
     Trigrams are counted map-side over whole texts; what is kept per language has
     a fixed size.
     """
-    lowered = F.lower(text)
-    grams = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(lowered) - GRAM + 1, F.lit(1))),
-        lambda i: F.substring(lowered, i, F.lit(GRAM)),
+    chars = labelled.select(
+        F.col(language).alias("idioma"), F.split(F.lower(text), "").alias("_chars")
     )
+    starts = F.slice("_chars", F.lit(1), F.greatest(F.size("_chars") - GRAM + 1, F.lit(1)))
+
+    def gram(first: Column, i: Column) -> Column:
+        rest = [F.coalesce(F.get("_chars", i + n), F.lit("")) for n in range(1, GRAM)]
+        return F.concat(first, *rest)
+
     counted = (
-        explode_items(labelled, [F.col(language).alias("idioma")], grams, "pos", "gram")
+        explode_items(chars, ["idioma"], F.transform(starts, gram), "pos", "gram")
         .groupBy("idioma", "gram")
         .agg(F.count("*").alias("n"))
     )
