@@ -1,7 +1,9 @@
-"""Arrays to rows."""
+"""Arrays to rows, and values bound once."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,3 +21,8 @@ def explode_items(
     """
     rows = df.select(*keep, F.posexplode_outer(col(items)).alias(pos, value))
     return rows.filter(F.col(pos).isNotNull()).withColumn(pos, F.col(pos).cast("bigint"))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once for a body that uses it several times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

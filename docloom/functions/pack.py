@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
+from docloom.functions.explode import let
 from docloom.functions.text import StrCol, col, stripped_word_count, strip
 
 # A fold copies its state at every step, so the growing list of starts is carried
@@ -58,11 +59,6 @@ def piece_starts(weights: Column, limit: int) -> Column:
     )
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once for a body that uses it several times."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def pack(sentences: StrCol, weight: Callable[[Column], Column], limit: int) -> Column:
     """Array of pieces, each its sentences joined by a space."""
     sents = col(sentences)
@@ -73,8 +69,8 @@ def pack(sentences: StrCol, weight: Callable[[Column], Column], limit: int) -> C
             starts, ends, lambda a, b: F.array_join(F.slice(sents, a + 1, b - a), " ")
         )
 
-    starts = _let(F.transform(sents, weight), lambda w: piece_starts(w, limit))
-    pieces = _let(starts, cut)
+    starts = let(F.transform(sents, weight), lambda w: piece_starts(w, limit))
+    pieces = let(starts, cut)
     return F.when(F.size(sents) > 0, pieces).otherwise(F.array().cast("array<string>"))
 
 

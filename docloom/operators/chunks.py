@@ -43,10 +43,11 @@ def chunk_documents(
     documents: DataFrame,
     segmenter: Segmenter = by_language,
     limit: int = V.CHUNK_CHARS,
-    count_tokens=X.word_count,
+    count_tokens=None,
 ) -> DataFrame:
     """Chunk table of a document table, with the fields chunks inherit.
 
+    ``count_tokens`` is a Column function of the text; without one, tokens are words.
     Documents whose phenomenon is NULL keep their chunks.  ``last`` marks the last
     chunk of its document, known here for free.
     """
@@ -66,16 +67,18 @@ def chunk_documents(
         .drop("_sentences")
     )
     keep = ["doc_id", *V.INHERITED, F.size("_chunks").alias("_n")]
-    exploded = explode_items(packed, keep, "_chunks", "posicion", "texto")
+    exploded = explode_items(packed, keep, "_chunks", "posicion", "texto").withColumn(
+        "_words", X.stripped_word_count("texto").cast("bigint")
+    )
     return exploded.select(
         X.chunk_id("doc_id", "posicion").alias("chunk_id"),
         "doc_id",
         "posicion",
         "texto",
-        count_tokens("texto").alias("num_tokens"),
+        (count_tokens("texto") if count_tokens else F.col("_words")).alias("num_tokens"),
         *V.INHERITED,
         X.char_count("texto").alias("n_caracteres_chunk"),
-        X.word_count("texto").alias("n_palabras_chunk"),
+        F.col("_words").alias("n_palabras_chunk"),
         (F.col("posicion") == F.col("_n") - 1).alias("last"),
     )
 

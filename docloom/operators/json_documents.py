@@ -7,13 +7,20 @@ read again as a map, because a VARIANT object sorts its keys.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as X
+from docloom.functions.explode import let
+
+# Top-level fields, each taken out of the parsed file once.
+_FIELDS = (
+    "title", "titulo", "url", "source_url", "date", "authors", "tags", "topics", "categories",
+    "keywords", "body_paragraphs", "body_text", "sections", "lists", "abstract", "content",
+    "excerpt", "metadata", "alerta_meta",
+)
+_INNER = {"metadata": ("title", "description"), "alerta_meta": ("tipo", "municipios", "fecha_emision")}
 
 # JSON texts of values that count as absent.
 _FALSY = ("null", '""', "0", "-0", "0.0", "-0.0", "false", "[]", "{}")
@@ -52,9 +59,11 @@ def _printed(v: Column, kind: Column) -> Column:
     """
 
     def item(x: Column) -> Column:
-        text = F.try_variant_get(x, "$", "string")
-        quoted = F.concat(F.lit("'"), text, F.lit("'"))
-        return F.when(_kind(x) == "STRING", quoted).otherwise(_printed_scalar(x, _kind(x)))
+        def quoted(k: Column) -> Column:
+            text = F.concat(F.lit("'"), F.try_variant_get(x, "$", "string"), F.lit("'"))
+            return F.when(k == "STRING", text).otherwise(_printed_scalar(x, k))
+
+        return let(_kind(x), quoted)
 
     items = F.transform(F.try_variant_get(v, "$", "array<variant>"), item)
     listed = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
@@ -73,8 +82,11 @@ def _printed_scalar(v: Column, kind: Column) -> Column:
 
 def _scalar(v: Column) -> Column:
     """Stripped text of a string, number or boolean; NULL when blank or anything else."""
-    kind = _kind(v)
-    return F.when(_is_scalar(kind), F.nullif(X.strip(_printed(v, kind)), F.lit("")))
+
+    def printed(kind: Column) -> Column:
+        return F.when(_is_scalar(kind), F.nullif(X.strip(_printed_scalar(v, kind)), F.lit("")))
+
+    return let(_kind(v), printed)
 
 
 def _string(v: Column) -> Column:
@@ -89,8 +101,8 @@ def _truthy(v: Column) -> Column:
 
 def _any_text(v: Column) -> Column:
     """Unstripped text of any value that is set."""
-    set_value = _truthy(v)
-    return F.when(set_value.isNotNull(), _printed(set_value, _kind(set_value)))
+    printed = let(_kind(v), lambda kind: _printed(v, kind))
+    return F.when(~F.coalesce(F.to_json(v), F.lit("null")).isin(*_FALSY), printed)
 
 
 def _paragraphs(v: Column) -> Column:
@@ -102,7 +114,10 @@ def _paragraphs(v: Column) -> Column:
 
 def _joined_list(v: Column) -> Column:
     """Items of a non-empty list joined by '; ', NULL without such a list."""
-    texts = F.transform(_as_list(v), lambda x: X.strip(_printed(x, _kind(x))))
+    def text(x: Column) -> Column:
+        return X.strip(let(_kind(x), lambda kind: _printed(x, kind)))
+
+    texts = F.transform(_as_list(v), text)
     return F.array_join(F.filter(texts, lambda t: t != ""), "; ")
 
 
@@ -117,23 +132,25 @@ def _appended(lists: list[Column]) -> Column:
     return F.when(F.size(present) > 0, F.aggregate(present, F.lit(""), append))
 
 
-def _insert_second(parts: Column, text: Column) -> Column:
+def _insert_second(rows: DataFrame, text: Column) -> DataFrame:
     """Put a text after the first part, or at the end when there is none."""
-    at = F.least(F.size(parts) + 1, F.lit(2))
-    return F.when(text.isNull(), parts).otherwise(F.array_insert(parts, at, text))
+    at = F.least(F.size("_parts") + 1, F.lit(2))
+    both = rows.withColumn("_new", text)
+    added = F.array_insert(F.col("_parts"), at, F.col("_new"))
+    return both.withColumn("_parts", F.when(F.col("_new").isNull(), F.col("_parts")).otherwise(added))
 
 
-def _section_list(v: Column) -> Column:
+def _section_list(sections: Column, lists: Column) -> Column:
     """Heading and paragraphs of every section object, then the free lists."""
 
     def block(section: Column) -> Column:
-        head = X.strip(F.coalesce(_any_text(_at(section, "heading")), F.lit("")))
-        body = _paragraphs(_at(section, "paragraphs"))
-        both = F.when((head != "") & (body != ""), F.concat(head, F.lit("\n\n"), body))
-        return F.when(_is_object(section), X.strip(F.coalesce(both, F.concat(head, body))))
+        head = let(_at(section, "heading"), lambda h: X.strip(_any_text(h)))
+        body = let(_at(section, "paragraphs"), _paragraphs)
+        parts = F.filter(F.array(head, body), lambda t: t.isNotNull() & (t != ""))
+        return F.when(_is_object(section), X.strip(F.array_join(parts, "\n\n")))
 
-    blocks = F.transform(_as_list(_at(v, "sections")), block)
-    rest = F.array(_paragraphs(_at(v, "lists")))
+    blocks = F.transform(_as_list(sections), block)
+    rest = F.array(_paragraphs(lists))
     return F.filter(F.concat(blocks, rest), lambda t: t.isNotNull() & (t != ""))
 
 
@@ -194,122 +211,110 @@ def json_documents(files: DataFrame, raw: str = "raw") -> DataFrame:
     Added: titulo, url, fecha, autores, etiquetas, subtipo_json, texto, estado,
     detalle, filas_totales.  Text that is not JSON gives an ``error`` row.
     """
-    v, src = F.col("_v"), F.col(raw)
-    parsed = files.withColumn("_v", F.try_parse_json(raw)).withColumn(
-        "_list", F.try_variant_get(F.col("_v"), "$", "array<variant>")
+    src = F.col(raw)
+    parsed = files.withColumn("_v", F.try_parse_json(raw))
+    parsed = parsed.withColumns(
+        {
+            "_list": F.try_variant_get("_v", "$", "array<variant>"),
+            "_object": F.coalesce(_is_object(F.col("_v")), F.lit(False)),
+            **{f"_{n}": _at(F.col("_v"), n) for n in _FIELDS},
+        }
     )
-    is_list = F.col("_list").isNotNull()
-    records = _is_object(F.get("_list", F.lit(0)))
-    alert = _at(v, "alerta_meta")
-    has_alert = _as_set_object(alert)
-
-    # Which body the document has, by precedence.
-    parsed = parsed.withColumn(
-        "_body",
-        F.when(v.isNull(), F.lit("error"))
-        .when(is_list & (F.size("_list") == 0), F.lit("catalogo_vacio"))
-        .when(is_list, F.lit("catalogo_lista"))
-        .when(~_is_object(v), F.lit("desconocido"))
-        .when(_as_list(v, "$.body_paragraphs").isNotNull(), F.lit("articulo"))
-        .when(_string(_at(v, "body_text")).isNotNull(), F.lit("articulo_texto"))
-        .when(_as_list(v, "$.sections").isNotNull(), F.lit("pagina_secciones"))
-        .when(_string(_at(v, "abstract")).isNotNull(), F.lit("resumen_academico"))
-        .when(_is_object(_at(v, "content")), F.lit("reporte_secciones"))
-        .when(_string(_at(v, "excerpt")).isNotNull(), F.lit("solo_extracto"))
-        .otherwise(F.lit("sin_cuerpo")),
+    field = {n: F.col(f"_{n}") for n in _FIELDS}
+    parsed = parsed.withColumns(
+        {
+            "_records": F.coalesce(_is_object(F.get("_list", F.lit(0))), F.lit(False)),
+            "_alert": _is_set_object(field["alerta_meta"]),
+            # A title that is set but not a text still hides the other one.
+            "_title": F.coalesce(_truthy(field["title"]), field["titulo"]),
+            "_body": _body_kind(field),
+            **{f"_{o}_{n}": _at(field[o], n) for o, names in _INNER.items() for n in names},
+        }
     )
-    is_object = ~F.col("_body").isin("error", "catalogo_vacio", "catalogo_lista", "desconocido")
-    report = F.col("_body") == "reporte_secciones"
-    inner = _at(v, "metadata")
-
-    parsed = (
-        parsed.withColumn(
-            "_title",
-            F.when(is_object, _string(F.coalesce(_truthy(_at(v, "title")), _at(v, "titulo")))),
-        )
-        .withColumn(
-            "_parts",
-            F.when(F.col("_body") == "articulo", F.array(_paragraphs(_at(v, "body_paragraphs"))))
-            .when(F.col("_body") == "articulo_texto", F.array(_string(_at(v, "body_text"))))
-            .when(F.col("_body") == "pagina_secciones", _section_list(v))
-            .when(F.col("_body") == "resumen_academico", F.array(_string(_at(v, "abstract"))))
+    body, alert = F.col("_body"), F.col("_alert")
+    report = body == "reporte_secciones"
+    inner = {n: F.col(f"_metadata_{n}") for n in _INNER["metadata"]}
+    warned = {n: F.col(f"_alerta_meta_{n}") for n in _INNER["alerta_meta"]}
+    nothing = F.array().cast("array<string>")
+
+    parsed = parsed.withColumns(
+        {
+            "_head": F.when(F.col("_object"), _string(F.col("_title"))),
+            "_parts": F.when(body == "articulo", F.array(_paragraphs(field["body_paragraphs"])))
+            .when(body == "articulo_texto", F.array(_string(field["body_text"])))
+            .when(body == "pagina_secciones", _section_list(field["sections"], field["lists"]))
+            .when(body == "resumen_academico", F.array(_string(field["abstract"])))
             .when(report, _section_map(src))
-            .when(F.col("_body") == "solo_extracto", F.array(_string(_at(v, "excerpt"))))
-            .when((F.col("_body") == "catalogo_lista") & records, F.array(_record_lines(src)))
-            .otherwise(F.array().cast("array<string>")),
-        )
-        .withColumn(
-            "_parts",
-            F.concat(
-                F.when(F.col("_title").isNotNull(), F.array("_title")).otherwise(
-                    F.array().cast("array<string>")
-                ),
-                "_parts",
-            ),
-        )
-        .withColumn(
-            "_parts",
-            _insert_second(
-                F.col("_parts"),
-                F.when(report, X.strip(_any_text(_at(inner, "description")))),
-            ),
-        )
-        .withColumn(
-            "_parts", _insert_second(F.col("_parts"), F.when(has_alert, _alert_text(alert)))
-        )
+            .when(body == "solo_extracto", F.array(_string(field["excerpt"])))
+            .when((body == "catalogo_lista") & F.col("_records"), F.array(_record_lines(src)))
+            .otherwise(nothing),
+        }
     )
-
-    subtype = (
-        F.when(has_alert, F.lit("alerta_temprana"))
-        .when(F.col("_body") == "articulo_texto", F.lit("articulo"))
-        .when(F.col("_body") != "error", F.col("_body"))
+    parsed = parsed.withColumn(
+        "_parts",
+        F.concat(F.when(F.col("_head").isNotNull(), F.array("_head")).otherwise(nothing), "_parts"),
     )
-    text = F.array_join(F.filter("_parts", lambda p: ~X.is_blank(p)), "\n\n")
+    parsed = _insert_second(parsed, F.when(report, X.strip(_any_text(inner["description"]))))
+    parsed = _insert_second(parsed, F.when(alert, _alert_text(warned)))
+
     made = {
-        "titulo": F.coalesce(
-            F.col("_title"), F.when(report, X.strip(_any_text(_at(inner, "title"))))
-        ),
-        "url": F.coalesce(_scalar(_at(v, "url")), _scalar(_at(v, "source_url"))),
+        "titulo": F.coalesce(F.col("_head"), F.when(report, X.strip(_any_text(inner["title"])))),
+        "url": F.coalesce(_scalar(field["url"]), _scalar(field["source_url"])),
         "fecha": F.coalesce(
-            _scalar(_at(v, "date")),
-            F.when(has_alert, X.strip(_any_text(_at(alert, "fecha_emision")))),
+            _scalar(field["date"]), F.when(alert, X.strip(_any_text(warned["fecha_emision"])))
         ),
-        "autores": _joined_list(_at(v, "authors")),
+        "autores": _joined_list(field["authors"]),
         "etiquetas": _appended(
-            [_joined_list(_at(v, n)) for n in ("tags", "topics", "categories", "keywords")]
+            [_joined_list(field[n]) for n in ("tags", "topics", "categories", "keywords")]
         ),
     }
+    failed = body == "error"
     out = parsed.select(
         *[c for c in files.columns if c != raw and c not in made],
-        *[F.when(is_object, e).alias(n) for n, e in made.items()],
-        subtype.alias("subtipo_json"),
-        text.alias("texto"),
-        F.when(F.col("_body") == "catalogo_lista", F.when(records, F.size("_list").cast("bigint")))
-        .alias("filas_totales"),
-        (F.col("_body") == "error").alias("_bad"),
+        *[F.when(F.col("_object"), e).alias(n) for n, e in made.items()],
+        F.when(alert, F.lit("alerta_temprana"))
+        .when(body == "articulo_texto", F.lit("articulo"))
+        .when(~failed, body)
+        .alias("subtipo_json"),
+        F.array_join(F.filter("_parts", lambda p: ~X.is_blank(p)), "\n\n").alias("texto"),
+        F.when(F.col("_records"), F.size("_list").cast("bigint")).alias("filas_totales"),
+        F.when(failed, F.lit("JSONDecodeError")).alias("detalle"),
     )
+    return out.withColumn(
+        "estado",
+        F.when(F.col("detalle").isNotNull(), F.lit("error"))
+        .when(~X.is_blank("texto"), F.lit("ok"))
+        .otherwise(F.lit("vacio")),
+    )
+
+
+def _body_kind(field: dict[str, Column]) -> Column:
+    """Which body a file has, by precedence."""
     return (
-        out.withColumn(
-            "estado",
-            F.when(F.col("_bad"), F.lit("error"))
-            .when(~X.is_blank("texto"), F.lit("ok"))
-            .otherwise(F.lit("vacio")),
-        )
-        .withColumn("detalle", F.when(F.col("_bad"), F.lit("JSONDecodeError")))
-        .drop("_bad")
+        F.when(F.col("_v").isNull(), F.lit("error"))
+        .when(F.size("_list") == 0, F.lit("catalogo_vacio"))
+        .when(F.col("_list").isNotNull(), F.lit("catalogo_lista"))
+        .when(~F.col("_object"), F.lit("desconocido"))
+        .when(_as_list(field["body_paragraphs"]).isNotNull(), F.lit("articulo"))
+        .when(_string(field["body_text"]).isNotNull(), F.lit("articulo_texto"))
+        .when(_as_list(field["sections"]).isNotNull(), F.lit("pagina_secciones"))
+        .when(_string(field["abstract"]).isNotNull(), F.lit("resumen_academico"))
+        .when(_is_object(field["content"]), F.lit("reporte_secciones"))
+        .when(_string(field["excerpt"]).isNotNull(), F.lit("solo_extracto"))
+        .otherwise(F.lit("sin_cuerpo"))
     )
 
 
-def _as_set_object(v: Column) -> Column:
+def _is_set_object(v: Column) -> Column:
     filled = F.size(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))) > 0
     return F.coalesce(filled, F.lit(False))
 
 
-def _alert_text(alert: Column) -> Column:
+def _alert_text(warned: dict[str, Column]) -> Column:
     """Kind of alert and municipalities, NULL when neither is set."""
-    said = [
-        F.concat(F.lit(label), _any_text(_at(alert, name)))
-        for label, name in (("Tipo de alerta: ", "tipo"), ("Municipios: ", "municipios"))
-    ]
-    some = reduce(Column.__or__, [s.isNotNull() for s in said])
-    return F.when(some, F.concat(F.concat_ws(". ", *said), F.lit(".")))
+    said = F.concat_ws(
+        ". ",
+        F.concat(F.lit("Tipo de alerta: "), _any_text(warned["tipo"])),
+        F.concat(F.lit("Municipios: "), _any_text(warned["municipios"])),
+    )
+    return let(said, lambda t: F.when(t != "", F.concat(t, F.lit("."))))

@@ -15,6 +15,7 @@ from docloom.functions.segment import Segmenter, by_language
 from docloom.operators.chunks import fragment_chunks
 from docloom.operators.compact import first_per_group
 from docloom.operators.search import MAX_QUERY_BYTES, top_k
+from docloom.session import cut_lineage
 
 # A pool of this many rows is a few tens of megabytes and safe to broadcast.
 _BROADCAST_POOL = 500_000
@@ -62,18 +63,29 @@ def search(
     queries: DataFrame, index: DataFrame, metadata: DataFrame, k: int = 10,
     max_query_bytes: int = MAX_QUERY_BYTES,
 ) -> DataFrame:
-    """Metadata of the ``k`` best chunks of every query, with ``rank`` and ``score``."""
+    """Metadata of the ``k`` best chunks of every query, with ``rank`` and ``score``.
+
+    Metadata with a ``row_id`` is joined directly; otherwise the index gives chunk ids.
+    """
     ranked = top_k(queries, index, k, max_query_bytes=max_query_bytes)
-    keyed = with_metadata(ranked, index.select("row_id", "chunk_id"), "row_id", queries.count() * k)
-    return with_metadata(keyed.drop("row_id"), metadata, "chunk_id", queries.count() * k)
+    rows = queries.count() * k
+    if "row_id" not in metadata.columns:
+        keys = index.select("row_id", "chunk_id")
+        ranked = with_metadata(ranked, keys, "row_id", rows).drop("row_id")
+        return with_metadata(ranked, metadata, "chunk_id", rows)
+    return with_metadata(ranked, metadata, "row_id", rows).drop("row_id")
 
 
 def answer(
     queries: DataFrame, index: DataFrame, metadata: DataFrame, pool: int = V.POOL,
     segmenter: Segmenter = by_language,
 ) -> DataFrame:
-    """(query_id, documents, fragments): the nested answer of every query, by query."""
-    found = search(queries, index, metadata, pool)
+    """(query_id, documents, fragments): the nested answer of every query, by query.
+
+    The pool is used twice, for documents and for fragments, so the search result (a
+    few rows per query) is materialised and the vectors are read once.
+    """
+    found = cut_lineage(search(queries, index, metadata, pool))
     return nest(queries, rank_documents(found), rank_fragments(found, segmenter=segmenter))
 
 

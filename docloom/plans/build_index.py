@@ -13,6 +13,7 @@ from docloom.operators import encode, retrieve
 from docloom.operators.chunks import assert_sources, chunk_documents, metadata_records, valid_documents
 from docloom.operators.compact import pending
 from docloom.operators.row_ids import with_row_id
+from docloom.session import cut_lineage
 from docloom.sources.index import load_index, write_index
 
 
@@ -54,16 +55,19 @@ def build_index(
     stored = None if force else _existing(spark, cache)
     made = encode.encode_missing(checked, stored, encoder)
     made.write.mode("overwrite" if stored is None else "append").parquet(cache)
-    keyed = encode.with_cache_key(checked, encoder)
+    # Only keys are ordered; texts and vectors meet their number in a keyed join.
+    keys = with_row_id(chunks.select("chunk_id", "doc_id", "posicion"), ["doc_id", "posicion"])
+    numbers = keys.select("chunk_id", "row_id")
     vectors = spark.read.parquet(cache).dropDuplicates(encode.CACHE_KEY)
-    numbered = with_row_id(
-        keyed.join(assert_unit(vectors), encode.CACHE_KEY).drop("text_hash"), ["doc_id", "posicion"]
+    current = encode.with_cache_key(checked, encoder).select(*encode.CACHE_KEY)
+    index = current.join(assert_unit(vectors), encode.CACHE_KEY).join(numbers, "chunk_id")
+    write_index(
+        index.select(
+            "row_id", "chunk_id", "encoder_id", F.col("vector").cast("array<float>").alias("vector")
+        ),
+        metadata_records(checked).join(numbers, "chunk_id"),
+        out,
     )
-    index = numbered.select(
-        "row_id", "chunk_id", "encoder_id", F.col("vector").cast("array<float>").alias("vector")
-    )
-    # The numbered rows are checkpointed, so both tables come from the same numbering.
-    write_index(index, metadata_records(numbered, "row_id"), out)
 
 
 def answer_queries(
@@ -72,8 +76,8 @@ def answer_queries(
 ) -> DataFrame:
     """Nested answers of (query_id, text) rows from an index made by the same encoder."""
     index, metadata = load_index(spark, folder, encoder.encoder_id)
-    vectors = encode.encode_texts(queries, encoder, ["query_id"], text)
-    return retrieve.answer(vectors, index, metadata.drop("row_id"), pool)
+    vectors = cut_lineage(encode.encode_texts(queries, encoder, ["query_id"], text))
+    return retrieve.answer(vectors, index, metadata, pool)
 
 
 def search_queries(
@@ -82,5 +86,5 @@ def search_queries(
 ) -> DataFrame:
     """Metadata of the ``k`` best chunks of every query."""
     index, metadata = load_index(spark, folder, encoder.encoder_id)
-    vectors = encode.encode_texts(queries, encoder, ["query_id"], text)
-    return retrieve.search(vectors, index, metadata.drop("row_id"), k)
+    vectors = cut_lineage(encode.encode_texts(queries, encoder, ["query_id"], text))
+    return retrieve.search(vectors, index, metadata, k)

@@ -14,6 +14,7 @@ from docloom.operators.row_ids import with_row_id
 from docloom.operators.stats import fragments_within_limit
 from docloom.plans import sql as Q
 from docloom.plans.registry import corpus, query, table
+from docloom.session import cut_lineage
 from docloom.sources.index import alignment
 
 DIM = 64
@@ -242,14 +243,16 @@ frags AS (SELECT query_id, chunk_id, doc_id, text, row_number() OVER (PARTITION
 )
 def answers(spark, folder):
     encoder = encode.HashingEncoder(DIM)
-    chunks = C.chunk_documents(corpus(spark, folder))
-    numbered = with_row_id(chunks, ["doc_id", "posicion"])
+    # Chunks are a stored table in use; here they are made once and kept the same way.
+    chunks = cut_lineage(C.chunk_documents(corpus(spark, folder)))
+    keys = with_row_id(chunks.select("chunk_id", "doc_id", "posicion"), ["doc_id", "posicion"])
+    numbered = chunks.join(keys.select("chunk_id", "row_id"), "chunk_id")
     index = encode.encode_texts(numbered, encoder, ["row_id", "chunk_id"], tokens="num_tokens")
     asked = table(spark, folder, "benchmark").select(
         F.col("item_id").cast("string").alias("query_id"), "text"
     )
-    queries = encode.encode_texts(asked, encoder, ["query_id"], "text")
-    nested = retrieve.answer(queries, index, numbered.drop("row_id"))
+    queries = cut_lineage(encode.encode_texts(asked, encoder, ["query_id"], "text"))
+    nested = cut_lineage(retrieve.answer(queries, index, numbered))
     documents = nested.select("query_id", F.inline("documents")).select(
         "query_id", F.lit("document").alias("kind"), "rank", "doc_id",
         F.lit(None).cast("string").alias("chunk_id"), F.lit(None).cast("string").alias("text"),
