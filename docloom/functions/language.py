@@ -19,7 +19,7 @@ from pyspark.sql.types import StringType
 
 from docloom import fixed_values as V
 from docloom.functions import text as X
-from docloom.functions.explode import explode_items
+from docloom.functions.arrays import explode_items
 from docloom.operators.compact import first_per_group
 
 GRAM = 3

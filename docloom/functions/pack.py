@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
-from docloom.functions.explode import let
+from docloom.functions.arrays import let
 from docloom.functions.text import StrCol, col, stripped_word_count, strip
 
 # A fold copies its state at every step, so the growing list of starts is carried

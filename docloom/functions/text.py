@@ -10,14 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
+from docloom.functions.arrays import StrCol, col, let
 from docloom.functions.nfc import to_nfc
 
-StrCol = Column | str
-
-
-def col(c: StrCol) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
 
 def strip(c: StrCol) -> Column:
     return F.trim(col(c), F.lit(V.BLANKS))
@@ -193,8 +188,12 @@ def chunk_id(doc_id: StrCol, position: StrCol) -> Column:
 
 def first_words(c: StrCol, n: int = V.ENCODE_WORDS) -> Column:
     """The first ``n`` words joined by spaces, only where the text has more."""
-    w = words(c)
-    return F.when(F.size(w) > n, F.array_join(F.slice(w, 1, n), " ")).otherwise(col(c))
+
+    def cut(w: Column) -> Column:
+        return F.when(F.size(w) > n, F.array_join(F.slice(w, 1, n), " ")).otherwise(col(c))
+
+    # The split stops after n words, the rest is one last piece.
+    return let(F.split(strip(c), f"{V.WS}+", n + 1), cut)
 
 
 def document_title(c: StrCol) -> Column:

@@ -13,7 +13,7 @@ from docloom import fixed_values as V
 from docloom import schemas
 from docloom.functions import pack
 from docloom.functions import text as X
-from docloom.functions.explode import explode_items
+from docloom.functions.arrays import explode_items
 from docloom.functions.segment import Segmenter, by_language
 
 

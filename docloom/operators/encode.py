@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom import fixed_values as V
-from docloom.functions import text as X
 from docloom.operators.chunks import token_bucket
 
 
@@ -83,14 +82,22 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return wide.astype(np.float32)
 
 
-def _encode_batches(df: DataFrame, encoder: Encoder, keys: list[str]) -> DataFrame:
+def _cut(text: str, max_words: int) -> str:
+    parts = text.split(None, max_words)
+    return " ".join(parts[:max_words]) if len(parts) > max_words else text
+
+
+def _encode_batches(
+    df: DataFrame, encoder: Encoder, keys: list[str], max_words: int
+) -> DataFrame:
     """Encode ``_text``; rows of one ``_batch`` size are encoded together."""
     schema = T.StructType(
         [df.schema[k] for k in keys] + [T.StructField("vector", T.ArrayType(T.FloatType()))]
     )
 
     def encoded(part: pa.RecordBatch) -> pa.RecordBatch:
-        wide = _unit(np.asarray(encoder.encode(part.column("_text").to_pylist())))
+        texts = [_cut(t, max_words) for t in part.column("_text").to_pylist()]
+        wide = _unit(np.asarray(encoder.encode(texts)))
         offsets = pa.array(np.arange(len(wide) + 1, dtype=np.int32) * wide.shape[1])
         vectors = pa.ListArray.from_arrays(offsets, pa.array(wide.ravel()))
         return pa.RecordBatch.from_arrays(
@@ -115,12 +122,15 @@ def encode_texts(
     """``keys`` and the unit ``vector`` of the first ``max_words`` words of ``text``.
 
     With a ``tokens`` column, short and long texts are batched apart, so that no
-    short text is padded to a long one.
+    short text is padded to a long one.  Encoding costs far more than moving the
+    texts, so they are dealt out evenly first: after a join few tasks may hold them.
+    The worker that encodes a text also cuts it, which is cheaper than doing it before.
     """
     long = token_bucket(tokens) == "long" if tokens else F.lit(False)
     batch = F.when(long, V.BATCH_LONG).otherwise(V.BATCH_SHORT)
-    cut = df.select(*keys, X.first_words(text, max_words).alias("_text"), batch.alias("_batch"))
-    return _encode_batches(cut, encoder, keys)
+    texts = df.select(*keys, F.col(text).alias("_text"), batch.alias("_batch"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _encode_batches(texts.repartition(tasks, *keys), encoder, keys, max_words)
 
 
 def with_cache_key(chunks: DataFrame, encoder: Encoder) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as X
-from docloom.functions.explode import let
+from docloom.functions.arrays import let
 
 # Top-level fields, each taken out of the parsed file once.
 _FIELDS = (

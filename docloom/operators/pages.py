@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as X
-from docloom.functions.explode import explode_items
+from docloom.functions.arrays import explode_items
 
 _SALTS = 16
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from docloom import fixed_values as V
 from docloom import schemas
 from docloom.functions import text as X
-from docloom.functions.explode import explode_items
+from docloom.functions.arrays import explode_items
 from docloom.functions.language import detect_language
 from docloom.operators.compact import latest_wins, out_of_memory, pending
 from docloom.operators.json_documents import json_documents

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docloom.functions import text as X
-from docloom.functions.explode import explode_items
+from docloom.functions.arrays import explode_items
 from docloom.functions.vectors import unit_norm_report
 from docloom.operators import chunks as C
 from docloom.operators import encode, retrieve, search

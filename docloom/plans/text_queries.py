@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docloom import fixed_values as V
 from docloom.functions import segment
 from docloom.functions import text as X
-from docloom.functions.explode import explode_items
+from docloom.functions.arrays import explode_items
 from docloom.operators import chunks as C
 from docloom.operators.pages import boilerplate, ordered_text, strip_page_lines
 from docloom.plans import sql as Q
