@@ -24,6 +24,7 @@ from docloom.operators.compact import first_per_group
 
 GRAM = 3
 GRAMS_PER_LANGUAGE = 2000
+MAX_LANGUAGES = 500
 
 
 def sample(text: Column | str) -> Column:
@@ -79,14 +80,17 @@ def trigram_profiles(labelled: DataFrame, text: str = "texto", language: str = "
     totals = counted.groupBy("idioma").agg(F.sum("n").alias("total"))
     order = [F.desc("n"), F.col("gram")]
     kept = first_per_group(counted, ["idioma"], order, GRAMS_PER_LANGUAGE)
-    return kept.join(F.broadcast(totals), "idioma")
+    return kept.join(totals, "idioma")
 
 
 def trigram_detector(profiles: DataFrame):
     """Column function text -> language from collected profiles.
 
-    The profiles are a bounded table: a fixed number of rows per language.
+    Profiles have a fixed number of rows per language, and there are not many
+    languages; labels of another kind are refused before anything is collected.
     """
+    if profiles.count() > MAX_LANGUAGES * GRAMS_PER_LANGUAGE:
+        raise ValueError(f"profiles of more than {MAX_LANGUAGES} languages")
     table: dict[str, dict[str, float]] = {}
     unseen: dict[str, float] = {}
     for r in profiles.toLocalIterator():

@@ -113,7 +113,7 @@ def keyword_relevance(found: DataFrame, keywords: DataFrame, n: int = 3) -> Data
     hit = X.mentions_any("texto", F.col("keywords"))
     return (
         found.filter(F.col("rank") <= n)
-        .join(F.broadcast(keywords), "query_id")
+        .join(keywords, "query_id")
         .groupBy("query_id")
         .agg(F.bool_or(hit).alias("relevant"))
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as X
+from docloom.session import cut_lineage
 
 
 def _rows() -> Column:
@@ -32,10 +33,12 @@ def _dimensions(documents: DataFrame) -> DataFrame:
 def corpus_summary(documents: DataFrame) -> DataFrame:
     """(metric, key, value): totals over all states and the histograms.
 
-    NULL keys are left out of histograms.  The corpus is aggregated once and every
-    metric is read from that small result, whose exchange Spark reuses.
+    NULL keys are left out of histograms.  The corpus is aggregated once, to a table
+    whose size does not depend on it, and every metric is read from that.  It is
+    materialised because each metric prunes other columns, and Spark would otherwise
+    scan the corpus for each.
     """
-    base = _dimensions(documents)
+    base = cut_lineage(_dimensions(documents))
     ok = F.col("estado") == "ok"
     totals = base.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("documentos_totales"),
@@ -63,7 +66,7 @@ def corpus_summary(documents: DataFrame) -> DataFrame:
             ("por_fenomeno", "fenomeno", True),
         )
     ]
-    top = top_languages(documents)
+    top = _top_languages(base)
     parts.append(
         top.select(
             F.lit("por_idioma").alias("metric"), F.col("idioma").alias("key"),
@@ -83,8 +86,12 @@ def _histogram(base: DataFrame, column: str) -> DataFrame:
 
 def top_languages(documents: DataFrame, n: int = 12) -> DataFrame:
     """The most frequent languages of well extracted documents, ties by name."""
-    base = _dimensions(documents).filter(F.col("estado") == "ok")
-    return _histogram(base, "idioma").orderBy(F.desc("n"), "idioma").limit(n)
+    return _top_languages(_dimensions(documents), n)
+
+
+def _top_languages(base: DataFrame, n: int = 12) -> DataFrame:
+    ok = base.filter(F.col("estado") == "ok")
+    return _histogram(ok, "idioma").orderBy(F.desc("n"), "idioma").limit(n)
 
 
 def summary_record(documents: DataFrame) -> DataFrame:

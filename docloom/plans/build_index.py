@@ -11,7 +11,7 @@ from docloom.functions.segment import Segmenter, by_language
 from docloom.functions.vectors import assert_unit
 from docloom.operators import encode, retrieve
 from docloom.operators.chunks import assert_sources, chunk_documents, metadata_records, valid_documents
-from docloom.operators.compact import pending
+from docloom.operators.compact import done_keys, pending
 from docloom.operators.row_ids import with_row_id
 from docloom.session import cut_lineage
 from docloom.sources.index import load_index, write_index
@@ -30,20 +30,22 @@ def build_chunks(
 ) -> None:
     """Append the chunks of documents not chunked before.
 
-    Done documents are listed apart, so one without any chunk is not tried again.
+    Done are documents with chunks and those listed as having none.  Chunks are one
+    committed write, so a run that dies leaves a document with all its chunks or none.
     """
     valid = valid_documents(spark.read.parquet(documents))
-    done = None if restart else _existing(spark, f"{out}/done")
-    todo = pending(valid, done) if done is not None else valid
-    mode = "overwrite" if done is None else "append"
-    chunk_documents(todo, segmenter).drop("last").write.mode(mode).parquet(f"{out}/chunks")
-    # Listed after their chunks are committed; a run that dies in between repeats them,
-    # and readers keep one row per chunk id.
-    todo.select("doc_id").write.mode(mode).parquet(f"{out}/done")
+    chunks, empty = f"{out}/chunks", f"{out}/empty"
+    before = [] if restart else [_existing(spark, chunks), _existing(spark, empty)]
+    before = [t for t in before if t is not None]
+    todo = pending(valid, done_keys(*before)) if before else valid
+    mode = "overwrite" if restart else "append"
+    chunk_documents(todo, segmenter).drop("last").write.mode(mode).parquet(chunks)
+    without = pending(todo.select("doc_id"), spark.read.parquet(chunks))
+    without.write.mode(mode).parquet(empty)
 
 
 def read_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/chunks").dropDuplicates(["chunk_id"])
+    return spark.read.parquet(f"{folder}/chunks")
 
 
 def build_index(

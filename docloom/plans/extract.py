@@ -170,7 +170,8 @@ def extract(
     )
     todo = pending(routed, done) if done is not None else routed
     tiles = routed.join(
-        todo.filter(F.col("_reader") == "pbf").select(F.lit("pbf").alias("_reader")).distinct(),
+        # One row or none.
+        F.broadcast(todo.filter(F.col("_reader") == "pbf").select("_reader").distinct()),
         "_reader", "left_semi",
     )
     tasks = tasks or int(inventory.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -29,6 +29,18 @@ def unit_norm(spark, folder):
     return unit_norm_report(table(spark, folder, "embeddings"), "embedding")
 
 
+def _hashed_sql(src: str, out: str) -> str:
+    """Sparse unit vectors (key, b, v) of ``src(key, txt)`` by signed word hashing."""
+    return f"""
+{out}_w AS (SELECT key, unnest({Q.words('lower(txt)')}[1:400]) AS w FROM {src}),
+{out}_h AS (SELECT key, ('0x' || substr(md5(w), 1, 8))::BIGINT % {DIM} AS b,
+    CASE WHEN substr(md5(w), 9, 1) < '8' THEN 1 ELSE -1 END AS sign FROM {out}_w),
+{out}_s AS (SELECT key, b, sum(sign)::DOUBLE AS v FROM {out}_h GROUP BY key, b),
+{out}_n AS (SELECT key, sqrt(sum(v * v)) AS n FROM {out}_s GROUP BY key),
+{out} AS (SELECT key, b, (v / n)::FLOAT AS v FROM {out}_s JOIN {out}_n USING (key) WHERE n > 0 AND v <> 0
+    UNION ALL SELECT key, 0, 1::FLOAT FROM {src} WHERE key NOT IN (SELECT key FROM {out}_n WHERE n > 0))"""
+
+
 # The mean vector of every label is a query; five neighbouring vectors are a document.
 TOPK_SQL = """x AS (SELECT label, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM embeddings),
 m AS (SELECT label, i, round(avg(v::DOUBLE), 6) AS v FROM x GROUP BY label, i),
@@ -76,17 +88,18 @@ def top_k(spark, folder):
 
 @query(
     "top_k_many_queries",
-    """WITH s AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 10) AS score
-        FROM embeddings q, embeddings c),
+    f"""WITH qs AS (SELECT item_id AS key, text AS txt FROM benchmark), {_hashed_sql('qs', 'qv')},
+    x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS b FROM embeddings),
+    s AS (SELECT key AS query_id, vec_id, round(sum(qv.v::DOUBLE * x.v), 10) AS score FROM qv JOIN x USING (b) GROUP BY ALL),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s QUALIFY rank <= 5)
     SELECT query_id, rank::BIGINT AS rank, vec_id, round(score, 6) AS score FROM r""",
 )
 def top_k_many_queries(spark, folder):
-    # Every vector is a query here, so the bound on the query matrix is set low on
-    # purpose: this is the path for query sets that grow with the table.
-    vectors = _vectors(spark, folder)
-    queries = vectors.select(F.col("row_id").alias("query_id"), "vector")
-    found = search.top_k(queries, vectors, 5, max_query_bytes=1 << 16)
+    # The bound on the query matrix is 0 on purpose: this is the path for query sets
+    # too large to send to every task.
+    asked = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    queries = encode.encode_texts(asked, encode.HashingEncoder(DIM), ["query_id"], "text")
+    found = search.top_k(queries, _vectors(spark, folder), 5, max_query_bytes=0)
     return found.select(
         "query_id", "rank", F.col("row_id").alias("vec_id"), F.round("score", 6).alias("score")
     )
@@ -120,7 +133,7 @@ def _pool_with_texts(spark, folder):
     texts = table(spark, folder, "documents").select(
         F.col("doc_id").alias("row_id"), F.col("text").alias("texto"), F.col("lang").alias("idioma")
     )
-    return retrieve.with_metadata(_pool(spark, folder), texts, "row_id", 300)
+    return retrieve.with_metadata(_pool(spark, folder), texts, "row_id", None)
 
 
 @query(
@@ -143,18 +156,6 @@ def fragment_limit(spark, folder):
 # -- encoding -----------------------------------------------------------------------
 
 
-def _hashed_sql(src: str, out: str) -> str:
-    """Sparse unit vectors (key, b, v) of ``src(key, txt)`` by signed word hashing."""
-    return f"""
-{out}_w AS (SELECT key, unnest({Q.words('lower(txt)')}[1:400]) AS w FROM {src}),
-{out}_h AS (SELECT key, ('0x' || substr(md5(w), 1, 8))::BIGINT % {DIM} AS b,
-    CASE WHEN substr(md5(w), 9, 1) < '8' THEN 1 ELSE -1 END AS sign FROM {out}_w),
-{out}_s AS (SELECT key, b, sum(sign)::DOUBLE AS v FROM {out}_h GROUP BY key, b),
-{out}_n AS (SELECT key, sqrt(sum(v * v)) AS n FROM {out}_s GROUP BY key),
-{out} AS (SELECT key, b, (v / n)::FLOAT AS v FROM {out}_s JOIN {out}_n USING (key) WHERE n > 0 AND v <> 0
-    UNION ALL SELECT key, 0, 1::FLOAT FROM {src} WHERE key NOT IN (SELECT key FROM {out}_n WHERE n > 0))"""
-
-
 @query(
     "encode_texts",
     f"""WITH src AS (SELECT doc_id AS key, text AS txt FROM documents), {_hashed_sql('src', 'vec')}
