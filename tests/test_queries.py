@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from docloom.plans import catalogue
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import check  # noqa: E402
@@ -26,7 +27,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(catalogue.SQL) == set(catalogue.QUERIES)
+    assert set(catalogue.QUERIES) <= set(entry.queries())
 
 
 @needs_data
@@ -37,7 +39,7 @@ def test_entry(spark):
 
 @needs_data
 @pytest.mark.slow
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", catalogue.QUERIES)
 def test_query_equals_sql(spark, con, name):
     n, m, equal, _, _, note = check.compare(spark, con, FOLDER, name)
     assert equal and not note, f"{n} <> {m} {note}"
