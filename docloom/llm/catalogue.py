@@ -1,11 +1,21 @@
 """Registered queries of the operators and the SQL of those that SQL can express."""
 
-from docloom.llm import minhash_dedup
+from docloom.llm import chat_format, decontaminate, line_dedup, minhash_dedup, mixing, pii, secret_scan
 
 QUERIES = {
+    "op1_secret_scan": secret_scan.op1_secret_scan,
+    "op2_chat_formatting": chat_format.op2_chat_formatting,
+    "op3_pii": pii.op3_pii,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op7_minhash_near_dedup": minhash_dedup.op7_minhash_near_dedup,
+    "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
+    "op10_mixing": mixing.op10_mixing,
 }
 
 SQL = {
+    "op2_chat_formatting": chat_format.SQL,
+    "op4_line_dedup": line_dedup.SQL,
     "op7_minhash_near_dedup": minhash_dedup.SQL,
+    "op9_benchmark_decontamination": decontaminate.SQL,
+    "op10_mixing": mixing.SQL,
 }

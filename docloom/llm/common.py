@@ -11,6 +11,7 @@ from docloom.session import checkpoint_dir, cut_lineage
 
 __all__ = ["checkpoint_dir", "components", "cut_lineage", "once", "prefix_sums", "read", "shared_path"]
 
+EDGES_PER_PARTITION = 250_000
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -72,16 +73,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pairs = cut_lineage(
         pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
+    # Edges never grow: a round's table needs no more partitions than these rows fill.
+    parts = max(1, -(-pairs.count() // EDGES_PER_PARTITION))
+    pairs = pairs.coalesce(parts)
     before = None
     while True:
         both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         rest = low.select("u", F.col("m").alias("v")).where("u > v")
-        large = cut_lineage(large.unionAll(rest).distinct())
+        large = cut_lineage(large.unionAll(rest).distinct().coalesce(parts))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = cut_lineage(hung.unionAll(low.select("u", F.col("m").alias("v"))).distinct())
+        pairs = cut_lineage(
+            hung.unionAll(low.select("u", F.col("m").alias("v"))).distinct().coalesce(parts)
+        )
         now = tuple(
             pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         )
