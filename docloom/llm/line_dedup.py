@@ -11,6 +11,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.llm.common import BLANKS, cut_lineage, read
 
@@ -24,7 +25,7 @@ def _ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without(text: pd.Series, dropped: pd.Series) -> pd.Series:
     def one(t, at):
         if t is None or at is None:
@@ -85,6 +86,33 @@ def drop_shared_lines(
     )
 
 
+def rewrite(
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
+    doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars",
+) -> DataFrame:
+    """``docs`` with the same columns, ``text`` without its shared lines and ``n_chars`` to match.
+
+    The rules are those of ``drop_shared_lines``; texts that lose nothing, null ones among
+    them, and their ``n_chars`` are left as they are.
+    """
+    plain = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), plain.alias("_text")).withColumn("_row", F.xxhash64("_text"))
+    lost = shared_lines(rows, min_chars, min_docs).select(
+        F.col("doc_id").alias("_lost_id"), F.col("_row").alias("_lost_row"), F.col("_dropped").alias("_lost_lines")
+    )
+    own = lambda c: F.col(f"_docs.`{c}`")
+    whole = F.coalesce(own(text).cast("string"), F.lit(""))
+    met = docs.alias("_docs").join(
+        lost, (own(doc_id) == F.col("_lost_id")) & (F.xxhash64(whole) == F.col("_lost_row")), "left"
+    )
+    hit = F.col("_lost_lines").isNotNull()
+    shorter = _without(F.when(hit, whole), F.col("_lost_lines"))
+    new = {text: F.when(hit, shorter).otherwise(own(text))}
+    if n_chars in docs.columns:
+        new[n_chars] = F.when(hit, F.length(shorter).cast("bigint")).otherwise(own(n_chars))
+    return met.select(*[new.get(c, own(c)).alias(c) for c in docs.columns])
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_shared_lines(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

@@ -25,8 +25,8 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A word with a digit.
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+#: A word with a digit or an at sign.
+TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 KINDS = ("email", "ip", "card", "phone", "context")
 
 MIN_DIGITS = 6
@@ -67,11 +67,13 @@ def is_phone(value: Column) -> Column:
 
 
 def _tokens(tokens: str, gaps: str) -> Column:
-    """Instances: the core of each token with enough digits, and the words before it."""
+    """Instances: the core of each seed or token with enough digits, and the words before it."""
     before = F.slice(gaps, F.lit(1), F.size(tokens))
     previous = F.concat(F.array(F.lit("")), F.transform(tokens, lambda t: t["value"]))
     zipped = F.arrays_zip(F.col(tokens).alias("t"), before.alias("g"), F.slice(previous, F.lit(1), F.size(tokens)).alias("p"))
-    able = F.filter(zipped, lambda x: F.length(_digits(x["t"]["value"])) >= MIN_DIGITS)
+    able = F.filter(
+        zipped, lambda x: (F.length(_digits(x["t"]["value"])) >= MIN_DIGITS) | _seed(x["t"]["value"])
+    )
 
     def instance(x: Column) -> Column:
         core = F.regexp_extract(x["t"]["value"], r"[\p{L}0-9+](?:.*[\p{L}0-9])?", 0)
