@@ -46,8 +46,9 @@ MIN_CHARS_PER_PAGE = 100
 OCR_MIN_CHARS = 50
 OCR_CHARS_PER_PAGE = 10
 OCR_MIN_WORDS = 10
-OCR_LANGUAGES = ("spa", "eng", "por")
-OCR_DPI = 180
+PENDING_STATES = {"image": "pendiente_ocr"}
+NO_DECODER_DETAIL = "sin lector registrado"
+LATIN_DETAIL = "texto no UTF-8, leido como Latin-1"
 OCR_DETAIL = "OCR aplicado por baja cantidad de texto extraible"
 OCR_POOR_DETAIL = "OCR no produjo texto suficiente"
 

@@ -1,17 +1,13 @@
 """Language of a text from its first characters.
 
-A trained identifier is used where it is installed.  Without it, profiles of
-character trigrams are learned from labelled texts: the same kind of model, a naive
-Bayes over character n-grams.
+Profiles of character trigrams are learned from labelled texts: a naive Bayes model over
+character n-grams.  A text is scored against all languages at once: its trigrams are looked up
+in one sorted array, whose rows hold a log-probability for each language.
 """
 
 from __future__ import annotations
 
-import importlib.util
-import math
-from collections import Counter
-from functools import cache
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +19,10 @@ from docloom.functions.arrays import explode_items
 from docloom.operators.compact import first_per_group
 
 GRAM = 3
-GRAMS_PER_LANGUAGE = 2000
-MAX_LANGUAGES = 500
+#: Added to a language's number of trigrams, for those it has not shown.
+SMOOTHING = 2000
+#: Labelled rows of each language that a profile is learned from; it bounds the model.
+ROWS_PER_LANGUAGE = 20_000
 
 
 def sample(text: Column | str) -> Column:
@@ -33,39 +31,23 @@ def sample(text: Column | str) -> Column:
     return F.when(F.length(head) >= V.LANGUAGE_MIN_CHARS, head)
 
 
-@cache
-def _library_udf():
-    @F.pandas_udf(StringType())
-    def identify(texts: pd.Series) -> pd.Series:
-        from langid.langid import LanguageIdentifier, model
-
-        known = LanguageIdentifier.from_modelstring(model, norm_probs=True)
-
-        def one(text):
-            code, prob = known.classify(text)
-            return code if prob >= V.LANGUAGE_MIN_PROB else V.UNKNOWN
-
-        return texts.map(one, na_action="ignore")
-
-    return identify
-
+def unknown_language(text: Column) -> Column:
+    """What documents are labelled where no detector is given."""
+    return F.lit(V.UNKNOWN)
 
-def detect_language(text: Column) -> Column:
-    """Language code, ``desconocido`` for short or doubtful text or without a model."""
-    if importlib.util.find_spec("langid") is None:
-        return F.lit(V.UNKNOWN)
-    return F.coalesce(_library_udf()(sample(text)), F.lit(V.UNKNOWN))
 
+def trigram_profiles(
+    labelled: DataFrame, text: str = "texto", language: str = "idioma", rows: int = ROWS_PER_LANGUAGE
+) -> DataFrame:
+    """(idioma, gram, n, total): all trigrams of every language.
 
-def trigram_profiles(labelled: DataFrame, text: str = "texto", language: str = "idioma") -> DataFrame:
-    """(idioma, gram, n, total): the commonest trigrams of every language.
-
-    Trigrams are counted map-side over whole texts; what is kept per language has
-    a fixed size.
+    They are counted map-side over whole texts, of each language the ``rows`` with the smallest
+    hash of the text.
     """
-    chars = labelled.select(
-        F.col(language).alias("idioma"), F.split(F.lower(text), "").alias("_chars")
-    )
+    known = labelled.select(F.col(language).alias("idioma"), F.col(text).alias("_text")).where("idioma is not null")
+    hashed = known.withColumn("_hash", F.xxhash64("_text"))
+    chosen = first_per_group(hashed, ["idioma"], [F.col("_hash"), F.col("_text")], rows)
+    chars = chosen.select("idioma", F.split(F.lower("_text"), "").alias("_chars"))
     starts = F.slice("_chars", F.lit(1), F.greatest(F.size("_chars") - GRAM + 1, F.lit(1)))
 
     def gram(first: Column, i: Column) -> Column:
@@ -78,41 +60,54 @@ def trigram_profiles(labelled: DataFrame, text: str = "texto", language: str = "
         .agg(F.count("*").alias("n"))
     )
     totals = counted.groupBy("idioma").agg(F.sum("n").alias("total"))
-    order = [F.desc("n"), F.col("gram")]
-    kept = first_per_group(counted, ["idioma"], order, GRAMS_PER_LANGUAGE)
-    return kept.join(totals, "idioma")
+    return counted.join(totals, "idioma")
 
 
-def trigram_detector(profiles: DataFrame):
-    """Column function text -> language from collected profiles.
+def _codes(text: str) -> np.ndarray:
+    """Trigrams as numbers: three code points of 21 bits; a shorter text is padded."""
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    points = np.concatenate([points, np.zeros(max(GRAM - len(points), 0), np.uint64)])
+    shift = np.uint64(21)
+    return (((points[:-2] << shift) | points[1:-1]) << shift) | points[2:]
 
-    Profiles have a fixed number of rows per language, and there are not many
-    languages; labels of another kind are refused before anything is collected.
-    """
-    if profiles.count() > MAX_LANGUAGES * GRAMS_PER_LANGUAGE:
-        raise ValueError(f"profiles of more than {MAX_LANGUAGES} languages")
-    table: dict[str, dict[str, float]] = {}
-    unseen: dict[str, float] = {}
-    for r in profiles.toLocalIterator():
-        total = r.total + GRAMS_PER_LANGUAGE
-        table.setdefault(r.idioma, {})[r.gram] = math.log((r.n + 1) / total)
-        unseen[r.idioma] = math.log(1 / total)
+
+def trigram_detector(profiles: DataFrame):
+    """Column function text -> language from profiles, whose size their sample bounds."""
+    table = profiles.select("idioma", "gram", "n", "total").toArrow().to_pandas()
+    languages = sorted(table["idioma"].unique())
+    codes = (
+        np.concatenate([_codes(g)[:1] for g in table["gram"]]) if len(table) else np.empty(0, np.uint64)
+    )
+    keys, row = np.unique(codes, return_inverse=True)
+    column = np.searchsorted(languages, table["idioma"]) if languages else np.empty(0, int)
+    total = np.full(len(languages), 1.0)
+    total[column] = table["total"].to_numpy(float) + SMOOTHING
+    unseen = -np.log(total)
+    logs = np.tile(unseen, (len(keys) + 1, 1))
+    logs[row, column] = np.log((table["n"].to_numpy(float) + 1)) - np.log(total[column])
+    shared = profiles.sparkSession.sparkContext.broadcast((languages, keys, logs))
 
     @F.pandas_udf(StringType())
     def identify(texts: pd.Series) -> pd.Series:
-        def one(text):
-            text = text.lower()
-            seen = Counter(text[i : i + GRAM] for i in range(max(len(text) - GRAM + 1, 1)))
-            scores = {
-                lang: sum(n * grams.get(g, unseen[lang]) for g, n in seen.items())
-                for lang, grams in table.items()
-            }
-            best = max(sorted(scores), key=scores.get, default=None)
-            if best is None:
-                return V.UNKNOWN
-            prob = 1 / sum(math.exp(s - scores[best]) for s in scores.values())
-            return best if prob >= V.LANGUAGE_MIN_PROB else V.UNKNOWN
-
-        return texts.map(one, na_action="ignore")
+        languages, keys, logs = shared.value
+        out = pd.Series([None] * len(texts), dtype=object)
+        given = np.flatnonzero(texts.notna().to_numpy())
+        if not len(given):
+            return out
+        if not languages:
+            out.iloc[given] = V.UNKNOWN
+            return out
+        parts = [_codes(t) for t in texts.iloc[given].str.lower()]
+        flat = np.concatenate(parts)
+        place = np.searchsorted(keys, flat)
+        place[place == len(keys)] = 0
+        # The last row is that of trigrams no language has.
+        place = np.where(keys[place] == flat, place, len(keys))
+        starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]])
+        scores = np.add.reduceat(logs[place], starts, axis=0)
+        best = scores.argmax(axis=1)
+        prob = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
+        out.iloc[given] = np.where(prob >= V.LANGUAGE_MIN_PROB, np.array(languages, object)[best], V.UNKNOWN)
+        return out
 
     return lambda text: F.coalesce(identify(sample(text)), F.lit(V.UNKNOWN))

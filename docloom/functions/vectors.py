@@ -21,11 +21,6 @@ def is_unit(vector: StrCol) -> Column:
     return F.coalesce(F.abs(norm(vector) - 1) < V.UNIT_TOLERANCE, F.lit(False))
 
 
-def inner_product(a: StrCol, b: StrCol) -> Column:
-    products = F.zip_with(col(a), col(b), lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
-
-
 def unit_norm_report(rows: DataFrame, vector: str = "vector") -> DataFrame:
     """(ok, n, dims): whether all rows are unit vectors; an empty table is."""
     return rows.agg(

@@ -114,8 +114,16 @@ def metadata_records(chunks: DataFrame, *also: str) -> DataFrame:
     )
 
 
-def assert_sources(chunks: DataFrame) -> DataFrame:
-    """Fail the job on a chunk without ``fuente``, the key answers are matched on."""
+def blank_sources(chunks: DataFrame) -> DataFrame:
+    """(n, example): how many chunks lack ``fuente``, the key answers are matched on."""
     blank = F.coalesce(X.is_blank(F.col("fuente").cast("string")), F.lit(True))
-    checked = F.when(blank, F.raise_error(F.concat(F.lit("empty fuente: "), F.col("chunk_id"))))
-    return chunks.withColumn("fuente", F.coalesce(checked.cast("string"), F.col("fuente")))
+    return chunks.agg(
+        F.count_if(blank).alias("n"), F.min(F.when(blank, F.col("chunk_id"))).alias("example")
+    )
+
+
+def assert_sources(chunks: DataFrame) -> None:
+    """Fail on chunks without ``fuente`` before any work is done on them."""
+    found = blank_sources(chunks).first()
+    if found.n:
+        raise ValueError(f"{found.n} chunks with an empty fuente, {found.example} among them")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import Protocol
 
 import numpy as np
@@ -45,33 +46,17 @@ class HashingEncoder:
         self.encoder_id = f"hashing-{dim}"
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.dim))
-        for vector, text in zip(out, texts):
-            for word in text.lower().split():
-                number, sign = _hashed(word)
-                vector[number % self.dim] += sign
-        return out
-
-
-class SentenceTransformerEncoder:
-    """A sentence-transformers model, loaded once per Python worker."""
-
-    def __init__(self, model: str, max_seq_length: int = 512, dim: int | None = None):
-        self.model, self.max_seq_length = model, max_seq_length
-        self.encoder_id = f"{model}@{max_seq_length}"
-        self._loaded = None
-        self.dim = dim or int(self.encode(["test"]).shape[1])
-
-    def __getstate__(self):
-        return {**self.__dict__, "_loaded": None}
-
-    def encode(self, texts: list[str]) -> np.ndarray:
-        if self._loaded is None:
-            from sentence_transformers import SentenceTransformer
-
-            self._loaded = SentenceTransformer(self.model)
-            self._loaded.max_seq_length = self.max_seq_length
-        return self._loaded.encode(texts, normalize_embeddings=True, convert_to_numpy=True)
+        words = [text.lower().split() for text in texts]
+        flat = pa.array(chain.from_iterable(words), pa.string()).dictionary_encode()
+        if not len(flat):
+            return np.zeros((len(texts), self.dim))
+        # Each different word is hashed once; its occurrences are counted by place.
+        known = np.array([_hashed(w) for w in flat.dictionary.to_pylist()], np.int64)
+        place = flat.indices.to_numpy()
+        row = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+        slot = row * self.dim + known[place, 0] % self.dim
+        counts = np.bincount(slot, weights=known[place, 1], minlength=len(texts) * self.dim)
+        return counts.reshape(len(texts), self.dim)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -148,9 +133,11 @@ def missing(chunks: DataFrame, cache: DataFrame, encoder: Encoder) -> DataFrame:
     usable = cache.filter(
         (F.size("vector") == encoder.dim) & ~F.isnan(F.get("vector", F.lit(0)))
     )
-    return with_cache_key(chunks, encoder).join(
-        usable.select(*CACHE_KEY).distinct(), CACHE_KEY, "left_anti"
-    )
+    usable = usable.filter(F.col("encoder_id") == encoder.encoder_id)
+    keyed = with_cache_key(chunks, encoder)
+    # Keys alone meet the cache; a chunk's text is moved once, with those that are left.
+    left = keyed.select(*CACHE_KEY).join(usable.select(*CACHE_KEY).distinct(), CACHE_KEY, "left_anti")
+    return keyed.join(left, CACHE_KEY, "left_semi")
 
 
 def encode_missing(chunks: DataFrame, cache: DataFrame | None, encoder: Encoder) -> DataFrame:

@@ -49,7 +49,8 @@ def _is_scalar(kind: Column) -> Column:
 
 
 def _is_fraction(kind: Column) -> Column:
-    return kind.isin("DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    # An integer beyond 64 bits is a decimal of scale 0.
+    return kind.isin("DOUBLE", "FLOAT") | (kind.startswith("DECIMAL") & ~kind.endswith(",0)"))
 
 
 def _printed(v: Column, kind: Column) -> Column:

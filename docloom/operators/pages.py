@@ -80,11 +80,6 @@ def strip_page_lines(
     return joined.withColumn("texto", X.rebuild_paragraphs(kept)).drop("_salt", "_firmas")
 
 
-def page_array_text(pages: Column | str) -> Column:
-    """One document text from an array of clean pages: blank ones dropped."""
-    return F.array_join(F.filter(X.col(pages), lambda p: ~X.is_blank(p)), "\n\n")
-
-
 def ordered_text(rows: DataFrame, key: str, pos: str, text: str, sep: str, run: int = 256) -> DataFrame:
     """(key, texto): the texts of a key joined in order of ``pos``.
 

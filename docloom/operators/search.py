@@ -4,7 +4,8 @@ The vector table is read once and never shuffled: each task multiplies its Arrow
 batches with the query matrix and keeps the best k rows per query, which are then
 merged.  The query matrix is sent to the tasks only while its measured size stays
 under a bound.  Larger query sets are packed into blocks and meet packed vector
-blocks through a keyed join, so neither side passes through the driver.
+blocks through a merge join, so neither side passes through the driver or is broadcast.
+Both ways multiply in double what was stored, so they give the same scores.
 """
 
 from __future__ import annotations
@@ -119,13 +120,14 @@ def _score_broadcast(queries, corpus, k, qid, row, vector) -> DataFrame:
 
 
 def _packed(df: DataFrame, key: str, vector: str, size: int, names: tuple[str, str]) -> DataFrame:
-    """Rows of at most ``size`` vectors: their keys, and their values end to end."""
+    """Rows of at most ``size`` vectors: their keys, and their values as stored, end to end."""
     schema = T.StructType(
         [
             T.StructField(names[0], T.ArrayType(df.schema[key].dataType)),
             T.StructField(names[1], T.BinaryType()),
         ]
     )
+    kind = _stored(df, vector)
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -133,12 +135,17 @@ def _packed(df: DataFrame, key: str, vector: str, size: int, names: tuple[str, s
                 part = b.slice(at, size)
                 keys = part.column(0)
                 listed = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
-                values = _matrix(part.column(1)).astype(np.float32).tobytes()
+                values = _matrix(part.column(1)).astype(kind).tobytes()
                 yield pa.RecordBatch.from_arrays([listed, pa.array([values])], names=list(names))
 
     return df.select(key, vector).mapInArrow(block, schema)
 
 
+def _stored(df: DataFrame, vector: str) -> type:
+    element = df.schema[vector].dataType.elementType
+    return np.float32 if isinstance(element, T.FloatType) else np.float64
+
+
 def _score_blocks(queries, corpus, k, qid, row, vector, groups: int) -> DataFrame:
     wanted = _packed(queries, qid, vector, _QUERIES_PER_BLOCK, ("_qids", "_q"))
     stored = _packed(corpus, row, vector, _VECTORS_PER_BLOCK, ("_rows", "_v"))
@@ -146,20 +153,33 @@ def _score_blocks(queries, corpus, k, qid, row, vector, groups: int) -> DataFram
     # the vectors as there are groups, and every pair of blocks meets once.
     spread = stored.withColumn("_group", F.pmod(F.xxhash64("_rows"), F.lit(groups)))
     copied = wanted.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    pairs = spread.join(copied.withColumn("_group", F.col("_group").cast("bigint")), "_group")
+    # Spark knows the packed blocks' size only from the file their texts came from,
+    # so the kind of join is not left to it.
+    copied = copied.withColumn("_group", F.col("_group").cast("bigint")).hint("merge")
+    pairs = spread.join(copied, "_group")
+    q_kind, v_kind = _stored(queries, vector), _stored(corpus, vector)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple, tuple[pa.Array, _Best]] = {}
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            for qids, one in best.values():
+                at, ids, scores = one.rows()
+                yield from _batches(qids.take(pa.array(at)), ids, scores, [qid, row, "score"])
+            best.clear()
+
         for b in batches:
             for i in range(b.num_rows):
                 rows, v, qids, q = (b.column(c).slice(i, 1) for c in range(4))
                 rows, qids = rows.flatten(), qids.flatten()
-                vectors = np.frombuffer(v[0].as_py(), np.float32).reshape(len(rows), -1)
-                matrix = np.frombuffer(q[0].as_py(), np.float32).reshape(len(qids), -1)
-                best = _Best(len(qids), k)
-                best.add(matrix.astype(np.float64), rows.to_numpy(zero_copy_only=False),
-                         vectors.astype(np.float64))
-                at, ids, scores = best.rows()
-                yield from _batches(qids.take(pa.array(at)), ids, scores, [qid, row, "score"])
+                vectors = np.frombuffer(v[0].as_py(), v_kind).reshape(len(rows), -1)
+                matrix = np.frombuffer(q[0].as_py(), q_kind).reshape(len(qids), -1)
+                # A block of queries is known by its first key and its length.
+                _, one = best.setdefault((qids[0].as_py(), len(qids)), (qids, _Best(len(qids), k)))
+                one.add(matrix.astype(np.float64), rows.to_numpy(zero_copy_only=False), vectors.astype(np.float64))
+                if sum(x.size for _, x in best.values()) > _HELD_CANDIDATES:
+                    yield from emit()
+        yield from emit()
 
     return pairs.select("_rows", "_v", "_qids", "_q").mapInArrow(
         score, _out_schema(queries, corpus, qid, row)
@@ -185,14 +205,16 @@ def top_k(
     Equal scores are ordered by row id.  Both tables hold unit vectors of one
     dimension; with fewer than ``k`` rows a query gets them all.
     """
-    if query_bytes(queries, vector) <= max_query_bytes:
+    # Measuring runs what makes the queries; without a bound to hold there is no need.
+    if max_query_bytes > 0 and query_bytes(queries, vector) <= max_query_bytes:
         scored = _score_broadcast(queries, corpus, k, query_id, row_id, vector)
     else:
         groups = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         scored = _score_blocks(queries, corpus, k, query_id, row_id, vector, groups)
     order: list[Column] = [F.col("score").desc(), F.col(row_id)]
     # Merge in two steps, so one query's candidates from all tasks never meet at once.
-    salted = scored.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(_MERGE_SALTS)))
+    # A task has sent k rows of a query at most, so tasks are what is merged by.
+    salted = scored.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(_MERGE_SALTS)))
     merged = first_per_group(salted, [query_id, "_salt"], order, k).drop("_salt")
     return first_per_group(merged, [query_id], order, k, "rank").select(
         query_id, "rank", row_id, "score"

@@ -26,48 +26,82 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 def build_chunks(
     spark: SparkSession, documents: str, out: str, restart: bool = False,
-    segmenter: Segmenter = by_language,
+    segmenter: Segmenter = by_language, batches: int = 1,
 ) -> None:
     """Append the chunks of documents not chunked before.
 
-    Done are documents with chunks and those listed as having none.  Chunks are one
-    committed write, so a run that dies leaves a document with all its chunks or none.
+    Done are documents with chunks and those listed as having none.  Documents are taken
+    in ``batches`` by a hash of their id; a batch is one committed write, so a run that dies
+    leaves a document with all its chunks or none, and the batches before it.  A restart
+    copies what is there to a backup folder first.
     """
     valid = valid_documents(spark.read.parquet(documents))
     chunks, empty = f"{out}/chunks", f"{out}/empty"
-    before = [] if restart else [_existing(spark, chunks), _existing(spark, empty)]
-    before = [t for t in before if t is not None]
-    todo = pending(valid, done_keys(*before)) if before else valid
-    mode = "overwrite" if restart else "append"
-    chunk_documents(todo, segmenter).drop("last").write.mode(mode).parquet(chunks)
-    without = pending(todo.select("doc_id"), spark.read.parquet(chunks))
-    without.write.mode(mode).parquet(empty)
+    if restart:
+        kept = f"{out}/backup-{spark.sql('SELECT unix_millis(now())').first()[0]}"
+        for name, path in (("chunks", chunks), ("empty", empty)):
+            old = _existing(spark, path)
+            if old is not None:
+                old.write.parquet(f"{kept}/{name}")
+    for at in range(batches):
+        fresh = restart and at == 0
+        before = [] if fresh else [t for t in (_existing(spark, chunks), _existing(spark, empty)) if t is not None]
+        part = valid.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == at)
+        # Keys are compared, texts are not shuffled for it.
+        ids = pending(part.select("doc_id"), done_keys(*before)) if before else part.select("doc_id")
+        todo = part.join(ids, "doc_id", "left_semi") if before else part
+        mode = "overwrite" if fresh else "append"
+        todo_ids = cut_lineage(ids)
+        chunk_documents(todo, segmenter).drop("last").write.mode(mode).parquet(chunks)
+        without = pending(todo_ids, spark.read.parquet(chunks))
+        without.write.mode(mode).parquet(empty)
 
 
 def read_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/chunks")
 
 
+def encode_chunks(
+    spark: SparkSession, chunks: DataFrame, cache: str, encoder: encode.Encoder, force: bool = False, batches: int = 1
+) -> None:
+    """Add the vectors that the cache lacks, a committed write for each of ``batches`` by chunk id.
+
+    ``force`` encodes again what this encoder has made; vectors of other encoders stay.
+    """
+    stored = _existing(spark, cache)
+    if force and stored is not None:
+        # The cache is partitioned by encoder: only this one's partition is replaced.
+        nothing = spark.createDataFrame([], stored.schema).where("false")
+        (
+            encode.encode_missing(chunks, nothing, encoder).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("encoder_id").parquet(cache)
+        )
+        return
+    for at in range(batches):
+        part = chunks.where(F.pmod(F.xxhash64("chunk_id"), F.lit(batches)) == at)
+        made = encode.encode_missing(part, _existing(spark, cache), encoder)
+        made.write.mode("append").partitionBy("encoder_id").parquet(cache)
+
+
 def build_index(
     spark: SparkSession, chunks: DataFrame, cache: str, out: str, encoder: encode.Encoder,
-    force: bool = False,
+    force: bool = False, batches: int = 1,
 ) -> None:
-    """Encode what the cache lacks, then write numbered vectors and metadata."""
-    checked = assert_sources(chunks)
-    stored = None if force else _existing(spark, cache)
-    made = encode.encode_missing(checked, stored, encoder)
-    made.write.mode("overwrite" if stored is None else "append").parquet(cache)
+    """Encode what the cache lacks, then write numbered vectors and metadata as a new version."""
+    assert_sources(chunks)
+    encode_chunks(spark, chunks, cache, encoder, force, batches)
     # Only keys are ordered; texts and vectors meet their number in a keyed join.
     keys = with_row_id(chunks.select("chunk_id", "doc_id", "posicion"), ["doc_id", "posicion"])
     numbers = keys.select("chunk_id", "row_id")
-    vectors = spark.read.parquet(cache).dropDuplicates(encode.CACHE_KEY)
-    current = encode.with_cache_key(checked, encoder).select(*encode.CACHE_KEY)
+    own = spark.read.parquet(cache).where(F.col("encoder_id") == encoder.encoder_id)
+    vectors = own.dropDuplicates(encode.CACHE_KEY)
+    current = encode.with_cache_key(chunks, encoder).select(*encode.CACHE_KEY)
     index = current.join(assert_unit(vectors), encode.CACHE_KEY).join(numbers, "chunk_id")
     write_index(
         index.select(
             "row_id", "chunk_id", "encoder_id", F.col("vector").cast("array<float>").alias("vector")
         ),
-        metadata_records(checked).join(numbers, "chunk_id"),
+        metadata_records(chunks).join(numbers, "chunk_id"),
         out,
     )
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,14 +14,14 @@ from docloom import fixed_values as V
 from docloom import schemas
 from docloom.functions import text as X
 from docloom.functions.arrays import explode_items
-from docloom.functions.language import detect_language
+from docloom.functions.language import unknown_language
 from docloom.operators.compact import latest_wins, out_of_memory, pending
 from docloom.operators.json_documents import json_documents
 from docloom.operators.pages import ordered_text, strip_page_lines
 from docloom.operators.tiles import tile_documents
 from docloom.session import cut_lineage
-from docloom.sources.decoders import decode_files, spread_files
-from docloom.sources.inventory import reader
+from docloom.sources.decoders import Decoders, decode_files, spread_files
+from docloom.sources.inventory import is_tile, reader
 from docloom.sources.text_files import text_documents
 
 
@@ -43,16 +44,16 @@ def sheets_text(sheets: Column | str) -> Column:
     return F.array_join(F.filter(F.transform(sheets_col, sheet_text), lambda t: t != ""), "\n\n")
 
 
-def _tables(files: DataFrame, kind: str) -> DataFrame:
-    read = decode_files(files, kind)
+def _tables(files: DataFrame, kind: str, decoders: Decoders | None) -> DataFrame:
+    read = decode_files(files, kind, decoders)
     rows = F.aggregate("sheets", F.lit(0), lambda n, s: n + F.size(s["rows"]))
     return read.withColumn("texto", sheets_text("sheets")).withColumn(
         "filas_totales", rows.cast("bigint")
     ).drop("sheets")
 
 
-def _json(files: DataFrame) -> DataFrame:
-    read = decode_files(files, "json").withColumnsRenamed({"estado": "_failed", "detalle": "_why"})
+def _json(files: DataFrame, decoders: Decoders | None) -> DataFrame:
+    read = decode_files(files, "json", decoders).withColumnsRenamed({"estado": "_failed", "detalle": "_why"})
     made = json_documents(read)
     return (
         made.withColumn("estado", F.coalesce("_failed", "estado"))
@@ -61,16 +62,16 @@ def _json(files: DataFrame) -> DataFrame:
     )
 
 
-def _texts(files: DataFrame) -> DataFrame:
-    read = decode_files(files, "txt").withColumnRenamed("estado", "_failed")
+def _texts(files: DataFrame, decoders: Decoders | None) -> DataFrame:
+    read = decode_files(files, "txt", decoders).withColumnRenamed("estado", "_failed")
     made = text_documents(read)
     return made.withColumn("estado", F.coalesce("_failed", "estado")).drop("_failed")
 
 
-def _images(files: DataFrame) -> DataFrame:
+def _images(files: DataFrame, decoders: Decoders | None) -> DataFrame:
     useful = X.word_count("raw") >= V.OCR_MIN_WORDS
     state = F.coalesce(F.col("estado"), F.when(useful, "ok").otherwise("sin_texto_relevante"))
-    read = decode_files(files, "image")
+    read = decode_files(files, "image", decoders)
     return read.withColumn("texto", F.when(useful, F.col("raw"))).withColumn("estado", state).drop("raw")
 
 
@@ -83,16 +84,16 @@ def _joined_pages(pages: DataFrame) -> DataFrame:
     return ordered_text(shown, "doc_id", "page", "texto", "\n\n")
 
 
-def _pdfs(files: DataFrame) -> DataFrame:
+def _pdfs(files: DataFrame, decoders: Decoders | None) -> DataFrame:
     """Text layer first; only documents with a poor one are read by OCR."""
     # Pages are used twice, to count repeated lines and to drop them.
-    read = cut_lineage(decode_files(files, "pdf"))
+    read = cut_lineage(decode_files(files, "pdf", decoders))
     native = read.withColumn("titulo", X.document_title("raw")).withColumn(
         "n_paginas", F.size("pages").cast("bigint")
     ).drop("pages", "raw").join(_joined_pages(strip_page_lines(_page_rows(read))), "doc_id", "left")
     poor = X.needs_ocr(F.length(F.coalesce("texto", F.lit(""))), "n_paginas")
     wanted = files.join(native.filter(poor).select("doc_id"), "doc_id", "left_semi")
-    scanned = cut_lineage(decode_files(wanted, "scanned"))
+    scanned = cut_lineage(decode_files(wanted, "scanned", decoders))
     rebuilt = _page_rows(scanned).withColumn("texto", X.rebuild_paragraphs("texto"))
     ocr = scanned.select("doc_id", F.col("detalle").alias("_ocr_error")).join(
         _joined_pages(rebuilt).withColumnRenamed("texto", "_ocr"), "doc_id", "left"
@@ -100,10 +101,9 @@ def _pdfs(files: DataFrame) -> DataFrame:
     both = native.join(ocr, "doc_id", "left")
     tried = poor & F.col("estado").isNull()
     good = X.ocr_accepted(F.coalesce("_ocr", F.lit("")), "n_paginas")
-    absent = F.regexp_extract("_ocr_error", r"(?s)\A(?:ModuleNotFound|Import)Error: (.*)", 1)
     note = (
-        F.when(absent != "", F.concat(F.lit("OCR no disponible: "), absent))
-        .when(F.col("_ocr_error").isNotNull(), X.error_detail(F.concat(F.lit("fallo OCR: "), "_ocr_error")))
+        F.when(F.startswith("_ocr_error", F.lit(V.NO_DECODER_DETAIL)), F.col("_ocr_error"))
+        .when(F.col("_ocr_error").isNotNull(), X.error_detail("_ocr_error"))
         .when(good, V.OCR_DETAIL).otherwise(V.OCR_POOR_DETAIL)
     )
     return (
@@ -118,9 +118,9 @@ def _pdfs(files: DataFrame) -> DataFrame:
     )
 
 
-def _tiles(files: DataFrame) -> DataFrame:
+def _tiles(files: DataFrame, decoders: Decoders | None) -> DataFrame:
     """All tiles together: what a tile keeps depends on the tiles before it."""
-    read = cut_lineage(decode_files(files, "pbf"))
+    read = cut_lineage(decode_files(files, "pbf", decoders))
     features = explode_items(
         read.withColumnRenamed("ruta_relativa", "path"), ["path"], "features", "pos", "f"
     ).select("path", "f.*")
@@ -132,7 +132,7 @@ def _tiles(files: DataFrame) -> DataFrame:
     ).unionByName(rest.filter(F.col("estado").isNotNull()), allowMissingColumns=True)
 
 
-def finish(documents: DataFrame, language=detect_language) -> DataFrame:
+def finish(documents: DataFrame, language=unknown_language) -> DataFrame:
     """Clean the text, derive its measures, and put the row in the document schema."""
     full = documents.select(
         *[(F.col(f.name) if f.name in documents.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -157,8 +157,8 @@ def finish(documents: DataFrame, language=detect_language) -> DataFrame:
 
 
 def extract(
-    inventory: DataFrame, done: DataFrame | None = None, language=detect_language,
-    tasks: int | None = None,
+    inventory: DataFrame, done: DataFrame | None = None, language=unknown_language,
+    tasks: int | None = None, decoders: Decoders | None = None,
 ) -> DataFrame:
     """Document rows of the inventory's pending files, one branch per reader.
 
@@ -181,9 +181,9 @@ def extract(
         return spread_files(source.filter(F.col("_reader") == kind).drop("_reader", "pos"), tasks)
 
     branches = [
-        _pdfs(files("pdf")), _json(files("json")), _tables(files("csv"), "csv"),
-        _tables(files("xlsx"), "xlsx"), _texts(files("txt")), _images(files("image")),
-        _tiles(files("pbf")),
+        _pdfs(files("pdf"), decoders), _json(files("json"), decoders),
+        _tables(files("csv"), "csv", decoders), _tables(files("xlsx"), "xlsx", decoders),
+        _texts(files("txt"), decoders), _images(files("image"), decoders), _tiles(files("pbf"), decoders),
         todo.filter(F.col("_reader") == "unsupported").drop("_reader", "pos").withColumn(
             "estado", F.lit("formato_no_soportado")
         ).withColumn("detalle", F.col("formato")),
@@ -212,14 +212,17 @@ def _written(spark: SparkSession, log: str) -> DataFrame:
 
 
 def run(
-    spark: SparkSession, inventory: DataFrame, log: str, out: str, language=detect_language
+    spark: SparkSession, inventory: DataFrame, log: str, out: str, language=unknown_language,
+    decoders: Decoders | None = None, batches: int = 1,
 ) -> None:
     """Append passes to the log folder and compact them to ``out``, latest row wins.
 
     A first pass takes the pending files, a second those that ran out of memory, a
-    last one writes an error row for anything lost.  Every pass is one committed
-    write, so an interrupted run repeats at most one of them.  A new log folder
-    starts over and keeps the old one.
+    last one writes an error row for anything lost.  The first pass is cut into
+    ``batches`` by a hash of the id, each a committed write, so an interrupted run repeats at
+    most one of them; a batch that fails as a whole (a file killed its worker) does not stop
+    the others, and its files end as error rows.  A new log folder starts over and keeps
+    the old one.
     """
     before = _written(spark, log)
     number = before.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
@@ -228,9 +231,19 @@ def run(
         seq = F.lit(number + step).cast("bigint")
         rows.withColumn("seq", seq).write.mode("append").parquet(log)
 
-    append(extract(inventory, before, language), 1)
+    # Tiles depend on each other and are one batch.
+    tile = is_tile("ruta_relativa")
+    part = F.when(tile, F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(batches)))
+    for at in range(batches):
+        rows = extract(inventory.where(part == at), _written(spark, log), language, decoders=decoders)
+        try:
+            append(rows, 1)
+        except PySparkException as error:
+            if batches == 1:
+                raise
+            warnings.warn(f"batch {at} of {batches} failed and is left to the last pass: {error}", stacklevel=2)
     failed = out_of_memory(_written(spark, log))
-    append(extract(inventory.join(failed, "doc_id", "left_semi"), language=language), 2)
+    append(extract(inventory.join(failed, "doc_id", "left_semi"), language=language, decoders=decoders), 2)
     append(lost_rows(inventory, _written(spark, log)), 3)
     latest_wins(_written(spark, log)).select(*V.DOCUMENT_COLUMNS).write.mode("overwrite").option(
         "compression", "snappy"

@@ -45,11 +45,10 @@ def language_sample(spark, folder):
 @query(
     "language_id",
     f"""WITH g AS (SELECT lang AS idioma, unnest(list_transform(range(1, greatest(length(text) - 1, 2)), lambda i: substr(lower(text), i, 3))) AS gram
-        FROM documents),
+        FROM documents WHERE substr(md5(doc_id::VARCHAR), 1, 1) < '8'),
     c AS (SELECT idioma, gram, count(*) AS n FROM g GROUP BY ALL),
     t AS (SELECT idioma, sum(n) + 2000 AS total FROM c GROUP BY idioma),
-    p AS (SELECT idioma, gram, ln((n + 1) / total) AS lp FROM c JOIN t USING (idioma)
-        QUALIFY row_number() OVER (PARTITION BY idioma ORDER BY n DESC, gram) <= 2000),
+    p AS (SELECT idioma, gram, ln((n + 1) / total) AS lp FROM c JOIN t USING (idioma)),
     h AS (SELECT doc_id, lower({Q.strip('substr(text, 1, 5000)')}) AS head FROM documents WHERE length({Q.strip('substr(text, 1, 5000)')}) >= 30),
     d AS (SELECT doc_id, gram, count(*) AS m FROM (SELECT doc_id, unnest(list_transform(range(1, length(head) - 1), lambda i: substr(head, i, 3))) AS gram FROM h) GROUP BY ALL),
     s AS (SELECT doc_id, t.idioma, sum(m * coalesce(lp, -ln(total))) AS score FROM d CROSS JOIN t LEFT JOIN p ON p.idioma = t.idioma AND p.gram = d.gram GROUP BY ALL),
@@ -58,8 +57,9 @@ def language_sample(spark, folder):
     SELECT doc_id, CASE WHEN prob >= 0.6 THEN best ELSE '{V.UNKNOWN}' END AS idioma FROM documents LEFT JOIN r USING (doc_id)""",
 )
 def language_id(spark, folder):
-    rows = corpus(spark, folder)
-    detect = trigram_detector(trigram_profiles(rows))
+    # Learned from one half of the documents, by a hash of the id; both halves are labelled.
+    known = corpus(spark, folder).where(F.substring(F.md5(F.col("doc_id").cast("binary")), 1, 1) < "8")
+    detect = trigram_detector(trigram_profiles(known))
     return table(spark, folder, "documents").select(
         "doc_id", detect(F.col("text")).alias("idioma")
     )

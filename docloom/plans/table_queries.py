@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +14,8 @@ from docloom.operators import compact, stats, tiles
 from docloom.operators.json_documents import json_documents
 from docloom.plans import sql as Q
 from docloom.plans.registry import corpus, query, table
+from docloom.session import checkpoint_dir
+from docloom.sources.csv_files import csv_documents, csv_rows
 from docloom.sources.inventory import inventory, is_tile, reader
 from docloom.sources.jsonl import parse_lines
 
@@ -492,3 +496,44 @@ def json_catalogs(spark, folder):
     )
     files = table(spark, folder, "orders").select("o_orderkey", raw.alias("raw"))
     return json_documents(files).select("o_orderkey", "texto", "filas_totales")
+
+
+# -- CSV ------------------------------------------------------------------------
+
+
+@query(
+    "csv_documents",
+    """SELECT c_nationkey::VARCHAR AS doc_id, count(*)::BIGINT AS filas_totales,
+        string_agg('c_custkey: ' || c_custkey || ' | c_name: ' || c_name ||
+            CASE WHEN c_mktsegment = 'FURNITURE' THEN '' ELSE ' | c_mktsegment: ' || replace(c_mktsegment, 'A', ';"') END,
+            chr(10) ORDER BY c_custkey) AS texto
+    FROM customer GROUP BY c_nationkey""",
+)
+def csv_files(spark, folder):
+    """Customers written as a CSV file for each nation, quoted cells and gaps among them, and read back."""
+    path = f"{checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    segment = F.when(F.col("c_mktsegment") != "FURNITURE", F.replace("c_mktsegment", F.lit("A"), F.lit(';"')))
+    rows = table(spark, folder, "customer").select("c_nationkey", "c_custkey", "c_name", segment.alias("c_mktsegment"))
+    (
+        rows.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").write.partitionBy("c_nationkey")
+        .option("header", True).option("sep", ";").option("escape", '"').csv(path)
+    )
+    schema = "c_custkey STRING, c_name STRING, c_mktsegment STRING"
+    read = csv_rows(spark, f"{path}/*", ";", schema=schema)
+    return csv_documents(read, F.regexp_extract("_file", "c_nationkey=([^/]*)/", 1))
+
+
+@query(
+    "json_large_numbers",
+    """SELECT o_orderkey::VARCHAR AS doc_id, (o_orderkey::HUGEINT * 100000000000000000000 + 7)::VARCHAR AS url,
+        'second' AS titulo FROM orders""",
+)
+def json_large_numbers(spark, folder):
+    """Orders as files with an integer beyond 64 bits and a repeated key, of which the last one counts."""
+    # A setting of the session's JSON parser; the command line sets it for all its work.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    key = F.col("o_orderkey").cast("string")
+    number = F.when(F.col("o_orderkey") == 0, "7").otherwise(F.concat(key, F.lit("0" * 19 + "7")))
+    raw = F.concat(F.lit('{"title": "first", "url": '), number, F.lit(', "title": "second", "abstract": "x"}'))
+    files = table(spark, folder, "orders").select(key.alias("doc_id"), raw.alias("raw"))
+    return json_documents(files).select("doc_id", "url", "titulo")

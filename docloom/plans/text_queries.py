@@ -201,7 +201,8 @@ def first_words(spark, folder):
 def metadata_records(spark, folder):
     coded = corpus(spark, folder).withColumn("fenomeno", F.length("fuente").cast("string"))
     made = C.chunk_documents(coded).drop("observatorio", "titulo", "url", "fecha")
-    return C.metadata_records(C.assert_sources(made))
+    C.assert_sources(made)
+    return C.metadata_records(made)
 
 
 @query(

@@ -36,11 +36,6 @@ INDEX = _struct(
     row_id=LONG, chunk_id=STRING, encoder_id=STRING, vector=T.ArrayType(T.FloatType())
 )
 
-TILE_FEATURES = _struct(
-    path=STRING, layer=STRING, layer_pos=LONG, feature_pos=LONG,
-    props=T.ArrayType(_struct(k=STRING, v=STRING)),
-)
-
 ANSWER = _struct(
     query_id=STRING,
     documents=T.ArrayType(_struct(rank=LONG, doc_id=STRING)),

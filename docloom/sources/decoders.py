@@ -4,14 +4,18 @@ The inventory's paths are spread over tasks and every worker opens one file at a
 time, so file contents are neither shuffled nor joined and memory holds one file.
 Decoding stops at structure (pages, cells, tile features, raw text); everything
 after that is an expression.  A file that fails becomes an ``error`` row.
+
+Formats that need a library of their own (PDF, scanned pages, images) have no decoder here:
+callers pass theirs in a ``Decoders`` table.  Without one a file gets the state that says so.
 """
 
 from __future__ import annotations
 
+import csv
 import io
 import time
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -61,65 +65,60 @@ def read_bytes(path: str) -> bytes:
         return file.read()
 
 
-def _guess_encoding(data: bytes) -> str:
+def _text(data: bytes) -> tuple[str, str]:
+    """(text, encoding): strict UTF-8, else Latin-1, in which every byte is a letter."""
     try:
-        import chardet
-    except ImportError:
-        return "utf-8"
-    return (chardet.detect(data[:_SAMPLE]) or {}).get("encoding") or "utf-8"
+        return data.decode("utf-8-sig"), "utf-8"
+    except UnicodeDecodeError:
+        return data.decode("latin-1"), "latin-1"
 
 
 def decode_text(data: bytes, path: str) -> dict:
-    try:
-        return {"raw": data.decode(_guess_encoding(data), errors="replace")}
-    except LookupError:
-        return {"raw": data.decode("utf-8", errors="replace")}
+    text, encoding = _text(data)
+    return {"raw": text, "detalle": None if encoding == "utf-8" else V.LATIN_DETAIL}
 
 
 def decode_json(data: bytes, path: str) -> dict:
     return {"raw": data.decode("utf-8")}
 
 
-def _cells(frame) -> list[list[str | None]]:
-    return [
-        [None if v is None or v != v else str(v) for v in row]
-        for row in frame.itertuples(index=False, name=None)
-    ]
+_DELIMITERS = ",;\t|"
+
+
+def _delimiter(text: str) -> str:
+    """The delimiter that cuts the first lines into most cells, the same number in each."""
+    head = [line for line in text[:_SAMPLE].splitlines()[:20] if line.strip()]
+
+    def strength(mark: str) -> tuple[int, int]:
+        widths = [len(row) for row in csv.reader(head, delimiter=mark)]
+        return (widths.count(widths[0]), widths[0]) if widths and widths[0] > 1 else (0, 0)
+
+    return max(_DELIMITERS, key=strength)
 
 
 def decode_csv(data: bytes, path: str) -> dict:
-    """Delimiter and encoding found per file; malformed rows skipped, cells as text."""
-    import pandas as pd
+    """A table whose encoding and delimiter are found by looking at it.
 
-    failure: Exception | None = None
-    for encoding in dict.fromkeys((_guess_encoding(data), "utf-8", "utf-8-sig", "latin-1")):
-        try:
-            frame = pd.read_csv(
-                io.BytesIO(data), encoding=encoding, sep=None, engine="python",
-                on_bad_lines="skip", dtype=str,
-            )
-        except Exception as error:  # noqa: BLE001
-            failure = error
-            continue
-        names = [str(c) for c in frame.columns]
-        return {"sheets": [{"name": "", "columns": names, "rows": _cells(frame)}]}
-    raise RuntimeError(f"unreadable CSV: {failure}")
+    Rows longer than the header are left out, shorter ones are filled up; blank cells are NULL.
+    """
+    csv.field_size_limit(1 << 30)
+    text, encoding = _text(data)
+    rows = csv.reader(io.StringIO(text, newline=""), delimiter=_delimiter(text))
+    names = next((r for r in rows if any(c.strip() for c in r)), [])
+    columns = [n.strip() or f"{V.UNNAMED_COLUMN} {i}" for i, n in enumerate(names)]
+    cells = [
+        [c or None for c in row] + [None] * (len(columns) - len(row))
+        for row in rows
+        if row and len(row) <= len(columns)
+    ]
+    return {
+        "sheets": [{"name": "", "columns": columns, "rows": cells}],
+        "detalle": None if encoding == "utf-8" else V.LATIN_DETAIL,
+    }
 
 
 def decode_xlsx(data: bytes, path: str) -> dict:
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError:
-        return {"sheets": _plain_sheets(data)}
-    import pandas as pd
-
-    book = pd.ExcelFile(io.BytesIO(data))
-    sheets = []
-    for name in book.sheet_names:
-        frame = book.parse(name, dtype=str)
-        names = [str(c) for c in frame.columns]
-        sheets.append({"name": name, "columns": names, "rows": _cells(frame)})
-    return {"sheets": sheets}
+    return {"sheets": _plain_sheets(data)}
 
 
 def _plain_sheets(data: bytes) -> list[dict]:
@@ -177,81 +176,18 @@ def _cell_text(cell, main: str, shared: list[str]) -> str | None:
     return {"1": "True", "0": "False"}[value.text] if kind == "b" else value.text
 
 
-def xlsx_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """First sheet of an inventory workbook, one file by definition."""
-    sheet = decode_xlsx(read_bytes(path), path)["sheets"][0]
-    names = [*sheet["columns"], "pos"]
-    rows = [[*r, i] for i, r in enumerate(sheet["rows"])]
+def xlsx_inventory(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
+    """A sheet of an inventory workbook, one file by definition: the named one, else the first."""
+    sheets = decode_xlsx(read_bytes(path), path)["sheets"]
+    chosen = next((s for s in sheets if sheet is None or s["name"] == sheet), None)
+    if chosen is None:
+        raise ValueError(f"{path} has no sheet {sheet}: {', '.join(s['name'] for s in sheets)}")
+    names = [*chosen["columns"], "pos"]
+    rows = [[*r, i] for i, r in enumerate(chosen["rows"])]
     schema = ", ".join(f"`{n}` STRING" for n in names[:-1]) + ", pos BIGINT"
     return spark.createDataFrame(rows, schema)
 
 
-def decode_pdf(data: bytes, path: str) -> dict:
-    """Text layer page by page; a page that cannot be read is ''."""
-    import pdfplumber
-
-    pages = []
-    with pdfplumber.open(io.BytesIO(data)) as pdf:
-        title = (pdf.metadata or {}).get("Title")
-        for page in pdf.pages:
-            try:
-                pages.append(page.extract_text() or "")
-            except Exception:  # noqa: BLE001
-                pages.append("")
-            finally:
-                page.flush_cache()
-    return {"pages": pages, "raw": title if isinstance(title, str) else None}
-
-
-def _ocr():
-    import pytesseract
-
-    have = [g for g in V.OCR_LANGUAGES if g in pytesseract.get_languages(config="")]
-    if not have:
-        raise RuntimeError("no OCR model for " + "/".join(V.OCR_LANGUAGES))
-    return lambda image: pytesseract.image_to_string(image, lang="+".join(have))
-
-
-def decode_scanned_pdf(data: bytes, path: str) -> dict:
-    """Pages rendered and read by OCR where their own text is poor."""
-    import fitz
-    from PIL import Image
-
-    read = _ocr()
-    pages = []
-    with fitz.open(stream=data, filetype="pdf") as pdf:
-        for page in pdf:
-            text = page.get_text("text") or ""
-            if len(text.strip()) < V.MIN_CHARS_PER_PAGE:
-                zoom = fitz.Matrix(V.OCR_DPI / 72.0, V.OCR_DPI / 72.0)
-                shot = page.get_pixmap(matrix=zoom, alpha=False)
-                text = read(Image.frombytes("RGB", (shot.width, shot.height), shot.samples))
-            pages.append(text)
-    return {"pages": pages}
-
-
-def decode_image(data: bytes, path: str) -> dict:
-    try:
-        import pytesseract  # noqa: F401
-        from PIL import Image
-    except ImportError:
-        return {"estado": "pendiente_ocr", "detalle": "instala pytesseract y pillow"}
-    if path.lower().endswith(".avif"):
-        try:
-            import pillow_avif  # noqa: F401
-        except ImportError as error:
-            return {"estado": "error", "detalle": f"AVIF requiere pillow-avif-plugin: {error}"}
-    try:
-        read = _ocr()
-    except Exception as error:  # noqa: BLE001
-        return {"estado": "pendiente_ocr", "detalle": f"Tesseract no disponible: {error}"}
-    try:
-        with Image.open(io.BytesIO(data)) as image:
-            return {"raw": read(image if image.mode in ("RGB", "L") else image.convert("RGB"))}
-    except Exception as error:  # noqa: BLE001
-        return {"estado": "error", "detalle": f"OCR imagen: {error}"}
-
-
 def _varint(data: memoryview, at: int) -> tuple[int, int]:
     value = shift = 0
     while True:
@@ -325,26 +261,44 @@ def decode_tile(data: bytes, path: str) -> dict:
 
 
 Decoder = Callable[[bytes, str], dict]
+Decoders = Mapping[str, Decoder]
+
+# The decoders that need nothing but Python.
+BUILT_IN: Decoders = {
+    "json": decode_json, "csv": decode_csv, "xlsx": decode_xlsx, "txt": decode_text, "pbf": decode_tile,
+}
 
 # What each reader adds to a file's row.
-DECODERS: dict[str, tuple[Decoder, dict[str, T.DataType]]] = {
-    "pdf": (decode_pdf, {"pages": STRINGS, "raw": T.StringType()}),
-    "scanned": (decode_scanned_pdf, {"pages": STRINGS}),
-    "json": (decode_json, {"raw": T.StringType()}),
-    "csv": (decode_csv, {"sheets": SHEETS}),
-    "xlsx": (decode_xlsx, {"sheets": SHEETS}),
-    "txt": (decode_text, {"raw": T.StringType()}),
-    "image": (decode_image, {"raw": T.StringType()}),
-    "pbf": (decode_tile, {"features": FEATURES}),
+MADE: dict[str, dict[str, T.DataType]] = {
+    "pdf": {"pages": STRINGS, "raw": T.StringType()},
+    "scanned": {"pages": STRINGS},
+    "json": {"raw": T.StringType()},
+    "csv": {"sheets": SHEETS},
+    "xlsx": {"sheets": SHEETS},
+    "txt": {"raw": T.StringType()},
+    "image": {"raw": T.StringType()},
+    "pbf": {"features": FEATURES},
 }
 
 
-def decode_files(files: DataFrame, kind: str, path: str = "ruta_absoluta") -> DataFrame:
+def _absent(kind: str) -> Decoder:
+    """What a file becomes whose decoder was not given."""
+
+    def decode(data: bytes, path: str) -> dict:
+        return {"estado": V.PENDING_STATES.get(kind, "error"), "detalle": f"{V.NO_DECODER_DETAIL}: {kind}"}
+
+    return decode
+
+
+def decode_files(
+    files: DataFrame, kind: str, decoders: Decoders | None = None, path: str = "ruta_absoluta"
+) -> DataFrame:
     """``files`` with bytes_archivo, segundos, estado, detalle and the decoded content.
 
-    ``estado`` is NULL for a file that was decoded.
+    ``estado`` is NULL for a file that was decoded.  ``decoders`` adds to the built-in ones or
+    takes their place.
     """
-    decoder, made = DECODERS[kind]
+    decoder, made = {**BUILT_IN, **(decoders or {})}.get(kind) or _absent(kind), MADE[kind]
     common = {
         "bytes_archivo": T.LongType(), "segundos": T.DoubleType(), "estado": T.StringType(),
         "detalle": T.StringType(),

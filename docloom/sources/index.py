@@ -1,7 +1,10 @@
-"""The vector index as tables: ``vectors`` and ``metadata`` under one folder."""
+"""The vector index as tables: ``vectors`` and ``metadata`` of a version, and a manifest that names it."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,27 +24,66 @@ def alignment(index: DataFrame, metadata: DataFrame, key: str = "chunk_id") -> D
     )
 
 
+MANIFEST = "version STRING, vectors BIGINT, records BIGINT, encoder_id STRING"
+
+
 def write_index(vectors: DataFrame, metadata: DataFrame, folder: str) -> None:
-    vectors.write.mode("overwrite").parquet(f"{folder}/vectors")
-    metadata.write.mode("overwrite").parquet(f"{folder}/metadata")
+    """Both tables in a new version folder; the manifest that names it is written last.
 
+    A run that fails leaves the version before in place.  Metadata lies sorted by ``row_id``
+    where it has one, so that the few rows of an answer are found by the scan's statistics.
+    """
+    spark = vectors.sparkSession
+    version = f"v-{uuid.uuid4().hex}"
+    vectors.write.parquet(f"{folder}/{version}/vectors")
+    if "row_id" in metadata.columns:
+        metadata = metadata.repartitionByRange("row_id").sortWithinPartitions("row_id")
+    metadata.write.parquet(f"{folder}/{version}/metadata")
+    index, records = (spark.read.parquet(f"{folder}/{version}/{t}") for t in ("vectors", "metadata"))
+    found = _aligned(index, records)
+    encoders = [r.encoder_id for r in index.select("encoder_id").distinct().limit(2).collect()]
+    if len(encoders) > 1:
+        raise ValueError(f"vectors of several encoders: {', '.join(encoders)}")
+    row = (version, found.vectors, found.records, encoders[0] if encoders else None)
+    spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
 
-def load_index(
-    spark: SparkSession, folder: str, encoder_id: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(vectors, metadata), after checking that they belong together and to the encoder."""
-    index = spark.read.schema(schemas.INDEX).parquet(f"{folder}/vectors")
-    metadata = spark.read.parquet(f"{folder}/metadata")
+
+def _aligned(index: DataFrame, metadata: DataFrame):
     found = alignment(index, metadata).first()
     if found.unmatched:
         raise ValueError(
             f"index and metadata differ: {found.vectors} vectors, {found.records} records, "
             f"{found.unmatched} keys without exactly one of each"
         )
-    if encoder_id is not None:
-        others = index.filter(F.col("encoder_id") != encoder_id).select("encoder_id").first()
-        if others is not None:
-            raise ValueError(f"index was made by {others.encoder_id}, not by {encoder_id}")
+    return found
+
+
+def load_index(
+    spark: SparkSession, folder: str, encoder_id: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(vectors, metadata) of the newest version, after checking the encoder.
+
+    Keys were compared when the version was written; here row counts are, which the files'
+    footers hold.  A folder without a manifest is checked in full.
+    """
+    try:
+        manifest = spark.read.schema(MANIFEST).json(f"{folder}/manifest").first()
+    except AnalysisException:
+        manifest = None
+    at = f"{folder}/{manifest.version}" if manifest else folder
+    index = spark.read.schema(schemas.INDEX).parquet(f"{at}/vectors")
+    metadata = spark.read.parquet(f"{at}/metadata")
+    if manifest is None:
+        _aligned(index, metadata)
+        first = index.select("encoder_id").filter(F.col("encoder_id") != F.lit(encoder_id)).first() if encoder_id else None
+        made_by = first.encoder_id if first else encoder_id
+    else:
+        counts = index.count(), metadata.count()
+        if counts != (manifest.vectors, manifest.records):
+            raise ValueError(f"index and metadata differ from the manifest: {counts[0]} vectors, {counts[1]} records")
+        made_by = manifest.encoder_id
+    if encoder_id is not None and made_by not in (None, encoder_id):
+        raise ValueError(f"index was made by {made_by}, not by {encoder_id}")
     return index, metadata
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docloom import fixed_values as V
 from docloom.functions import text as X
 from docloom.operators.compact import stratified_head
+from docloom.operators.row_ids import with_row_id
 
 # Columns an inventory must have, in the names it is delivered with.
 COLUMNS = (
@@ -16,20 +17,27 @@ COLUMNS = (
 )
 
 
-def read_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Inventory rows with their position, from a CSV, Parquet or XLSX file."""
+def read_inventory(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
+    """Inventory rows with their position, from a CSV, Parquet or XLSX file.
+
+    Of a workbook the sheet of that name is taken, without a name the first.
+    """
     if path.lower().endswith((".xlsx", ".xls")):
         from docloom.sources.decoders import xlsx_inventory
 
-        return xlsx_inventory(spark, path)
+        return xlsx_inventory(spark, path, sheet)
     if path.lower().endswith(".csv"):
         rows = spark.read.csv(path, header=True, inferSchema=False)
     else:
         rows = spark.read.parquet(path)
     if "pos" in rows.columns:
         return rows
-    # Ids grow in file order, which is all the position is used for.
-    return rows.withColumn("pos", F.monotonically_increasing_id())
+    place = ["_file", "_block", "_line"]
+    placed = rows.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    return with_row_id(placed, place, "pos").drop(*place)
 
 
 def inventory(

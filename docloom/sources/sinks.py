@@ -7,10 +7,6 @@ from pyspark.sql import DataFrame
 from docloom.operators import stats
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("compression", "snappy").parquet(path)
-
-
 def write_metadata_csv(documents: DataFrame, path: str) -> None:
     """All fields but the text, by document."""
     stats.metadata_table(documents).write.mode("overwrite").csv(path, header=True)

@@ -135,6 +135,6 @@ def test_metadata_records(spark):
 
 def test_blank_source_fails(spark):
     df = spark.createDataFrame([("c1", "f"), ("c2", " ")], "chunk_id string, fuente string")
-    with pytest.raises(Exception, match="empty fuente: c2"):
-        C.assert_sources(df).collect()
-    assert C.assert_sources(df.filter("chunk_id = 'c1'")).first().fuente == "f"
+    with pytest.raises(ValueError, match="1 chunks with an empty fuente, c2"):
+        C.assert_sources(df)
+    C.assert_sources(df.filter("chunk_id = 'c1'"))

@@ -17,8 +17,13 @@ def test_all_commands(spark, tmp_path):
     cli.main([*base, "--limite", "2"])
     assert spark.read.parquet(f"{out}/documentos").count() == 2
     cli.main(base)
-    cli.main([*base, "--reiniciar"])
+    (tmp_path / "c" / "f" / "boat.txt").write_text("The boat is red. Nobody sees the boat.")
+    cli.main([*base, "--reiniciar", "--lotes", "2"])
     assert spark.read.parquet(f"{out}/documentos").count() == 3
+    # A plain run goes on with the restarted log.
+    cli.main(base)
+    texts = {r.doc_id: r.texto for r in spark.read.parquet(f"{out}/documentos").collect()}
+    assert texts["D1"].startswith("The boat is red") and (tmp_path / "out" / "log").exists()
     cli.main(["chunk", "--input", f"{out}/documentos", "--output", f"{out}/chunks"])
     index = ["--index-dir", f"{out}/index"]
     cli.main(["index", "--input", f"{out}/chunks", "--output-dir", f"{out}/index", "--embeddings-cache", f"{out}/cache"])
@@ -28,3 +33,7 @@ def test_all_commands(spark, tmp_path):
     cli.main(["answer", *index, "--queries", str(tmp_path / "q.jsonl"), "--output", f"{out}/answers"])
     answer = spark.read.json(f"{out}/answers").first()
     assert [d.doc_id for d in answer.documents][0] == "D1" and len(answer.fragments) == 3
+    (tmp_path / "s.jsonl").write_text(json.dumps({"query_id": "q1", "texto": "boat", "fenomeno": 2}) + "\n")
+    cli.main(["sanity", *index, "--queries", str(tmp_path / "s.jsonl"), "--output", f"{out}/sanity"])
+    rows = spark.read.json(f"{out}/sanity").orderBy("rank").collect()
+    assert rows[0].doc_id == "D1" and rows[0].match and rows[0].preview.startswith("The boat")

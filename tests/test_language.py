@@ -11,11 +11,8 @@ def test_sample_guard(apply):
     assert apply(L.sample, texts) == [None, "x" * 30, "x" * 5000, None]
 
 
-def test_without_a_model_everything_is_unknown(apply):
-    import importlib.util
-
-    if importlib.util.find_spec("langid") is None:
-        assert apply(lambda c: L.detect_language(c), ["a text of more than thirty characters"]) == [V.UNKNOWN]
+def test_without_a_detector_everything_is_unknown(apply):
+    assert apply(lambda c: L.unknown_language(c), ["a text of more than thirty characters"]) == [V.UNKNOWN]
 
 
 def test_profiles(spark, apply):
@@ -33,3 +30,30 @@ def test_profiles(spark, apply):
 def test_short_texts_have_one_gram(spark):
     df = spark.createDataFrame([("en", "ab"), ("en", "abcd")], "idioma string, texto string")
     assert {r.gram: r.n for r in L.trigram_profiles(df).collect()} == {"ab": 1, "abc": 1, "bcd": 1}
+
+
+def test_scores_are_those_of_single_lookups(spark, apply):
+    import math
+    from collections import Counter
+
+    rows = [(lang, text * k) for lang, text in WORDS.items() for k in (3, 5)] + [(None, "nothing to learn from here")]
+    detect = L.trigram_detector(L.trigram_profiles(spark.createDataFrame(rows, "idioma string, texto string")))
+    counts = {}
+    for lang, text in rows[:-1]:
+        counts.setdefault(lang, Counter()).update(text[i : i + 3] for i in range(len(text) - 2))
+    texts = ["zzzz qqqq the casa y el the things " * 2, "la la la la la la la house with ríos", WORDS["es"] + WORDS["en"]]
+    want = []
+    for text in texts:
+        text = text.strip()
+        score = {
+            lang: sum(math.log((c[text[i : i + 3]] + 1) / (c.total() + L.SMOOTHING)) for i in range(len(text) - 2))
+            for lang, c in counts.items()
+        }
+        best = max(sorted(score), key=score.get)
+        want.append(best if 1 / sum(math.exp(s - score[best]) for s in score.values()) >= V.LANGUAGE_MIN_PROB else V.UNKNOWN)
+    assert apply(lambda c: detect(__import__("pyspark").sql.functions.col(c)), texts) == want
+
+
+def test_rows_bound_a_profile(spark):
+    rows = [("en", f"text number {i}") for i in range(50)]
+    assert L.trigram_profiles(spark.createDataFrame(rows[:10], "idioma string, texto string"), rows=2).first().total == 2 * (len(rows[0][1]) - 2)

@@ -158,3 +158,19 @@ def test_no_cross_join_in_plans(spark):
     for limit in (1 << 26, 1):
         plan = search.top_k(q, df, 2, max_query_bytes=limit)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("WindowGroupLimit") >= 2
+
+
+def test_both_ways_give_the_same_scores_of_double_queries(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(rng.normal(size=(300, 16)))]
+    stored = spark.createDataFrame(rows, "row_id bigint, vector array<float>")
+    asked = spark.createDataFrame([(f"q{i}", v.tolist()) for i, v in enumerate(rng.normal(size=(25, 16)))], "query_id string, vector array<double>")
+    ways = [search.top_k(asked, stored, 7, max_query_bytes=limit).collect() for limit in (1 << 26, 0)]
+    assert sorted(map(tuple, ways[0])) == sorted(map(tuple, ways[1])) and len(ways[0]) == 175
+
+
+def test_large_query_sets_are_not_broadcast(spark):
+    df = frame(spark, unit_rows(10, 4))
+    asked = df.withColumnRenamed("row_id", "query_id")
+    plan = search.top_k(asked, df, 2, max_query_bytes=0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan

@@ -130,7 +130,56 @@ def test_extract_all_formats(spark, corpus):
     assert rows["w.xlsx"].fenomeno is None and rows["t.txt"].fenomeno == 1
     assert rows["gone.txt"].detalle.startswith("FileNotFoundError") and rows["gone.txt"].idioma == "desconocido"
     assert rows["a.json"].bytes_archivo > 10 and len(rows["a.json"].hash_sha1) == 40
-    assert rows["p.pdf"].detalle.startswith("ModuleNotFoundError") and rows["x.dat"].detalle == "dat"
+    assert rows["p.pdf"].detalle == "sin lector registrado: pdf" and rows["x.dat"].detalle == "dat"
+    assert rows["latin.csv"].detalle == "texto no UTF-8, leido como Latin-1"
+
+
+def pages_of(data, path):
+    return {"pages": ["Head 1\nFirst page.\n7", "Head 2\nSec-\nond page.\n8"], "raw": "A title"}
+
+
+def test_decoders_are_plugged_in(spark, corpus):
+    _, inv = corpus
+    some = inv.filter(F.col("fuente").isin("p.pdf", "i.png"))
+    docs = E.extract(some, decoders={"pdf": pages_of, "image": lambda data, path: {"raw": "word " * 30}})
+    rows = {r.fuente: r for r in docs.collect()}
+    assert rows["p.pdf"].estado == "ok" and rows["p.pdf"].n_paginas == 2 and "First page." in rows["p.pdf"].texto
+    assert rows["p.pdf"].titulo == "A title" and rows["i.png"].estado == "ok" and rows["i.png"].n_palabras == 30
+
+
+@pytest.mark.parametrize("data, rows", [
+    (b"a,b\n1,\"x, y\"\n", [["1", "x, y"]]), (b"a|b\n1|2\n3\n", [["1", "2"], ["3", None]]), (b"a\tb\n\"1\n2\"\t3\n", [["1\n2", "3"]]),
+    ("\ufeffa;b\né;ñ\n".encode(), [["é", "ñ"]]), (b"", []), (b"only\nx\n", [["x"]]),
+])
+def test_csv_dialects(data, rows):
+    assert decoders.decode_csv(data, "")["sheets"][0]["rows"] == rows
+
+
+def test_latin_text_is_not_lost():
+    assert decoders.decode_text("año".encode("latin-1"), "") == {"raw": "año", "detalle": "texto no UTF-8, leido como Latin-1"}
+    assert decoders.decode_text("año".encode(), "") == {"raw": "año", "detalle": None}
+
+
+def killer(data, path):
+    import os
+    import signal
+
+    if b"D2" in data:
+        os.kill(os.getpid(), signal.SIGKILL)
+    return {"raw": data.decode()}
+
+
+def test_a_file_that_kills_its_worker_stops_no_other_batch(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    rows = []
+    for i in range(8):
+        (tmp_path / "f" / f"t{i}.txt").write_text(f"Text D{i} here.")
+        rows.append((i, f"D{i}", "f/", f"t{i}.txt", "Texto", "F1", "obs", "1"))
+    inv = inventory.inventory(spark.createDataFrame(rows, INVENTORY_DDL), str(tmp_path))
+    with pytest.warns(UserWarning, match="left to the last pass"):
+        E.run(spark, inv, f"{tmp_path}/log", f"{tmp_path}/out", decoders={"txt": killer}, batches=8)
+    state = {r.doc_id: r.estado for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert len(state) == 8 and state["D2"] == "error" and sum(s == "ok" for s in state.values()) >= 4
 
 
 def test_extract_resumes(spark, corpus):
@@ -178,10 +227,28 @@ def test_jsonl(spark, tmp_path):
     assert [(r.doc_id, r.estado) for r in rows] == [("a", "ok"), ("c", None)]
 
 
+def test_later_log_files_win(spark, tmp_path):
+    """A larger file is scanned first; its rows are still the later ones."""
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "a.jsonl").write_text('{"doc_id":"x","estado":"old"}\n{"doc_id":"y","estado":"old"}\n')
+    (tmp_path / "log" / "b.jsonl").write_text("\n".join('{"doc_id":"z","estado":"%d"}' % i for i in range(3000)) + '\n{"doc_id":"x","estado":"new"}\n')
+    rows = jsonl.read_jsonl(spark, str(tmp_path / "log"), schemas.DOCUMENTS)
+    from docloom.operators.compact import latest_wins
+
+    last = {r.doc_id: r.estado for r in latest_wins(rows).collect()}
+    assert last == {"x": "new", "y": "old", "z": "2999"}
+    assert sorted(r.seq for r in rows.select("seq").collect()) == list(range(3003))
+
+
 def test_inventory_from_workbook(spark, tmp_path):
     workbook(tmp_path / "inv.xlsx", {"Inventario": [list(inventory.COLUMNS), ["D1", "a//", "b.PDF", "PDF", "F2", "o", "3"]]})
     rows = inventory.inventory(inventory.read_inventory(spark, str(tmp_path / "inv.xlsx"))).collect()
     assert (rows[0].doc_id, rows[0].ruta_relativa, rows[0].fenomeno) == ("D1", "a/b.PDF", 2)
+    workbook(tmp_path / "two.xlsx", {"Notas": [["x"]], "Inventario": [list(inventory.COLUMNS), ["D9", "a", "b.pdf", "PDF", "F2", "o", "3"]]})
+    named = inventory.read_inventory(spark, str(tmp_path / "two.xlsx"), "Inventario")
+    assert named.first().DOC_ID == "D9"
+    with pytest.raises(ValueError, match="no sheet"):
+        inventory.read_inventory(spark, str(tmp_path / "two.xlsx"), "Otra")
 
 
 def test_tile_numbers():
@@ -224,6 +291,23 @@ def test_chunks_index_answers(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/meta").first().chunk_id == "d0_chunk_00000"
     with pytest.raises(ValueError, match="made by hashing-64"):
         load_index(spark, index, "other")
+    # Metadata is found by row number: the filter reaches the scan.
+    plan = metadata.where("row_id in (1, 4)")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(row_id" in plan
+    blank = table.withColumn("fuente", F.when(F.col("doc_id") == "d1", " ").otherwise(F.col("fuente")))
+    with pytest.raises(ValueError, match="1 chunks with an empty fuente"):
+        B.build_index(spark, blank, f"{tmp_path}/cache2", index, enc)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(f"{tmp_path}/cache2")
+    other = encode.HashingEncoder(32)
+    B.encode_chunks(spark, table, f"{tmp_path}/cache", other, batches=3)
+    B.encode_chunks(spark, table, f"{tmp_path}/cache", enc, force=True)
+    made = spark.read.parquet(f"{tmp_path}/cache").groupBy("encoder_id").count().collect()
+    assert {(r.encoder_id, r["count"]) for r in made} == {("hashing-64", 6), ("hashing-32", 6)}
+    B.build_chunks(spark, docs, chunks, restart=True, batches=2)
+    assert B.read_chunks(spark, chunks).count() == 6
+    backup = next(p for p in (tmp_path / "chunked").iterdir() if p.name.startswith("backup-"))
+    assert spark.read.parquet(f"{backup}/chunks").count() == 6
     metadata.filter("row_id > 0").write.mode("overwrite").parquet(f"{tmp_path}/broken/metadata")
     vectors.write.parquet(f"{tmp_path}/broken/vectors")
     with pytest.raises(ValueError, match="6 vectors, 5 records"):
