@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -238,10 +239,12 @@ def run(
         rows = extract(inventory.where(part == at), _written(spark, log), language, decoders=decoders)
         try:
             append(rows, 1)
-        except PySparkException as error:
+        except (PySparkException, Py4JJavaError) as error:
             if batches == 1:
                 raise
-            warnings.warn(f"batch {at} of {batches} failed and is left to the last pass: {error}", stacklevel=2)
+            warnings.warn(
+                f"batch {at} of {batches} failed and is left to the last pass: {str(error)[:300]}", stacklevel=2
+            )
     failed = out_of_memory(_written(spark, log))
     append(extract(inventory.join(failed, "doc_id", "left_semi"), language=language, decoders=decoders), 2)
     append(lost_rows(inventory, _written(spark, log)), 3)

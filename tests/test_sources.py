@@ -134,11 +134,10 @@ def test_extract_all_formats(spark, corpus):
     assert rows["latin.csv"].detalle == "texto no UTF-8, leido como Latin-1"
 
 
-def pages_of(data, path):
-    return {"pages": ["Head 1\nFirst page.\n7", "Head 2\nSec-\nond page.\n8"], "raw": "A title"}
-
-
 def test_decoders_are_plugged_in(spark, corpus):
+    def pages_of(data, path):
+        return {"pages": ["Head 1\nFirst page.\n7", "Head 2\nSec-\nond page.\n8"], "raw": "A title"}
+
     _, inv = corpus
     some = inv.filter(F.col("fuente").isin("p.pdf", "i.png"))
     docs = E.extract(some, decoders={"pdf": pages_of, "image": lambda data, path: {"raw": "word " * 30}})
@@ -160,16 +159,15 @@ def test_latin_text_is_not_lost():
     assert decoders.decode_text("año".encode(), "") == {"raw": "año", "detalle": None}
 
 
-def killer(data, path):
-    import os
-    import signal
-
-    if b"D2" in data:
-        os.kill(os.getpid(), signal.SIGKILL)
-    return {"raw": data.decode()}
+def test_a_file_that_kills_its_worker_stops_no_other_batch(spark, tmp_path):
+    def killer(data, path):
+        import os
+        import signal
 
+        if b"D2" in data:
+            os.kill(os.getpid(), signal.SIGKILL)
+        return {"raw": data.decode()}
 
-def test_a_file_that_kills_its_worker_stops_no_other_batch(spark, tmp_path):
     (tmp_path / "f").mkdir()
     rows = []
     for i in range(8):
