@@ -174,10 +174,9 @@ class Model:
         return value
 
     def judge(self, texts: list[str | None]) -> pd.DataFrame:
-        cost, length, lettered = self.cost(texts)
         if not self.languages:
-            nothing = pd.DataFrame({"lang": [UNDETERMINED] * len(texts), "score": 0.0, "cost": 0.0, "rejected": True})
-            return nothing
+            return pd.DataFrame({"lang": [UNDETERMINED] * len(texts), "score": 0.0, "cost": 0.0, "rejected": True})
+        cost, length, lettered = self.cost(texts)
         best = cost.argmin(axis=1)
         low = cost[np.arange(len(best)), best]
         logits = -(cost - low[:, None]) * (np.minimum(length, _LENGTH_FOR_SCORE) * self.sharpness)[:, None]
