@@ -71,14 +71,13 @@ def _uri(url: Column) -> Column:
 
 
 def decisions(pages: DataFrame, min_bytes: int) -> DataFrame:
-    """(_page, _digest, keeper): pages whose payload a page with a larger id holds."""
-    digests = pages.select(
-        F.col("page_id").alias("_page"), F.sha1("_payload").alias("_digest"), F.octet_length("_payload").alias("_size")
-    ).where(F.col("_size") >= min_bytes)
-    keepers = digests.groupBy("_digest").agg(F.max("_page").alias("keeper"))
+    """(_digest, _page, keeper): pages whose payload a page with a larger id holds; ``_page`` is never null."""
+    digests = pages.where(F.octet_length("_payload") >= min_bytes).select("page_id", "_page", "_digest")
+    keepers = digests.groupBy("_digest").agg(F.max("page_id").alias("keeper"))
     return (
-        digests.select("_page", "_digest").distinct().join(keepers, "_digest")
-        .where(F.col("keeper").isNotNull() & (F.col("_page").isNull() | (F.col("_page") < F.col("keeper"))))
+        digests.distinct().join(keepers, "_digest")
+        .where(F.col("keeper").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("keeper"))))
+        .select("_digest", "_page", "keeper")
     )
 
 
@@ -96,19 +95,15 @@ def write_archives(
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary").alias("_payload"),
-    )
-    revisits = decisions(rows, min_bytes)
-    found = rows.withColumn("_digest", F.sha1("_payload")).alias("p").join(
-        revisits.alias("r"),
-        (F.col("p._digest") == F.col("r._digest")) & F.col("p.page_id").eqNullSafe(F.col("r._page")),
-        "left",
-    ).select("p.*", "keeper")
+        F.coalesce(F.col(page_id).cast("string"), F.lit("-")).alias("_page"),
+    ).withColumn("_digest", F.sha1("_payload"))
+    # Join and window have one key, so payloads are shuffled once.
+    found = rows.join(decisions(rows, min_bytes), ["_digest", "_page"], "left")
     # Rows that repeat a page are numbered; a page's first is the one that others refer to.
-    order = Window.partitionBy("_digest", "page_id").orderBy("url")
+    order = Window.partitionBy("_digest", "_page").orderBy("url")
     found = found.withColumn("_n", F.row_number().over(order))
     named = lambda page, n: F.concat(F.lit("<urn:page:"), page, F.lit(":"), "_digest", F.lit(":"), n, F.lit(">"))
-    page = F.coalesce(F.col("page_id").cast("string"), F.lit("-"))
-    own = named(page, F.col("_n").cast("string"))
+    own = named(F.col("_page"), F.col("_n").cast("string"))
     part = lambda name: F.concat(F.substring_index(own, ">", 1), F.lit(f":{name}>"))
     size = F.octet_length("_payload").cast("string")
     digest = F.concat(F.lit("sha1:"), base32_sha1(F.col("_payload")))
