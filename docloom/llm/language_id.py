@@ -19,15 +19,17 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm import shingles as S
-from docloom.llm.common import read
+from docloom.llm.common import cut_lineage, read
 
 ORDER = 4
-#: Labelled rows learned from, for each language; a quarter of them calibrates.
-ROWS_PER_LANGUAGE = 800
+#: Labelled rows learned from, for each language; a quarter of them calibrates if there are MIN_TO_CALIBRATE.
+ROWS_PER_LANGUAGE, MIN_TO_CALIBRATE = 800, 20
+#: The table of languages, a label and a count each, is sent to the tasks up to this many rows.
+BROADCAST_LANGUAGES = 100_000
 #: Rejection: this many times the largest excess seen in calibration, and so many nats a
 #: character above the median at least: a text of two languages, or with numbers and
 #: names in it, stays below; random letters do not.
@@ -281,17 +283,22 @@ def fit(
     """A model of the languages labelled in ``docs``.
 
     Learned from rows with a label and a text whose crc32(doc_id) mod 3 is not 1, of each
-    language the ``rows_per_language`` with the smallest hash of doc_id and text: all that comes to
-    the driver are this sample's gram counts and calibration costs.  Rows without a doc_id
-    are not learned from.
+    language a share by a hash of doc_id that is ``rows_per_language`` in expectation, or all if
+    there are fewer: what comes to the driver are this sample's gram counts and
+    calibration costs.  Rows without a doc_id are not learned from.
     """
     known = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
-    ).where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    known = known.where(~held_out(F.col("doc_id"))).withColumn("_hash", F.xxhash64("doc_id", "text"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash"))
-    sample = known.withColumn("_rank", rank).where(F.col("_rank") <= rows_per_language)
-    learn, check = sample.where("_rank % 4 <> 0"), sample.where("_rank % 4 = 0")
+    ).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    known = known.where(~held_out(F.col("doc_id")))
+    # A share of each language by a hash: no task gathers the candidates of a language.
+    counts = cut_lineage(known.groupBy("lang").agg(F.count("*").alias("_count")))
+    counts = F.broadcast(counts) if counts.count() <= BROADCAST_LANGUAGES else counts
+    scale = 1 << 30
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(scale)) * F.col("_count") < float(scale) * rows_per_language
+    sample = known.join(counts, "lang").where(share & F.col("text").isNotNull())
+    kept_apart = (F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(4)) == 0) & (F.col("_count") >= MIN_TO_CALIBRATE)
+    learn, check = sample.where(~kept_apart), sample.where(kept_apart)
     counted = learn.select("lang", "text").mapInArrow(_count, "lang string, gram binary, n bigint")
     model = _kneser_ney(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().to_pandas())
     if model.languages:
