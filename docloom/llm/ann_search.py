@@ -4,8 +4,9 @@ Vectors are lengthened by one coordinate so that all have one norm; then the lar
 inner product is the smallest distance.  Centroids are fitted on a bounded sample and held
 in a graph that each task searches in memory.  Every vector goes to the posting list of its
 nearest centroid and, near a boundary, to those of a few more.  A query visits the lists
-whose centroids are at most a ratio farther than its nearest; the ratio is set by
-a bounded sample of queries compared with all vectors.
+whose centroids are at most a ratio farther than its REFERENCE-th nearest (the nearest of all
+says little: it is the one the query's own vector helped to place); the ratio is set by a
+bounded sample of queries compared with all vectors.
 
 Lists are cut into blocks of bounded size and so are the queries that visit them; blocks
 meet in a keyed join, and each task keeps the best candidates of a query over all
@@ -29,11 +30,13 @@ from docloom.llm.common import cut_lineage, read
 SAMPLE_VECTORS, SAMPLE_QUERIES = 20_000, 100
 MAX_CENTROIDS = 2048
 #: Lists of a vector, and how much farther than its nearest centroid another may be.
-COPIES, BOUNDARY = 4, 1.3
+COPIES, BOUNDARY = 8, 1.3
+#: Which of a query's nearest centroids its ratio refers to.
+REFERENCE = 8
 #: Recall aimed at in the sample; what is asked for is 0.9.
-AIM = 0.97
+AIM = 0.95
 VECTORS_PER_BLOCK, QUERIES_PER_BLOCK = 1024, 512
-_DEGREE, _ROUNDS = 24, 8
+_DEGREE, _FAR, _ROUNDS = 16, 4, 8
 _HELD = 1_000_000
 
 
@@ -46,6 +49,8 @@ class Graph:
     entry: np.ndarray
     ratio: float = math.inf
     beam: int = 64
+    #: Vectors in each list.
+    sizes: np.ndarray | None = None
 
     @staticmethod
     def build(points: np.ndarray) -> Graph:
@@ -54,8 +59,8 @@ class Graph:
         near = np.argsort(_distances(points, points), axis=1, kind="stable")[:, 1 : degree + 1]
         rng = np.random.default_rng(1)
         # A few links to anywhere keep far regions within reach.
-        far = rng.integers(0, n, (n, min(8, n)))
-        return Graph(points, np.concatenate([near, far], axis=1), rng.choice(n, min(16, n), replace=False))
+        far = rng.integers(0, n, (n, min(_FAR, n)))
+        return Graph(points.astype(np.float32), np.concatenate([near, far], axis=1), rng.choice(n, min(16, n), replace=False))
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(distances, centroids) of the ``beam`` nearest found, nearest first: best-first over the links."""
@@ -67,7 +72,8 @@ class Graph:
         seen[rows, ids] = True
         dist = self._to(queries, ids)
         done = np.zeros(ids.shape, bool)
-        step = max(2, min(8, beam // 4))
+        step = max(2, min(8, beam // 6))
+        queries = queries.astype(np.float32)
         while True:
             order = np.argsort(dist, axis=1, kind="stable")[:, : max(beam, 1)]
             ids, dist, done = (np.take_along_axis(x, order, 1) for x in (ids, dist, done))
@@ -89,7 +95,7 @@ class Graph:
             done = np.concatenate([done, np.zeros(new.shape, bool)], axis=1)
 
     def _to(self, queries: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        out = np.full(ids.shape, np.inf)
+        out = np.full(ids.shape, np.inf, np.float32)
         q, at = np.nonzero(ids < len(self.points))
         for low in range(0, len(q), 200_000):
             part = slice(low, low + 200_000)
@@ -172,9 +178,11 @@ class _Nearest:
     def add(self, qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
         rough = queries @ vectors.T
         rough[qids[:, None] == ids[None]] = -np.inf
-        if rough.shape[1] > self.k:
+        # An id with several vectors may fill several of the first places.
+        first = self.k + len(ids) - len(np.unique(ids))
+        if rough.shape[1] > first:
             # Rounding differs between blocks: keep what is level with the k-th but for that.
-            floor = np.partition(rough, -self.k, axis=1)[:, -self.k]
+            floor = np.partition(rough, -first, axis=1)[:, -first]
             slack = 1e-9 * np.maximum(np.abs(np.where(np.isfinite(floor), floor, 0)), 1e-30) + 1e-12 * np.abs(
                 queries
             ).sum(1) * np.abs(vectors).max()
@@ -191,12 +199,14 @@ class _Nearest:
         if not self.parts:
             return
         q, v, s = (np.concatenate(x) for x in zip(*self.parts))
-        order = np.lexsort((v, -s, q))
+        # A vector comes once from each of its lists, an id from each of its vectors: the best counts.
+        order = np.lexsort((-s, v, q))
         q, v, s = q[order], v[order], s[order]
-        # A vector comes once from each of its lists.
         new = np.ones(len(q), bool)
-        new[1:] = (q[1:] != q[:-1]) | (v[1:] != v[:-1]) | (s[1:] != s[:-1])
+        new[1:] = (q[1:] != q[:-1]) | (v[1:] != v[:-1])
         q, v, s = q[new], v[new], s[new]
+        order = np.lexsort((v, -s, q))
+        q, v, s = q[order], v[order], s[order]
         keep = np.arange(len(q)) - np.searchsorted(q, q) < self.k
         self.parts = [(q[keep], v[keep], s[keep])]
         self.size = int(keep.sum())
@@ -235,8 +245,8 @@ def _assign(shared, norm: float, copies: int):
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
                 b = whole.slice(at, 2048)
-                dist, ids = graph.search(_longer(_plain(b.column(1)), norm), max(4 * copies, 16))
-                keep = dist[:, :copies] <= BOUNDARY * dist[:, :1] + 1e-12
+                dist, ids = graph.search(_longer(_plain(b.column(1)), norm), max(2 * copies, 16))
+                keep = np.isfinite(dist[:, :copies]) & (dist[:, :copies] <= BOUNDARY * dist[:, :1] + 1e-6)
                 row, col = np.nonzero(keep)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[row, col].astype(np.int32)), b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row))],
@@ -246,14 +256,19 @@ def _assign(shared, norm: float, copies: int):
     return run
 
 
-def _visit(shared, norm: float):
+def _visit(shared, norm: float, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = shared.value
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
                 dist, ids = graph.search(_queries_longer(_plain(b.column(1)), norm), graph.beam)
-                row, col = np.nonzero(np.isfinite(dist) & (dist <= graph.ratio * dist[:, :1] + 1e-12))
+                reference = dist[:, min(REFERENCE, dist.shape[1]) - 1]
+                keep = dist <= graph.ratio * reference[:, None] + 1e-6
+                # The nearest lists that hold k others at least, each vector COPIES times at most.
+                size = graph.sizes[ids]
+                keep |= np.cumsum(size, axis=1) - size < COPIES * (k + 1)
+                row, col = np.nonzero(keep & np.isfinite(dist))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[row, col].astype(np.int32)), b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row))],
                     names=["list", "id", "v"],
@@ -312,6 +327,9 @@ def build_graph(vectors: DataFrame, n: int, norm: float) -> Graph:
 def set_ratio(graph: Graph, vectors: DataFrame, postings: DataFrame, queries: DataFrame, n: int, norm: float, k: int) -> None:
     """The smallest ratio at which a sample of queries finds AIM of its true neighbours, and a beam that holds its lists."""
     qids, sample = _sampled(queries, n, SAMPLE_QUERIES)
+    graph.sizes = np.zeros(len(graph.points), np.int64)
+    for row in postings.groupBy("list").count().collect():  # one for each centroid
+        graph.sizes[row["list"]] = row["count"]
     graph.beam = len(graph.points)
     if not len(qids):
         graph.ratio = math.inf
@@ -321,14 +339,16 @@ def set_ratio(graph: Graph, vectors: DataFrame, postings: DataFrame, queries: Da
     # At most k neighbours of each sampled query, in at most COPIES lists each.
     pairs = true.join(postings.select("list", "id"), "id").select("query_id", "id", "list").toArrow().to_pandas()
     dist = _distances(_queries_longer(sample, norm), graph.points)
-    scaled = dist / np.maximum(dist.min(1, keepdims=True), 1e-12)
+    reference = np.sort(dist, axis=1)[:, min(REFERENCE, dist.shape[1]) - 1]
+    scaled = dist / np.maximum(reference, 1e-12)[:, None]
     pairs["need"] = scaled[np.searchsorted(qids, pairs["query_id"]), pairs["list"]]
     need = pairs.groupby(["query_id", "id"])["need"].min().to_numpy()
     if not len(need):
         return
     graph.ratio = float(np.quantile(need, AIM, method="higher")) * (1 + 1e-9)
     lists = (scaled <= graph.ratio).sum(1)
-    graph.beam = int(min(len(graph.points), max(16, math.ceil(1.25 * lists.max()))))
+    enough = COPIES * (k + 1) / max(graph.sizes.mean(), 1e-9)
+    graph.beam = int(min(len(graph.points), max(16, math.ceil(1.25 * lists.max()), math.ceil(4 * enough))))
 
 
 def search(
@@ -356,7 +376,7 @@ def search(
     postings = cut_lineage(rows.mapInArrow(_assign(held, norm, COPIES), kind))
     set_ratio(graph, rows, postings, queries, queries.count(), norm, k)
     held = spark.sparkContext.broadcast(graph)
-    visits = cut_lineage(queries.mapInArrow(_visit(held, norm), kind))
+    visits = cut_lineage(queries.mapInArrow(_visit(held, norm, k), kind))
     stored = _blocks(postings, VECTORS_PER_BLOCK, ("_ids", "_vectors"))
     asked = _blocks(visits, QUERIES_PER_BLOCK, ("_qids", "_queries"))
     met = stored.join(asked, "list").select("_ids", "_vectors", "_qids", "_queries")
