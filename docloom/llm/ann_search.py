@@ -10,7 +10,9 @@ bounded sample of queries compared with all vectors.
 
 Lists are cut into blocks of bounded size and so are the queries that visit them; blocks
 meet in a keyed join, and each task keeps the best candidates of a query over all
-blocks it sees.
+blocks it sees.  A query carries a floor, the 2k-th best score in the sample of vectors: what lies
+below it cannot be among the k best, and is sent on only from the nearest lists, which
+hold k vectors for certain.
 """
 
 from __future__ import annotations
@@ -175,9 +177,14 @@ class _Nearest:
     def __init__(self, k: int):
         self.k, self.parts, self.size = k, [], 0
 
-    def add(self, qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def add(
+        self, qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
+        least: np.ndarray | None = None,
+    ) -> None:
         rough = queries @ vectors.T
         rough[qids[:, None] == ids[None]] = -np.inf
+        if least is not None:
+            rough[rough < least[:, None]] = -np.inf
         # An id with several vectors may fill several of the first places.
         first = self.k + len(ids) - len(np.unique(ids))
         if rough.shape[1] > first:
@@ -256,9 +263,20 @@ def _assign(shared, norm: float, copies: int):
     return run
 
 
+def _floor(ids: np.ndarray, queries: np.ndarray, sample: tuple[np.ndarray, np.ndarray], k: int) -> np.ndarray:
+    """A score that at least 2k other vectors reach; minus infinity where the sample is too small to tell."""
+    known, vectors = sample
+    if len(known) <= 2 * k:
+        return np.full(len(ids), -np.inf)
+    scores = queries @ vectors.T
+    scores[ids[:, None] == known[None]] = -np.inf
+    low = np.partition(scores, -2 * k, axis=1)[:, -2 * k]
+    return low - 1e-9 * np.maximum(np.abs(np.where(np.isfinite(low), low, 0)), 1e-30)
+
+
 def _visit(shared, norm: float, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        graph = shared.value
+        graph, sample = shared.value
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
@@ -267,23 +285,26 @@ def _visit(shared, norm: float, k: int):
                 keep = dist <= graph.ratio * reference[:, None] + 1e-6
                 # The nearest lists that hold k others at least, each vector COPIES times at most.
                 size = graph.sizes[ids]
-                keep |= np.cumsum(size, axis=1) - size < COPIES * (k + 1)
-                row, col = np.nonzero(keep & np.isfinite(dist))
+                certain = np.cumsum(size, axis=1) - size < COPIES * (k + 1)
+                row, col = np.nonzero((keep | certain) & np.isfinite(dist))
+                floor = _floor(b.column(0).to_numpy(), _plain(b.column(1)), sample, k)
+                floor = np.where(certain[row, col], -np.inf, floor[row])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row, col].astype(np.int32)), b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row))],
-                    names=["list", "id", "v"],
+                    [pa.array(ids[row, col].astype(np.int32)), b.column(0).take(pa.array(row)),
+                     b.column(1).take(pa.array(row)), pa.array(floor)],
+                    names=["list", "id", "v", "floor"],
                 )
 
     return run
 
 
-def _blocks(rows: DataFrame, size: int, names: tuple[str, str]) -> DataFrame:
-    """(list, ids, vectors): rows of a list packed into blocks of about ``size``."""
+def _blocks(rows: DataFrame, size: int, names: dict[str, str]) -> DataFrame:
+    """Rows of a list packed into blocks of about ``size``: an array of each column under its new name."""
     counts = rows.groupBy("list").agg(F.ceil(F.count("*") / size).cast("bigint").alias("_parts"))
     # One row for each centroid, of which there are at most MAX_CENTROIDS.
     dealt = rows.join(F.broadcast(counts), "list").withColumn("_part", F.pmod(F.xxhash64("id"), F.col("_parts")))
-    packed = dealt.groupBy("list", "_part").agg(F.collect_list(F.struct("id", "v")).alias("_b"))
-    return packed.select("list", F.col("_b.id").alias(names[0]), F.col("_b.v").alias(names[1]))
+    packed = dealt.groupBy("list", "_part").agg(F.collect_list(F.struct(*names)).alias("_b"))
+    return packed.select("list", *[F.col(f"_b.{c}").alias(n) for c, n in names.items()])
 
 
 def _match(k: int):
@@ -291,8 +312,8 @@ def _match(k: int):
         best = _Nearest(k)
         for b in batches:
             for i in range(b.num_rows):
-                ids, vectors, qids, queries = (b.column(c).slice(i, 1).flatten() for c in range(4))
-                best.add(qids.to_numpy(), _plain(queries), ids.to_numpy(), _plain(vectors))
+                ids, vectors, qids, queries, least = (b.column(c).slice(i, 1).flatten() for c in range(5))
+                best.add(qids.to_numpy(), _plain(queries), ids.to_numpy(), _plain(vectors), least.to_numpy())
                 if best.full():
                     yield from best.take()
         yield from best.take()
@@ -316,10 +337,7 @@ def _sampled(df: DataFrame, n: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     return table["id"].to_numpy(), _plain(table["v"].combine_chunks())
 
 
-def build_graph(vectors: DataFrame, n: int, norm: float) -> Graph:
-    _, sample = _sampled(vectors, n, SAMPLE_VECTORS)
-    if not len(sample):
-        sample = _plain(vectors.orderBy("id").limit(1).toArrow()["v"].combine_chunks())
+def build_graph(sample: np.ndarray, n: int, norm: float) -> Graph:
     k = max(1, min(MAX_CENTROIDS, int(4 * math.sqrt(n)), len(sample) // 4))
     return Graph.build(fit_centroids(_longer(sample, norm), k))
 
@@ -370,16 +388,21 @@ def search(
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     norm = math.sqrt(most) * (1 + 1e-12)
     queries = rows.where(is_query)
-    graph = build_graph(rows, n, norm)
+    sample = _sampled(rows, n, SAMPLE_VECTORS)
+    if not len(sample[0]):
+        sample = _sampled(rows, 1, 1)
+    # An id with several vectors has one place among the best.
+    once = np.unique(sample[0], return_index=True)[1]
+    graph = build_graph(sample[1], n, norm)
     held = spark.sparkContext.broadcast(graph)
     kind = "list int, id bigint, v array<double>"
     postings = cut_lineage(rows.mapInArrow(_assign(held, norm, COPIES), kind))
     set_ratio(graph, rows, postings, queries, queries.count(), norm, k)
-    held = spark.sparkContext.broadcast(graph)
-    visits = cut_lineage(queries.mapInArrow(_visit(held, norm, k), kind))
-    stored = _blocks(postings, VECTORS_PER_BLOCK, ("_ids", "_vectors"))
-    asked = _blocks(visits, QUERIES_PER_BLOCK, ("_qids", "_queries"))
-    met = stored.join(asked, "list").select("_ids", "_vectors", "_qids", "_queries")
+    held = spark.sparkContext.broadcast((graph, (sample[0][once], sample[1][once])))
+    visits = cut_lineage(queries.mapInArrow(_visit(held, norm, k), f"{kind}, floor double"))
+    stored = _blocks(postings, VECTORS_PER_BLOCK, {"id": "_ids", "v": "_vectors"})
+    asked = _blocks(visits, QUERIES_PER_BLOCK, {"id": "_qids", "v": "_queries", "floor": "_least"})
+    met = stored.join(asked, "list").select("_ids", "_vectors", "_qids", "_queries", "_least")
     return _ranked(met.mapInArrow(_match(k), _FOUND), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
