@@ -103,6 +103,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lang in set(langs[low:high]):
                 own = [texts[i] for i in range(low, high) if langs[i] == lang]
                 symbols, at = _symbols(own)
+                if len(symbols) < ORDER:
+                    continue
                 grams = np.lib.stride_tricks.sliding_window_view(symbols, ORDER)
                 inside = np.ones(len(grams), bool)
                 for cut in at[1:-1]:
