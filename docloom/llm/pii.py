@@ -1,8 +1,9 @@
 """Personal data: known forms, and identifiers that only their context gives away.
 
-The known forms are the seeds.  Every token with enough digits is an instance, and
-the words before it are its lexical patterns: the last one, and the last two.  Patterns
-and instances form a graph that is scored in rounds: a pattern by the share of its
+The known forms are the seeds: each valid span of the text is an instance, with the
+spaces it holds.  So is every other number with enough digits that touches no such span:
+a word, short groups of digits, or what follows a plus.  The words before an instance's
+own word are its lexical patterns: the last one, and the last two.  Patterns and instances form a graph that is scored in rounds: a pattern by the share of its
 different instances that are held to be identifiers, an instance by the patterns it
 appears in.  Patterns that end with high confidence and enough seeds turn their other
 instances into finds.  A pattern takes part only if its last word announces identifiers:
@@ -15,18 +16,27 @@ sums it over either end, combined before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import cut_lineage, once, read
-from docloom.llm.spans import SPAN, find, joined, none, valid
+from docloom.llm.spans import SPAN, find, joined, none
 
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A word with a digit or an at sign.
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+_WORD = r"[^\x20\x09-\x0D]*+"
+#: A number that may be an identifier of no known form: what follows a plus, groups of at most five
+#: digits with a space between, or a word with a digit or an at sign.
+RUN = (
+    r"(?<![^\x20\x09-\x0D])(?:"
+    rf"[^\x20\x09-\x0D0-9@+]*+\+[0-9][\x20().0-9-]*[0-9]{_WORD}"
+    rf"|[^\x20\x09-\x0D0-9@]*+[0-9]{{1,5}}+(?![0-9])(?:\x20[0-9]{{1,5}}+(?![0-9]))++{_WORD}"
+    rf"|[^\x20\x09-\x0D0-9@]*+[0-9@]{_WORD})"
+)
 KINDS = ("email", "ip", "card", "phone", "context")
 
 MIN_DIGITS = 6
@@ -36,6 +46,8 @@ MIN_SCORE, MIN_SEEDS = 0.9, 5
 #: Least share of a last word's places that seeds follow.
 MIN_SHARE = 0.5
 _CONTEXT = 80
+#: A match and the gap before it hold two code points at least, so these many fill the context.
+_PIECES = _CONTEXT // 2
 
 
 def _digits(value: Column) -> Column:
@@ -66,38 +78,65 @@ def is_phone(value: Column) -> Column:
     return F.length(_digits(value)).between(10, 15)
 
 
-def _tokens(tokens: str, gaps: str) -> Column:
-    """Instances: the core of each seed or token with enough digits, and the words before it."""
-    before = F.slice(gaps, F.lit(1), F.size(tokens))
-    previous = F.concat(F.array(F.lit("")), F.transform(tokens, lambda t: t["value"]))
-    zipped = F.arrays_zip(F.col(tokens).alias("t"), before.alias("g"), F.slice(previous, F.lit(1), F.size(tokens)).alias("p"))
-    able = F.filter(
-        zipped, lambda x: (F.length(_digits(x["t"]["value"])) >= MIN_DIGITS) | _seed(x["t"]["value"])
-    )
+def is_number(value: Column) -> Column:
+    return F.length(_digits(value)) >= MIN_DIGITS
+
+
+#: What makes a match of each pattern an instance.
+TESTS: dict[str, Callable[[Column], Column]] = {
+    "email": lambda v: v.isNotNull(), "ip": is_ip, "card": is_card, "phone": is_phone, "run": is_number,
+}
+
+
+def _fit(kind: str) -> Column:
+    """The matches of ``kind`` that pass its test, each with its number."""
+    numbered = F.transform(kind, lambda t, i: F.struct(t.alias("t"), i.alias("i")))
+    return F.filter(numbered, lambda x: TESTS[kind](x["t"]["value"]))
+
+
+def _pieces(kind: str) -> Column:
+    """For each match the one before it and the gap between, both cut to the context's length."""
+    tail = lambda c: F.substring(c, -_CONTEXT, _CONTEXT)
+    previous = F.concat(F.array(F.lit("")), F.transform(kind, lambda t: tail(t["value"])))
+    zipped = F.arrays_zip(previous.alias("p"), F.col(f"{kind}_gaps").alias("g"))
+    return F.transform(zipped, lambda x: F.concat(x["p"], tail(x["g"])))
+
+
+def _instances(kind: str) -> Column:
+    """The instances of ``kind``, with the words before their own word and where that begins."""
 
     def instance(x: Column) -> Column:
-        core = F.regexp_extract(x["t"]["value"], r"[\p{L}0-9+](?:.*[\p{L}0-9])?", 0)
-        start = x["t"]["start"] + F.instr(x["t"]["value"], core) - 1
-        context = F.concat(
-            F.substring(x["p"], -_CONTEXT, _CONTEXT), F.substring(x["g"], -_CONTEXT, _CONTEXT)
+        value, start = x["t"]["value"], x["t"]["start"]
+        if kind == "run":
+            core = F.regexp_extract(value, r"[\p{L}0-9+](?:.*[\p{L}0-9])?", 0)
+            start = start + F.instr(value, core) - 1
+            value = core
+        near = F.slice(
+            f"_pieces_{kind}", F.greatest(x["i"] + 2 - _PIECES, F.lit(1)), F.least(x["i"] + 1, F.lit(_PIECES))
         )
+        context = F.substring(F.array_join(near, ""), -_CONTEXT, _CONTEXT)
         plain = F.regexp_replace(F.lower(context), r"[0-9]", "0")
         return F.struct(
-            start.alias("start"), (start + F.length(core)).alias("end"), core.alias("value"),
-            F.regexp_extract(plain, r"([^\s]+)\s+$", 1).alias("one"),
-            F.regexp_extract(plain, r"([^\s]+\s+[^\s]+)\s+$", 1).alias("two"),
+            start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"),
+            F.regexp_extract(plain, r"([^\s]+)\s+[^\s]*+\z", 1).alias("one"),
+            F.regexp_extract(plain, r"([^\s]+\s+[^\s]+)\s+[^\s]*+\z", 1).alias("two"),
+            (x["t"]["start"] - F.length(F.regexp_extract(context, r"[^\s]*+\z", 0))).alias("place"),
+            F.lit(kind != "run").alias("seed"),
         )
 
-    return F.transform(able, instance)
+    return F.transform(f"_fit_{kind}", instance)
 
 
-def _seed(value: Column) -> Column:
-    card = F.regexp_extract(value, CARD, 0)
-    ip = F.regexp_extract(value, IP, 0)
-    return (
-        value.rlike(EMAIL) | ((ip != "") & is_ip(ip)) | is_card(card)
-        | (value.startswith("+") & is_phone(value))
+def _apart(each: DataFrame) -> DataFrame:
+    """Without the instances that touch a seed of their row."""
+    row = Window.partitionBy("_row")
+    end = F.max(F.when(F.col("seed"), F.col("end"))).over(row.orderBy("start"))
+    start = F.min(F.when(F.col("seed"), F.col("start"))).over(row.orderBy(F.desc("start")))
+    met = each.withColumn("_end", end).withColumn("_start", start)
+    free = F.coalesce(F.col("_end") <= F.col("start"), F.lit(True)) & F.coalesce(
+        F.col("_start") >= F.col("end"), F.lit(True)
     )
+    return met.where(F.col("seed") | free).drop("_end", "_start")
 
 
 def announcing(each: DataFrame, rows: DataFrame) -> DataFrame:
@@ -107,7 +146,7 @@ def announcing(each: DataFrame, rows: DataFrame) -> DataFrame:
     places = words.groupBy("last").agg(F.count("*").alias("_places"))
     last = F.regexp_extract("pattern", r"([^\s]+)$", 1)
     seeded = (
-        each.where("seed").groupBy("pattern").agg(F.count("*").alias("_seeds"))
+        each.where("seed").select("_row", "place", "pattern").distinct().groupBy("pattern").agg(F.count("*").alias("_seeds"))
         .where(F.col("_seeds") >= MIN_SEEDS).withColumn("last", last)
     )
     return (
@@ -149,15 +188,16 @@ def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
     counts different instances.  Other columns are ignored.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
-    marked = find(
-        rows, "_text", {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "token": TOKEN}, ("token",)
-    ).drop("_text")
-    base = F.concat("email", valid("ip", is_ip), valid("card", is_card), valid("phone", is_phone))
-    parts = once(marked, ["doc_id"], base=base, instances=_tokens("token", "token_gaps"))
+    kinds = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "run": RUN}
+    marked = find(rows, "_text", kinds, tuple(kinds)).drop("_text")
+    fit = once(
+        marked, ["doc_id"], **{f"_fit_{k}": _fit(k) for k in kinds}, **{f"_pieces_{k}": _pieces(k) for k in kinds}
+    )
+    base = F.concat(*[F.transform(f"_fit_{k}", lambda x: x["t"]) for k in KINDS[:4]])
+    parts = once(fit, ["doc_id"], base=base, instances=F.concat(*[_instances(k) for k in kinds]))
     # Numbered before they are stored: the number names a row from here on.
     parts = cut_lineage(parts.withColumn("_row", F.monotonically_increasing_id()))
-    each = parts.select("_row", F.explode("instances").alias("i")).select("_row", "i.*")
-    each = each.withColumn("seed", _seed(F.col("value")))
+    each = _apart(parts.select("_row", F.explode("instances").alias("i")).select("_row", "i.*"))
     each = each.withColumn("pattern", F.explode(F.array("one", "two"))).where("pattern <> ''")
     each = cut_lineage(each.join(announcing(each, rows), "pattern", "left_semi"))
     edges = each.select("pattern", F.xxhash64("value").alias("instance"), "seed").distinct()
@@ -168,11 +208,8 @@ def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
         .groupBy("_row")
         .agg(F.collect_set(F.struct("start", "end", F.lit("context").alias("kind"), "value")).alias("_hits"))
     )
-    free = F.filter(
-        "_hits", lambda h: ~F.exists("base", lambda s: (s["start"] < h["end"]) & (s["end"] > h["start"]))
-    )
     return parts.drop("instances").join(hits, "_row", "left").select(
-        "doc_id", "base", F.when(F.col("_hits").isNotNull(), free.cast(SPAN)).otherwise(none()).alias("found")
+        "doc_id", "base", F.coalesce(F.col("_hits").cast(SPAN), none()).alias("found")
     )
 
 

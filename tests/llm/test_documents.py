@@ -247,6 +247,27 @@ def test_context_finds_unseen_identifiers(spark):
     assert found == {100: [(9, 17, "77123456")]}
 
 
+def test_spaced_phones_and_cards_are_seeds(spark):
+    def card(i):
+        body = f"41110000{i:07d}"
+        digits = next(body + str(c) for c in range(10) if brute.luhn(body + str(c)))
+        return " ".join(digits[k : k + 4] for k in range(0, 16, 4))
+
+    rows = [(i, f"please call: +1 ({200 + i}) 555-77{i:02d}, then pay by card: \"{card(i)}\" today") for i in range(12)]
+    rows += [(100, "call: +1 (017) 555-77 now"), (101, "use card: 4111 0000 0000 9999. Thanks"), (102, "call: 77123456\nat once")]
+    rows += [(103, "of 77123456 and 4111 0000 0000 9998"), (104, "a@x.org card:\n88123456"), (105, "call: 99123456 3 times")]
+    found = {}
+    for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        text = dict(rows)[r.doc_id]
+        assert spans(r.base) == sorted(brute.pii_spans(text))
+        assert len(r.base) == (2 if r.doc_id < 100 else int(r.doc_id == 104))
+        found |= {r.doc_id: [s.value for s in r.found]} if r.found else {}
+        assert all(text[s.start : s.end] == s.value for s in r.found)
+    assert found == {
+        100: ["+1 (017) 555-77"], 101: ["4111 0000 0000 9999"], 102: ["77123456"], 104: ["88123456"], 105: ["99123456"]
+    }
+
+
 def graph_by_hand(edges, rounds):
     seed = dict((i, s) for _, i, s in edges)
     sure = {i: 1.0 if s else 0.0 for i, s in seed.items()}
