@@ -6,9 +6,8 @@ a word, short groups of digits, or what follows a plus.  The words before an ins
 own word are its lexical patterns: the last one, and the last two.  Patterns and instances form a graph that is scored in rounds: a pattern by the share of its
 different instances that are held to be identifiers, an instance by the patterns it
 appears in.  Patterns that end with high confidence and enough seeds turn their other
-instances into finds.  A pattern takes part only if its last word announces identifiers:
-if seeds follow it in at least half of all its places in the corpus.  Else a common
-word before many numbers would vouch for any number.
+instances into finds.  A pattern takes part only if it announces identifiers: if seeds
+follow it in at least half of all its own places in the corpus.  Else a common word before many numbers would vouch for any number.
 
 The graph has one edge for each different pair of pattern and instance, and each round
 sums it over either end, combined before the shuffle.
@@ -43,8 +42,10 @@ MIN_DIGITS = 6
 ROUNDS = 3
 #: A pattern counts from this score and this many different seeds on.
 MIN_SCORE, MIN_SEEDS = 0.9, 5
-#: Least share of a last word's places that seeds follow.
+#: Least share of a pattern's places that seeds follow.
 MIN_SHARE = 0.5
+#: So many seeded patterns are broadcast at most.
+LIMIT = 100_000
 _CONTEXT = 80
 #: A match and the gap before it hold two code points at least, so these many fill the context.
 _PIECES = _CONTEXT // 2
@@ -119,7 +120,9 @@ def _instances(kind: str) -> Column:
         return F.struct(
             start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"),
             F.regexp_extract(plain, r"([^\s]+)\s+[^\s]*+\z", 1).alias("one"),
-            F.regexp_extract(plain, r"([^\s]+\s+[^\s]+)\s+[^\s]*+\z", 1).alias("two"),
+            F.regexp_replace(
+                F.regexp_extract(plain, r"([^\s]+\s+[^\s]+)\s+[^\s]*+\z", 1), r"\s+", " "
+            ).alias("two"),
             (x["t"]["start"] - F.length(F.regexp_extract(context, r"[^\s]*+\z", 0))).alias("place"),
             F.lit(kind != "run").alias("seed"),
         )
@@ -139,18 +142,36 @@ def _apart(each: DataFrame) -> DataFrame:
     return met.where(F.col("seed") | free).drop("_end", "_start")
 
 
-def announcing(each: DataFrame, rows: DataFrame) -> DataFrame:
-    """Patterns whose last word is followed by seeds often enough, counted over all words of all texts."""
+def _places(rows: DataFrame) -> DataFrame:
+    """(pattern): every word of every text, and every two words that follow each other."""
     plain = F.regexp_replace(F.lower("_text"), "[0-9]", "0")
-    words = rows.select(F.explode(F.split(plain, r"[\x20\x09-\x0D]+")).alias("last")).where("last <> ''")
-    places = words.groupBy("last").agg(F.count("*").alias("_places"))
-    last = F.regexp_extract("pattern", r"([^\s]+)$", 1)
+    split = F.filter(F.split(plain, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    words = once(rows, [], _words=split)
+    following = F.slice("_words", F.lit(2), F.greatest(F.size("_words") - 1, F.lit(0)))
+    zipped = F.arrays_zip(F.col("_words").alias("a"), following.alias("b"))
+    # The last word has no partner: null.
+    pairs = F.transform(zipped, lambda x: F.concat(x["a"], F.lit(" "), x["b"]))
+    return words.select(F.explode(F.concat("_words", pairs)).alias("pattern")).where("pattern is not null")
+
+
+def announcing(each: DataFrame, rows: DataFrame) -> DataFrame:
+    """Patterns that seeds follow in enough of their own places, counted over all texts.
+
+    A place counts once, however many seeds its word holds.  Up to LIMIT seeded patterns
+    are sent to the tasks, so only their places are counted; beyond that all places are counted and
+    joined by key.
+    """
     seeded = (
-        each.where("seed").select("_row", "place", "pattern").distinct().groupBy("pattern").agg(F.count("*").alias("_seeds"))
-        .where(F.col("_seeds") >= MIN_SEEDS).withColumn("last", last)
+        each.where("seed").select("_row", "place", "pattern").distinct().groupBy("pattern")
+        .agg(F.count("*").alias("_seeds")).where(F.col("_seeds") >= MIN_SEEDS)
     )
+    seeded = cut_lineage(seeded)
+    places = _places(rows)
+    if seeded.limit(LIMIT + 1).count() <= LIMIT:
+        places = places.join(F.broadcast(seeded.select("pattern")), "pattern", "left_semi")
+    places = places.groupBy("pattern").agg(F.count("*").alias("_places"))
     return (
-        seeded.join(places, "last").where(F.col("_seeds") >= MIN_SHARE * F.col("_places")).select("pattern")
+        seeded.join(places, "pattern").where(F.col("_seeds") >= MIN_SHARE * F.col("_places")).select("pattern")
     )
 
 

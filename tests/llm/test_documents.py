@@ -268,6 +268,17 @@ def test_spaced_phones_and_cards_are_seeds(spark):
     }
 
 
+@pytest.mark.parametrize("limit", [pii.LIMIT, 0])
+def test_two_words_announce_where_the_last_one_does_not(spark, monkeypatch, limit):
+    monkeypatch.setattr(pii, "LIMIT", limit)
+    rows = [(i, f"The  number\tis user{i}@mail.example.com. This is what is said, it is so") for i in range(12)]
+    rows += [(30 + i, f"he is user{i}@mail.example.com and he is here, he is there, he is 5512345{i}") for i in range(12)]
+    rows += [(100, "my NUMBER is 77123456 today"), (101, "it is 88123456 today"), (102, "number"), (103, ""), (104, "is 99123456")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [s.value for s in r.found] for r in pii.detect(docs).collect() if r.found}
+    assert found == {100: ["77123456"]}
+
+
 def graph_by_hand(edges, rounds):
     seed = dict((i, s) for _, i, s in edges)
     sure = {i: 1.0 if s else 0.0 for i, s in seed.items()}
