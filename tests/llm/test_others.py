@@ -65,6 +65,22 @@ def test_conversations(spark):
     assert chat_format.format_conversations(frame.limit(0)).count() == 0
 
 
+def test_the_query_reads_replies_under_their_spans(spark, monkeypatch):
+    right = {r.conv_id: r for r in chat_format.op2_chat_formatting(spark, FOLDER).collect()}
+    made = chat_format.format_conversations
+
+    def shifted(rows):
+        moved = F.transform("examples", lambda e: e.withField("start", e["start"] + 1))
+        return made(rows).withColumn("examples", moved)
+
+    monkeypatch.setattr(chat_format, "format_conversations", shifted)
+    wrong = {r.conv_id: r for r in chat_format.op2_chat_formatting(spark, FOLDER).collect()}
+    assert right.keys() == wrong.keys() and any(r.loss_chars for r in right.values())
+    for c, r in right.items():
+        assert r.turns_sha256 == wrong[c].turns_sha256
+        assert (r.loss_sha256 != wrong[c].loss_sha256) == (r.loss_chars > 0)
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 256, 257, 1000])
 def test_prefix_sums(spark, n):
     values = [(i * 7) % 13 for i in range(n)]
