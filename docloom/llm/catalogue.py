@@ -10,6 +10,7 @@ from docloom.llm import (
     mixing,
     pii,
     secret_scan,
+    substring_dedup,
     warc,
 )
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_mixing": mixing.op10_mixing,
+    "op11_substring_dedup": substring_dedup.op11_substring_dedup,
 }
 
 #: Search, language identification and bootstrapped extraction are held against brute force in the tests.
@@ -34,4 +36,5 @@ SQL = {
     "op8_warc": warc.SQL,
     "op9_benchmark_decontamination": decontaminate.SQL,
     "op10_mixing": mixing.SQL,
+    "op11_substring_dedup": substring_dedup.SQL,
 }

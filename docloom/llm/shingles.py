@@ -36,9 +36,10 @@ def constants(n: int, seed: int) -> np.ndarray:
 
 
 @cache
-def _tables():
+def _tables(fold: bool = True):
     code = constants(256, 77)
-    code[65:91] = code[97:123]
+    if fold:
+        code[65:91] = code[97:123]
     space = np.zeros(256, bool)
     space[[9, 10, 11, 12, 13, 32]] = True
     return code, space, constants(WORDS, 5)
@@ -53,9 +54,9 @@ def _powers(n: int):
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def _piece_words(data: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _piece_words(data: np.ndarray, cut: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray]:
     """(start, hash) of the words of a piece; ``cut`` are positions where a text begins."""
-    code, space, _ = _tables()
+    code, space, _ = _tables(fold)
     n = len(data)
     blank = np.frombuffer(data.tobytes().translate(space.tobytes()), bool)
     first = np.empty(n, bool)
@@ -75,8 +76,11 @@ def _piece_words(data: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, mix(value + (ends - starts).astype(_U) * _U(0x9E3779B97F4A7C15))
 
 
-def batch_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words of a column, where each text's words begin: one more than texts)."""
+def batch_words(texts: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words of a column, where each text's words begin: one more than texts).
+
+    ``fold`` lower-cases A-Z first.
+    """
     texts = texts.cast(pa.large_binary())
     if texts.null_count:
         texts = texts.fill_null(b"")
@@ -108,7 +112,7 @@ def batch_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
                 break
             end = min(size, end + (end - at))
         low, high = np.searchsorted(begins, [at, end])
-        s, h = _piece_words(data[at:end], begins[low:high] - at)
+        s, h = _piece_words(data[at:end], begins[low:high] - at, fold)
         starts.append(s + at)
         hashes.append(h)
         at = end
