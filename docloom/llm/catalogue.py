@@ -4,6 +4,7 @@ from docloom.llm import (
     ann_search,
     chat_format,
     decontaminate,
+    hard_negatives,
     language_id,
     line_dedup,
     minhash_dedup,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_mixing": mixing.op10_mixing,
     "op11_substring_dedup": substring_dedup.op11_substring_dedup,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 #: Search, language identification and bootstrapped extraction are held against brute force in the tests.
@@ -37,4 +39,5 @@ SQL = {
     "op9_benchmark_decontamination": decontaminate.SQL,
     "op10_mixing": mixing.SQL,
     "op11_substring_dedup": substring_dedup.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
