@@ -4,6 +4,7 @@ from docloom.llm import (
     ann_search,
     chat_format,
     decontaminate,
+    filter_audit,
     hard_negatives,
     language_id,
     line_dedup,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_mixing": mixing.op10_mixing,
     "op11_substring_dedup": substring_dedup.op11_substring_dedup,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
     "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
@@ -39,5 +41,6 @@ SQL = {
     "op9_benchmark_decontamination": decontaminate.SQL,
     "op10_mixing": mixing.SQL,
     "op11_substring_dedup": substring_dedup.SQL,
+    "op12_filter_audit": filter_audit.SQL,
     "op13_hard_negatives": hard_negatives.SQL,
 }
