@@ -1,17 +1,16 @@
 """Benchmark items inside documents, by size-partitioned MinHash containment search.
 
-An item is far shorter than a document, so their similarity says little; what can be
-compared is the item with a window of the document of the item's size.  Items are
-parted by size.  Each part has a window of a few shingles, short enough that a
-document which contains four fifths of an item's shingles in runs of text holds a run
-at least that long: a change inside costs four shingles, so few runs can remain.  The
-MinHash of a window is the smallest shingle hash in it, and equal windows have equal
-minima, so every such document shares a minimum with the item, wherever it lies.
-Sharing one makes a candidate; it is confirmed by counting the item's shingles in
-the whole document.
-
-The minima of documents are looked up in bitmaps of fixed size before anything is
-shuffled.  What passes are the minima of items and few others, which the join drops.
+An item is far shorter than a document, so their similarity says little; what counts is
+the share of the item's shingles that the document holds, wherever they lie in it.
+A document that holds ``percent`` of n shingles lacks at most n * (100 - percent) / 100, so of any one more
+than that it holds at least one.  The MinHash sketch of an item is that many of its smallest
+hashes; its length is set for each size part, by the part's largest size.  Sharing a
+member of the sketch makes a candidate, and no document that holds enough is missed.  A
+candidate is confirmed by counting the item's shingles in the whole document.
+
+The shingles of documents are looked up in a bitmap whose size follows the number of item
+shingles, up to a bound, before anything is shuffled.  What passes are shingles of items
+and few others, which the join drops; it depends on the document alone.
 """
 
 from __future__ import annotations
@@ -20,99 +19,76 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm import shingles as S
 from docloom.llm.common import cut_lineage, read
 
-#: (largest number of shingles of an item, window) of each size part.
-PARTS = ((4, 1), (9, 4), (None, 8))
-#: Bits of a bitmap: fixed, whatever the number of items.
-BITMAP_BITS = 1 << 24
+#: Bits of the bitmap for each item shingle, and the bounds of all of them (the larger is 128 MB).
+BITS_PER_SHINGLE, BITMAP_BITS = 64, (1 << 20, 1 << 30)
 _PAGE = 32768
 _DOCS_AT_ONCE = 1024
 _U = np.uint64
 
 
-def _window_minima(values: np.ndarray) -> dict[int, np.ndarray]:
-    """For each part's window the minimum of every run of that many values."""
-    held = {1: values}
-    width = 1
-    while width < max(w for _, w in PARTS):
-        low = held[width]
-        held[2 * width] = np.minimum(low[:-width], low[width:]) if len(low) > width else low[:0]
-        width *= 2
-    return held
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        values, at = S.batch_shingles(b.column(1))
+        row = np.repeat(np.arange(b.num_rows), np.diff(at))
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0).take(pa.array(row)), pa.array(values.view(np.int64))], names=["item_id", "hash"]
+        )
 
 
-def _part(count: int) -> int:
-    return next(i for i, (most, _) in enumerate(PARTS) if most is None or count <= most)
+def sketch_length(n: Column, percent: int) -> Column:
+    """Members of the sketches of the size part of ``n``: sizes from one power of two to the next are a part."""
+    largest = F.pow(F.lit(2.0), F.length(F.bin(n))) - 1
+    return F.floor(largest * (100 - percent) / 100) + 1
 
 
-def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        values, at = S.batch_shingles(b.column(1))
-        items, hashes, masks = [], [], []
-        for i in range(b.num_rows):
-            own = values[at[i] : at[i + 1]]
-            if not len(own):
-                continue
-            known = np.unique(own)
-            part = _part(len(known))
-            # A text can have fewer different shingles than its window is wide.
-            low = _window_minima(own)[PARTS[part][1]]
-            chosen = np.isin(known, low) if len(low) else np.ones(len(known), bool)
-            items.append(np.full(len(known), i))
-            hashes.append(known)
-            masks.append(chosen.astype(np.int32) << part)
-        if items:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(np.concatenate(items))),
-                 pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(masks))],
-                names=["item_id", "hash", "mask"],
-            )
-
-
-def index_items(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, hash, mask, n_item): an item's shingles; ``mask`` marks minima of its size part."""
+def index_items(items: DataFrame, percent: int = 80, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """(item_id, hash, n_item, sketch): an item's shingles; ``sketch`` marks its smallest hashes."""
     kind = items.schema[item_id].dataType.simpleString()
     rows = (
         items.where(F.col(item_id).isNotNull())
         .select(F.col(item_id).alias("item_id"), F.col(text).cast("string").alias("text"))
-        .mapInArrow(_index, f"item_id {kind}, hash bigint, mask int")
-        .groupBy("item_id", "hash")
-        .agg(F.bit_or("mask").alias("mask"))
+        .mapInArrow(_shingles, f"item_id {kind}, hash bigint")
+        .distinct()
     )
-    sizes = rows.groupBy("item_id").agg(F.count("*").alias("n_item"))
-    return rows.join(sizes, "item_id")
+    # Hashes are compared as the signed numbers they are stored as; any fixed order serves.
+    held = rows.groupBy("item_id").agg(F.sort_array(F.collect_list("hash")).alias("_all"))
+    named = held.select("item_id", F.size("_all").cast("bigint").alias("n_item"), F.posexplode("_all").alias("_at", "hash"))
+    return named.select("item_id", "hash", "n_item", (F.col("_at") < sketch_length(F.col("n_item"), percent)).alias("sketch"))
 
 
-def _bitmaps(index: DataFrame) -> np.ndarray:
-    """One bitmap of BITMAP_BITS for all shingles, and one for the minima of each part.
+def bitmap(index: DataFrame) -> np.ndarray:
+    """Bits for the shingles of all items, two for each, by different bits of the hash.
 
-    Built by aggregation; the driver gets pages of a fixed number and size.
+    Built by aggregation; the driver gets pages, whose number has the bound of BITMAP_BITS.
     """
-    kinds = F.filter(
-        F.array(F.lit(0), *[F.when(F.col("mask").bitwiseAND(1 << p) != 0, F.lit(p + 1)) for p in range(len(PARTS))]),
-        lambda k: k.isNotNull(),
-    )
-    place = F.pmod("hash", F.lit(BITMAP_BITS)) + 1
+    n = index.count() * BITS_PER_SHINGLE
+    bits = min(BITMAP_BITS[1], max(BITMAP_BITS[0], 1 << n.bit_length()))
+    places = F.array(*[F.pmod(h, F.lit(bits)) + 1 for h in (F.col("hash"), F.shiftrightunsigned("hash", 32))])
     pages = (
-        index.select(F.explode(kinds).alias("kind"), place.alias("place"))
-        .groupBy("kind", F.bitmap_bucket_number("place").alias("page"))
+        index.select(F.explode(places).alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("page"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
     )
-    table = np.zeros((len(PARTS) + 1, BITMAP_BITS // 8), np.uint8)
+    table = np.zeros(bits // 8, np.uint8)
     for row in pages.toLocalIterator():
         at = (row.page - 1) * (_PAGE // 8)
-        table[row.kind, at : at + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+        table[at : at + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
     return table
 
 
 def _in(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    place = (values & _U(BITMAP_BITS - 1)).astype(np.int64)
-    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+    def held(part: np.ndarray) -> np.ndarray:
+        place = (part & _U(8 * len(bits) - 1)).astype(np.int64)
+        return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+
+    at = np.flatnonzero(held(values))
+    return at[held(values[at] >> _U(32))]
 
 
 def _evidence(shared):
@@ -122,28 +98,12 @@ def _evidence(shared):
             for first in range(0, b.num_rows, _DOCS_AT_ONCE):
                 part = b.slice(first, _DOCS_AT_ONCE)
                 values, at = S.batch_shingles(part.column(1))
-                if not len(values):
+                inside = _in(bits, values)
+                if not len(inside):
                     continue
-                end = np.repeat(at[1:], np.diff(at))
-                minima, likely = [], np.zeros(len(at), bool)
-                low = _window_minima(values)
-                for p, (_, width) in enumerate(PARTS):
-                    hit = np.flatnonzero(_in(bits[p + 1], low[width]))
-                    hit = hit[hit + width <= end[hit]]
-                    minima.append(np.unique(low[width][hit]))
-                    likely[np.searchsorted(at, hit, "right") - 1] = True
-                if not likely.any():
-                    continue
-                inside = np.flatnonzero(np.repeat(likely[:-1], np.diff(at)))
-                inside = inside[_in(bits[0], values[inside])]
                 doc = np.searchsorted(at, inside, "right") - 1
-                hashes = values[inside]
-                mask = np.zeros(len(inside), np.int32)
-                for p, known in enumerate(minima):
-                    mask |= np.isin(hashes, known).astype(np.int32) << p
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(doc)), pa.array(hashes.view(np.int64)), pa.array(mask)],
-                    names=["doc_id", "hash", "mask"],
+                    [part.column(0).take(pa.array(doc)), pa.array(values[inside].view(np.int64))], names=["doc_id", "hash"]
                 )
 
     return scan
@@ -158,25 +118,21 @@ def contained_items(
     words is one shingle, its whole sequence.  Items or documents that are null, empty
     or without a word have none and are never found; rows without an id take no
     part.  Rows that repeat an id are one item or document with the shingles of all its
-    texts.  Other columns are ignored.
+    texts.  ``percent`` is 1 to 100.  Other columns are ignored.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    index = cut_lineage(index_items(items))
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmaps(index))
+    index = cut_lineage(index_items(items, percent))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(index))
     hits = (
         docs.where(F.col(doc_id).isNotNull())
         .select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-        .mapInArrow(_evidence(shared), f"doc_id {kind}, hash bigint, mask int")
-        .groupBy("doc_id", "hash")
-        .agg(F.bit_or("mask").alias("_seen"))
+        .mapInArrow(_evidence(shared), f"doc_id {kind}, hash bigint")
+        .distinct()
     )
     return (
         hits.join(index, "hash")
         .groupBy("doc_id", "item_id", "n_item")
-        .agg(
-            F.count("*").alias("n_common"),
-            F.max(F.col("_seen").bitwiseAND(F.col("mask")) != 0).alias("_candidate"),
-        )
+        .agg(F.count("*").alias("n_common"), F.bool_or("sketch").alias("_candidate"))
         .where(F.col("_candidate") & (F.col("n_common") * 100 >= F.col("n_item") * percent))
         .select(
             "item_id", "doc_id", "n_item", "n_common",

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docloom.llm import filter_audit, fm_index, hard_negatives, substring_dedup
+from docloom.llm import decontaminate, filter_audit, fm_index, hard_negatives, substring_dedup
 
 SCHEMA = "doc_id long, text string, lang string"
 CLASHING = {c: "x" for c in ("digest", "key", "mask", "part", "places", "segments", "words", "_key", "filter", "id", "v", "rank")}
@@ -248,3 +248,29 @@ def test_digest_of_passages_is_of_the_kept_text(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.op11_substring_dedup(spark, str(tmp_path)).collect()}
     assert got[2] == (15, 13, hashlib.sha256(b"x y").hexdigest()) and got[1][:2] == (20, 0)
+
+
+# Contained items
+
+
+@pytest.mark.parametrize("percent", [80, 50])
+def test_items_in_overlapping_pieces_are_all_found(spark, percent):
+    rng = random.Random(percent)
+
+    def prose(n):
+        return [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+    items = [(i, prose(14)) for i in range(300)]
+    # In two pieces that overlap by less than a shingle less one word, so that all shingles are there, or in scattered shingles.
+    docs = [(i, prose(20) + w[:9] + prose(9) + w[5:] + prose(7)) for i, w in items]
+    docs += [(1000 + i, sum((prose(3) + w[k : k + 5] for k in rng.sample(range(10), rng.randrange(3, 11))), [])) for i, w in items]
+
+    def shingles(words):
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+    want = {
+        (i, d) for i, w in items for d, text in docs if d % 1000 == i and 100 * len(shingles(w) & shingles(text)) >= percent * len(shingles(w))
+    }
+    frames = [spark.createDataFrame([(k, " ".join(w)) for k, w in rows], f"{name} long, text string") for rows, name in ((items, "item_id"), (docs, "doc_id"))]
+    found = decontaminate.contained_items(frames[1].repartition(5), frames[0], percent)
+    assert {(r.item_id, r.doc_id) for r in found.collect()} == want and {(i, i) for i in range(300)} <= want

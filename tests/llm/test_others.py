@@ -321,7 +321,8 @@ def test_entry_works_without_the_operators(tmp_path):
 
     root = Path(__file__).resolve().parents[2]
     shutil.copytree(root / "docloom", tmp_path / "docloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        shutil.copy(root / name, tmp_path)
     said = subprocess.run(
         [sys.executable, "-c", "import __spark_entry__ as e; print(any(n.startswith('op') for n in e.queries()), len(e.queries()) > 50)"],
         cwd=tmp_path, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path), "HOME": "/tmp"},
