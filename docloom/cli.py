@@ -62,7 +62,8 @@ def _parser() -> argparse.ArgumentParser:
         )
     for name in ("extract", "chunk", "index"):
         commands.choices[name].add_argument(
-            "--lotes", type=int, default=1, help="commit the work in so many batches"
+            "--lotes", type=int, default=None if name == "extract" else 8,
+            help="commit the work in so many batches; by default extract chooses by the number of files",
         )
 
     check = commands.add_parser("sanity", help="what the first hits of a query look like")

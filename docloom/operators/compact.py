@@ -88,6 +88,30 @@ def out_of_memory(log: DataFrame, seq: list[str] | str = "seq") -> DataFrame:
     return latest_wins(log, "doc_id", seq).filter((F.col("estado") == "error") & said).select("doc_id")
 
 
+def attempt_ladder(log: DataFrame, seq: str = "seq") -> DataFrame:
+    """(doc_id, intentos, peldano): how often a key was tried and on which rung of the ladder it stands.
+
+    ``primera``: well at the first row; ``reintento``: well after an error; ``memoria``: last failed for
+    lack of memory and is tried again; ``aislado``: failed alone in its batch; ``error``: any other
+    error; else the state itself.  Rows that count several tries say so in ``intentos``.
+    """
+    tries = F.coalesce(F.col("intentos"), F.lit(1)) if "intentos" in log.columns else F.lit(1)
+    last = F.max(F.struct(seq, "estado", F.coalesce("detalle", F.lit("")).alias("detalle")))
+    # One value of a key, combined before the shuffle.
+    keys = log.groupBy("doc_id").agg(
+        F.sum(tries).cast("bigint").alias("intentos"), F.bool_or(F.col("estado") == "error").alias("_failed"), last.alias("_last")
+    )
+    state, detail = F.col("_last.estado"), F.col("_last.detalle")
+    memory = reduce(Column.__or__, [F.contains(detail, F.lit(s)) for s in V.OUT_OF_MEMORY])
+    rung = (
+        F.when(state != "error", F.when(state != "ok", state).when(F.col("_failed"), "reintento").otherwise("primera"))
+        .when(memory, "memoria")
+        .when(F.startswith(detail, F.lit(V.LOST_DETAIL)), "aislado")
+        .otherwise("error")
+    )
+    return keys.select("doc_id", "intentos", rung.alias("peldano"))
+
+
 def stratified_head(rows: DataFrame, stratum: str, order: str, limit: int) -> DataFrame:
     """Sample of about ``limit`` rows: the first ones of every stratum, then of all.
 

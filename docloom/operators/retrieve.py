@@ -16,9 +16,12 @@ from docloom.operators.chunks import fragment_chunks
 from docloom.operators.compact import first_per_group
 from docloom.operators.search import MAX_QUERY_BYTES, top_k
 from docloom.session import cut_lineage
+from docloom.sources.index import row_range
 
 # A pool of this many rows is a few tens of megabytes and safe to broadcast.
 _BROADCAST_POOL = 500_000
+#: Folders that a read of metadata names one by one; a pool in more of them reads most of the table anyway.
+MAX_RANGES = 10_000
 
 
 def rank_documents(pool: DataFrame, n: int = V.TOP_DOCUMENTS) -> DataFrame:
@@ -54,9 +57,19 @@ def rank_fragments(
 
 
 def with_metadata(ranked: DataFrame, metadata: DataFrame, key: str, rows: int | None) -> DataFrame:
-    """Join the few ranked rows to their metadata, from the small side when it is."""
+    """Join the few ranked rows to their metadata, from the small side when it is.
+
+    Metadata in folders by ``row_range`` is read from the folders of the ranked rows alone, as long as
+    they are at most MAX_RANGES; ``ranked`` should be materialised for that.
+    """
     small = F.broadcast(ranked) if rows is not None and rows <= _BROADCAST_POOL else ranked
-    return metadata.join(small, key)
+    if key != "row_id" or "row_range" not in metadata.columns:
+        return metadata.join(small, key)
+    wanted = ranked.select(row_range(F.col("row_id")).alias("r")).where("r is not null").distinct()
+    ranges = sorted(r.r for r in wanted.limit(MAX_RANGES + 1).collect())
+    if len(ranges) <= MAX_RANGES:
+        metadata = metadata.where(F.col("row_range").isin(ranges))
+    return metadata.drop("row_range").join(small, key)
 
 
 def search(
@@ -73,6 +86,9 @@ def search(
         keys = index.select("row_id", "chunk_id")
         ranked = with_metadata(ranked, keys, "row_id", rows).drop("row_id")
         return with_metadata(ranked, metadata, "chunk_id", rows)
+    if "row_range" in metadata.columns:
+        # Ids, ranks and scores alone; they are read twice, for their ranges and for the join.
+        ranked = cut_lineage(ranked)
     return with_metadata(ranked, metadata, "row_id", rows).drop("row_id")
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 import warnings
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +19,7 @@ from docloom.operators.compact import latest_wins, out_of_memory, pending
 from docloom.operators.json_documents import json_documents
 from docloom.operators.pages import ordered_text, strip_page_lines
 from docloom.operators.tiles import tile_documents
+from docloom.plans.isolate import FAILURES, isolated
 from docloom.session import cut_lineage
 from docloom.sources.decoders import Decoders, decode_files, spread_files
 from docloom.sources.inventory import is_tile, reader
@@ -159,11 +159,11 @@ def finish(documents: DataFrame, language=unknown_language) -> DataFrame:
 
 def extract(
     inventory: DataFrame, done: DataFrame | None = None, language=unknown_language,
-    tasks: int | None = None, decoders: Decoders | None = None,
+    tasks: int | None = None, decoders: Decoders | None = None, kinds: set[str] | None = None,
 ) -> DataFrame:
     """Document rows of the inventory's pending files, one branch per reader.
 
-    Tiles are all read again as soon as one is pending, because what each of them
+    ``kinds`` names the readers that the files need, if the caller knows; the others get no branch.  Tiles are all read again as soon as one is pending, because what each of them
     keeps depends on the others.
     """
     routed = inventory.withColumn("formato", X.extension("ruta_relativa")).withColumn(
@@ -181,28 +181,41 @@ def extract(
         source = tiles if kind == "pbf" else todo
         return spread_files(source.filter(F.col("_reader") == kind).drop("_reader", "pos"), tasks)
 
-    branches = [
-        _pdfs(files("pdf"), decoders), _json(files("json"), decoders),
-        _tables(files("csv"), "csv", decoders), _tables(files("xlsx"), "xlsx", decoders),
-        _texts(files("txt"), decoders), _images(files("image"), decoders), _tiles(files("pbf"), decoders),
-        todo.filter(F.col("_reader") == "unsupported").drop("_reader", "pos").withColumn(
-            "estado", F.lit("formato_no_soportado")
-        ).withColumn("detalle", F.col("formato")),
-    ]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
+    def unsupported() -> DataFrame:
+        rows = todo.filter(F.col("_reader") == "unsupported").drop("_reader", "pos")
+        return rows.withColumn("estado", F.lit("formato_no_soportado")).withColumn("detalle", F.col("formato"))
+
+    branches = {
+        "pdf": lambda: _pdfs(files("pdf"), decoders), "json": lambda: _json(files("json"), decoders),
+        "csv": lambda: _tables(files("csv"), "csv", decoders), "xlsx": lambda: _tables(files("xlsx"), "xlsx", decoders),
+        "txt": lambda: _texts(files("txt"), decoders), "image": lambda: _images(files("image"), decoders),
+        "pbf": lambda: _tiles(files("pbf"), decoders), "unsupported": unsupported,
+    }
+    wanted = [branch() for kind, branch in branches.items() if not kinds or kind in kinds]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), wanted)
     return finish(rows, language)
 
 
+def readers(inventory: DataFrame) -> set[str]:
+    """The readers that the files need, a handful at most."""
+    return {r[0] for r in inventory.select(reader("tipo_adl", "ruta_relativa")).distinct().collect()}
+
+
 def lost_rows(inventory: DataFrame, written: DataFrame) -> DataFrame:
     """Error rows for inventory files that no pass has written."""
-    lost = pending(inventory, written)
+    return failed_rows(pending(inventory, written), V.LOST_DETAIL)
+
+
+def failed_rows(inventory: DataFrame, detail: str) -> DataFrame:
     return finish(
-        lost.withColumn("formato", X.extension("ruta_relativa"))
-        .withColumn("estado", F.lit("error")).withColumn("detalle", F.lit(V.LOST_DETAIL))
+        inventory.withColumn("formato", X.extension("ruta_relativa"))
+        .withColumn("estado", F.lit("error")).withColumn("detalle", F.lit(detail))
     )
 
 
-LOG = T.StructType([*schemas.DOCUMENTS.fields, T.StructField("seq", T.LongType())])
+LOG = T.StructType([*schemas.DOCUMENTS.fields, *(T.StructField(n, T.LongType()) for n in ("seq", "intentos"))])
+#: Files of a batch when the number of batches is not given, and runs that try a file again which failed alone.
+FILES_PER_BATCH, RUNS = 500, 3
 
 
 def _written(spark: SparkSession, log: str) -> DataFrame:
@@ -212,42 +225,91 @@ def _written(spark: SparkSession, log: str) -> DataFrame:
         return spark.createDataFrame([], LOG)
 
 
+def settled(log: DataFrame, runs: int = RUNS) -> DataFrame:
+    """Keys that need no further run: those whose latest row is not that of a file which failed alone, or has been so ``runs`` times."""
+    lost = F.startswith(F.coalesce("detalle", F.lit("")), F.lit(V.LOST_DETAIL))
+    times = log.where(lost).groupBy("doc_id").agg(F.count("*").alias("_times"))
+    again = latest_wins(log).where(lost).join(times, "doc_id").where(F.col("_times") < runs)
+    return log.select("doc_id").distinct().join(again.select("doc_id"), "doc_id", "left_anti")
+
+
 def run(
     spark: SparkSession, inventory: DataFrame, log: str, out: str, language=unknown_language,
-    decoders: Decoders | None = None, batches: int = 1,
+    decoders: Decoders | None = None, batches: int | None = None,
 ) -> None:
     """Append passes to the log folder and compact them to ``out``, latest row wins.
 
-    A first pass takes the pending files, a second those that ran out of memory, a
-    last one writes an error row for anything lost.  The first pass is cut into
-    ``batches`` by a hash of the id, each a committed write, so an interrupted run repeats at
-    most one of them; a batch that fails as a whole (a file killed its worker) does not stop
-    the others, and its files end as error rows.  A new log folder starts over and keeps
-    the old one.
+    A first pass takes the pending files in ``batches`` by a hash of the id, each a committed
+    write, so an interrupted run repeats at most one of them; by default a batch has about
+    FILES_PER_BATCH files.  A batch that fails (a file killed its worker) is halved until the file is alone, which
+    gets an ``error`` row; ``intentos`` of the log says how often a row's file was tried in the run.  A second
+    pass takes in the same way what ran out of memory, a last one writes an error row for anything
+    lost.  Files that failed alone are tried again, apart from the others, by the next RUNS - 1 runs.
+    A failure that is no file's fault, such as a full disk, ends the run; what was committed stays.
     """
     before = _written(spark, log)
     number = before.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
 
-    def append(rows: DataFrame, step: int) -> None:
-        seq = F.lit(number + step).cast("bigint")
-        rows.withColumn("seq", seq).write.mode("append").parquet(log)
+    def append(rows: DataFrame, step: int, tries: int = 1) -> None:
+        marks = {"seq": F.lit(number + step).cast("bigint"), "intentos": F.lit(tries).cast("bigint")}
+        rows.withColumns(marks).write.mode("append").parquet(log)
+
+    def healthy() -> None:
+        append(spark.createDataFrame([], schemas.DOCUMENTS), 0)
+
+    def parts(files: DataFrame) -> int:
+        return batches or max(1, -(-files.count() // FILES_PER_BATCH))
+
+    def passed(files: DataFrame, step: int, cut: int) -> None:
+        kinds = readers(files)
+        if not kinds:
+            return
+
+        def alone(rows: DataFrame, tries: int, error: Exception) -> None:
+            warnings.warn(f"a file failed alone at try {tries}: {str(error)[:300]}", stacklevel=2)
+            append(failed_rows(rows, V.LOST_DETAIL), step, tries)
+
+        def work(rows: DataFrame, tries: int) -> None:
+            append(extract(rows, None, language, decoders=decoders, kinds=kinds), step, tries)
+
+        isolated(files, work, alone, healthy, cut)
 
-    # Tiles depend on each other and are one batch.
     tile = is_tile("ruta_relativa")
-    part = F.when(tile, F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(batches)))
-    for at in range(batches):
-        rows = extract(inventory.where(part == at), _written(spark, log), language, decoders=decoders)
-        try:
-            append(rows, 1)
-        except (PySparkException, Py4JJavaError) as error:
-            if batches == 1:
-                raise
-            warnings.warn(
-                f"batch {at} of {batches} failed and is left to the last pass: {str(error)[:300]}", stacklevel=2
-            )
+    todo = cut_lineage(pending(inventory, settled(before)))
+    suspects = todo.join(before.select("doc_id").distinct(), "doc_id", "left_semi")
+    fresh = todo.join(before.select("doc_id").distinct(), "doc_id", "left_anti")
+    passed(fresh.where(~tile), 1, parts(fresh))
+    if todo.where(tile).limit(1).count():
+        _tile_pass(inventory.where(tile), append, healthy, language, decoders)
+    passed(suspects.where(~tile), 1, max(1, suspects.count()))
     failed = out_of_memory(_written(spark, log))
-    append(extract(inventory.join(failed, "doc_id", "left_semi"), language=language, decoders=decoders), 2)
+    passed(cut_lineage(inventory.where(~tile).join(failed, "doc_id", "left_semi")), 2, 1)
     append(lost_rows(inventory, _written(spark, log)), 3)
     latest_wins(_written(spark, log)).select(*V.DOCUMENT_COLUMNS).write.mode("overwrite").option(
         "compression", "snappy"
     ).parquet(out)
+
+
+def _tile_pass(tiles: DataFrame, append, healthy, language, decoders: Decoders | None) -> None:
+    """All tiles as one batch, as they depend on each other; if it fails, the tiles that no decoding survives are left out.
+
+    Only decoding runs foreign bytes, so halving the decoding finds them.
+    """
+    try:
+        append(extract(tiles, None, language, decoders=decoders, kinds={"pbf"}), 1)
+        return
+    except FAILURES:
+        healthy()
+    bad: list[str] = []
+
+    def decode(rows: DataFrame, tries: int) -> None:
+        decode_files(spread_files(rows.drop("pos"), 1), "pbf", decoders).write.format("noop").mode("overwrite").save()
+
+    def alone(rows: DataFrame, tries: int, error: Exception) -> None:
+        warnings.warn(f"a tile failed alone at try {tries}: {str(error)[:300]}", stacklevel=2)
+        append(failed_rows(rows, V.LOST_DETAIL), 1, tries)
+        bad.extend(r.doc_id for r in rows.select("doc_id").collect())
+
+    isolated(tiles, decode, alone, healthy)
+    rest = tiles.where(~F.col("doc_id").isin(bad))
+    append(extract(rest, None, language, decoders=decoders, kinds={"pbf"}), 1, 2)

@@ -263,6 +263,29 @@ def memory_retries(spark, folder):
     return compact.among(wanted, compact.out_of_memory(_status_log(spark, folder)))
 
 
+# Failures of all kinds planted by event: memory, an isolated file, any other; a view is a state of its own.
+LADDER = f"""CASE WHEN event_type = 'error' AND value > 20 THEN 'MemoryError: x' WHEN event_type = 'error' AND value > 10
+    THEN '{V.LOST_DETAIL}' WHEN event_type = 'error' THEN 'bad file' END"""
+LADDER_STATE = "CASE WHEN event_type = 'error' THEN 'error' WHEN event_type = 'view' THEN 'vacio' ELSE 'ok' END"
+
+
+@query(
+    "attempt_ladder",
+    f"""WITH l AS (SELECT user_id AS doc_id, event_id, 1 + event_id % 3 AS tries, {LADDER_STATE} AS estado, {LADDER} AS detalle FROM events),
+    k AS (SELECT doc_id, sum(tries)::BIGINT AS intentos, bool_or(estado = 'error') AS failed, arg_max(estado, event_id) AS estado,
+      arg_max(coalesce(detalle, ''), event_id) AS detalle FROM l GROUP BY doc_id)
+    SELECT doc_id, intentos, CASE WHEN estado = 'vacio' THEN 'vacio' WHEN estado = 'ok' AND failed THEN 'reintento' WHEN estado = 'ok'
+      THEN 'primera' WHEN detalle LIKE '%MemoryError%' THEN 'memoria' WHEN detalle LIKE '%pasada' THEN 'aislado' ELSE 'error' END AS peldano
+    FROM k""",
+)
+def attempt_ladder(spark, folder):
+    log = table(spark, folder, "events").select(
+        F.col("user_id").alias("doc_id"), F.col("event_id").alias("seq"), (1 + F.col("event_id") % 3).alias("intentos"),
+        F.expr(LADDER_STATE).alias("estado"), F.expr(LADDER).alias("detalle"),
+    )
+    return compact.attempt_ladder(log)
+
+
 @query(
     "passes_compacted",
     f"""WITH p AS (SELECT user_id AS doc_id, event_id, {STATUS} AS estado, 0 AS pass FROM events WHERE event_type <> 'click'

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom import schemas
@@ -24,28 +24,49 @@ def alignment(index: DataFrame, metadata: DataFrame, key: str = "chunk_id") -> D
     )
 
 
-MANIFEST = "version STRING, vectors BIGINT, records BIGINT, encoder_id STRING"
+MANIFEST = "version STRING, vectors BIGINT, records BIGINT, encoder_id STRING, number BIGINT"
+#: Rows of a metadata folder; the folder's number is ``row_range``.
+ROWS_PER_RANGE = 1 << 16
+
+
+def row_range(row_id: Column) -> Column:
+    return F.floor(row_id / F.lit(ROWS_PER_RANGE)).cast("bigint")
 
 
 def write_index(vectors: DataFrame, metadata: DataFrame, folder: str) -> None:
     """Both tables in a new version folder; the manifest that names it is written last.
 
-    A run that fails leaves the version before in place.  Metadata lies sorted by ``row_id``
-    where it has one, so that the few rows of an answer are found by the scan's statistics.
+    A run that fails leaves the version before in place.  Metadata with a ``row_id`` lies in folders of
+    ROWS_PER_RANGE rows (column ``row_range``), sorted, so that the rows of an answer are read from
+    the folders that hold them.
     """
     spark = vectors.sparkSession
     version = f"v-{uuid.uuid4().hex}"
     vectors.write.parquet(f"{folder}/{version}/vectors")
     if "row_id" in metadata.columns:
-        metadata = metadata.repartitionByRange("row_id").sortWithinPartitions("row_id")
-    metadata.write.parquet(f"{folder}/{version}/metadata")
+        metadata = metadata.repartitionByRange("row_id").withColumn("row_range", row_range(F.col("row_id")))
+        metadata.sortWithinPartitions("row_range", "row_id").write.partitionBy("row_range").parquet(f"{folder}/{version}/metadata")
+    else:
+        metadata.write.parquet(f"{folder}/{version}/metadata")
     index, records = (spark.read.parquet(f"{folder}/{version}/{t}") for t in ("vectors", "metadata"))
     found = _aligned(index, records)
     encoders = [r.encoder_id for r in index.select("encoder_id").distinct().limit(2).collect()]
     if len(encoders) > 1:
         raise ValueError(f"vectors of several encoders: {', '.join(encoders)}")
-    row = (version, found.vectors, found.records, encoders[0] if encoders else None)
-    spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
+    last = _manifest(spark, folder)
+    number = (last.number or 0) + 1 if last else 1
+    row = (version, found.vectors, found.records, encoders[0] if encoders else None, number)
+    # One more file, so a crash leaves the manifests before it.
+    spark.createDataFrame([row], MANIFEST).coalesce(1).write.mode("append").json(f"{folder}/manifest")
+
+
+def _manifest(spark: SparkSession, folder: str):
+    """The manifest with the highest number; there is one row for each version."""
+    try:
+        rows = spark.read.schema(MANIFEST).json(f"{folder}/manifest")
+    except AnalysisException:
+        return None
+    return rows.orderBy(F.col("number").desc_nulls_last()).first()
 
 
 def _aligned(index: DataFrame, metadata: DataFrame):
@@ -66,10 +87,7 @@ def load_index(
     Keys were compared when the version was written; here row counts are, which the files'
     footers hold.  A folder without a manifest is checked in full.
     """
-    try:
-        manifest = spark.read.schema(MANIFEST).json(f"{folder}/manifest").first()
-    except AnalysisException:
-        manifest = None
+    manifest = _manifest(spark, folder)
     at = f"{folder}/{manifest.version}" if manifest else folder
     index = spark.read.schema(schemas.INDEX).parquet(f"{at}/vectors")
     metadata = spark.read.parquet(f"{at}/metadata")
@@ -90,4 +108,4 @@ def load_index(
 def export_metadata(metadata: DataFrame, path: str) -> None:
     """JSON lines in row order, NULL fields left out."""
     ordered = metadata.orderBy("row_id") if "row_id" in metadata.columns else metadata
-    ordered.drop("row_id").write.mode("overwrite").option("ignoreNullFields", "true").json(path)
+    ordered.drop("row_id", "row_range").write.mode("overwrite").option("ignoreNullFields", "true").json(path)

@@ -5,12 +5,14 @@ import struct
 import zipfile
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from docloom import schemas
-from docloom.operators import encode
+from docloom.operators import encode, retrieve
 from docloom.plans import build_index as B
 from docloom.plans import extract as E
+from docloom.plans.isolate import isolated
 from docloom.sources import decoders, inventory, jsonl, sinks
 from docloom.sources.index import alignment, export_metadata, load_index
 from docloom.streaming import incremental
@@ -159,13 +161,13 @@ def test_latin_text_is_not_lost():
     assert decoders.decode_text("año".encode(), "") == {"raw": "año", "detalle": None}
 
 
-def test_a_file_that_kills_its_worker_stops_no_other_batch(spark, tmp_path):
+def test_a_file_that_kills_its_worker_is_isolated(spark, tmp_path):
     def killer(data, path):
         import os
-        import signal
 
-        if b"D2" in data:
-            os.kill(os.getpid(), signal.SIGKILL)
+
+        if b"D2" in data and not os.path.exists(os.path.join(os.path.dirname(path), "healed")):
+            os._exit(9)
         return {"raw": data.decode()}
 
     (tmp_path / "f").mkdir()
@@ -174,10 +176,52 @@ def test_a_file_that_kills_its_worker_stops_no_other_batch(spark, tmp_path):
         (tmp_path / "f" / f"t{i}.txt").write_text(f"Text D{i} here.")
         rows.append((i, f"D{i}", "f/", f"t{i}.txt", "Texto", "F1", "obs", "1"))
     inv = inventory.inventory(spark.createDataFrame(rows, INVENTORY_DDL), str(tmp_path))
-    with pytest.warns(UserWarning, match="left to the last pass"):
-        E.run(spark, inv, f"{tmp_path}/log", f"{tmp_path}/out", decoders={"txt": killer}, batches=8)
-    state = {r.doc_id: r.estado for r in spark.read.parquet(f"{tmp_path}/out").collect()}
-    assert len(state) == 8 and state["D2"] == "error" and sum(s == "ok" for s in state.values()) >= 4
+
+    def run():
+        E.run(spark, inv, f"{tmp_path}/log", f"{tmp_path}/out", decoders={"txt": killer}, batches=2)
+        return {r.doc_id: r.estado for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+
+    with pytest.warns(UserWarning, match="failed alone"):
+        state = run()
+    assert state == {f"D{i}": "error" if i == 2 else "ok" for i in range(8)}
+    log = spark.read.parquet(f"{tmp_path}/log")
+    tries = {r.doc_id: r.intentos for r in log.collect()}
+    assert tries["D2"] >= 2 and log.count() == 8
+    assert {r.doc_id for r in E.settled(log).collect()} == set(state) - {"D2"}
+    # The next run tries it again, and nothing else.
+    (tmp_path / "f" / "healed").write_text("")
+    assert set(run().values()) == {"ok"} and spark.read.parquet(f"{tmp_path}/log").count() == 9
+
+
+def test_a_tile_that_kills_its_worker_is_left_out(spark, corpus, tmp_path):
+    _, inv = corpus
+    tiles = inv.where("ruta_relativa like '%.pbf'")
+
+    def killer(data, path):
+        import os
+
+
+        if path.endswith("z2.pbf"):
+            os._exit(9)
+        return decoders.decode_tile(data, path)
+
+    with pytest.warns(UserWarning, match="tile failed alone"):
+        E.run(spark, tiles, f"{tmp_path}/log", f"{tmp_path}/out", decoders={"pbf": killer})
+    rows = {r.fuente: (r.estado, r.detalle) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert rows["z1.pbf"][0] == "ok" and rows["z2.pbf"][0] == "error"
+
+
+def test_a_broken_store_is_no_fault_of_a_file(spark):
+    files = spark.createDataFrame([("a",), ("b",)], "doc_id string")
+    asked = []
+
+    def broken(*_):
+        asked.append(1)
+        raise AnalysisException("no store")
+
+    with pytest.raises(AnalysisException):
+        isolated(files, broken, lambda *_: pytest.fail("blamed a file"), broken)
+    assert len(asked) == 2
 
 
 def test_extract_resumes(spark, corpus):
@@ -289,9 +333,13 @@ def test_chunks_index_answers(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/meta").first().chunk_id == "d0_chunk_00000"
     with pytest.raises(ValueError, match="made by hashing-64"):
         load_index(spark, index, "other")
-    # Metadata is found by row number: the filter reaches the scan.
-    plan = metadata.where("row_id in (1, 4)")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [In(row_id" in plan
+    # The pooled rows name the folders that metadata is read from.
+    pool = spark.createDataFrame([("q", 1, 1, 0.5)], "query_id string, rank long, row_id long, score double")
+    plan = retrieve.with_metadata(pool, metadata, "row_id", 1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(row_range" in plan and "(row_range" in plan.split("PartitionFilters")[1][:120]
+    # A manifest is added, never overwritten; the highest number counts.
+    numbers = sorted(r.number for r in spark.read.json(f"{index}/manifest").collect())
+    assert numbers == [1, 2]
     blank = table.withColumn("fuente", F.when(F.col("doc_id") == "d1", " ").otherwise(F.col("fuente")))
     with pytest.raises(ValueError, match="1 chunks with an empty fuente"):
         B.build_index(spark, blank, f"{tmp_path}/cache2", index, enc)
