@@ -7,7 +7,9 @@ and read again, so a lost executor costs no earlier stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import warnings
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.llm import decontaminate, language_id, line_dedup, minhash_dedup, mixing
@@ -21,8 +23,15 @@ def _beside(docs: DataFrame) -> tuple[DataFrame, list]:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the texts that no language's model accepts, null texts among them; ``lang`` is left as it is."""
-    judge = language_id.detector(spark, language_id.fit(docs))
+    """Without the texts that no language's model accepts, null texts among them; ``lang`` is left as it is.
+
+    Where no row has a label to learn from, nothing can be judged: a warning is given and all rows stay.
+    """
+    model = language_id.fit(docs)
+    if not model.languages:
+        warnings.warn("no labelled text to learn a language from: all documents stay", stacklevel=2)
+        return docs
+    judge = language_id.detector(spark, model)
     return docs.where(~judge(F.col("text").cast("string"))["rejected"])
 
 
@@ -35,15 +44,18 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest doc_id; of rows that repeat an id one.
+    """One document of each group of near copies, that with the smallest doc_id; of rows that repeat an id the first.
 
-    Rows without an id stay.
+    First in the order of all columns, so reruns agree.  Rows without an id stay.
     """
     found = minhash_dedup.near_duplicates(docs)
     kept = found.where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
     own, columns = _beside(docs)
     named = own.join(kept, F.col("_docs.doc_id") == F.col("_kept_id"), "left_semi").select(*columns)
-    return named.dropDuplicates(["doc_id"]).unionAll(docs.where(F.col("doc_id").isNull()))
+    # A limit of one row a group: Spark drops the others of an id before the shuffle as well.
+    order = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
+    first = named.withColumn("_first_of_id", F.row_number().over(order)).where("_first_of_id = 1").drop("_first_of_id")
+    return first.unionAll(docs.where(F.col("doc_id").isNull()))
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
