@@ -269,6 +269,20 @@ def test_language_query_on_held_out_rows(spark):
     assert len(rows) > 20 and sum(r.lang_pred == r.lang for r in rows) >= 0.95 * len(rows)
 
 
+def test_pipeline_stages_lose_nothing_by_chance(spark):
+    import corpus_pipeline
+
+    ddl = "doc_id long, text string, lang string, source string, n_chars long"
+    unlabelled = spark.createDataFrame([(i, f"some text {i}", None, "s", 1) for i in range(20)], ddl)
+    with pytest.warns(UserWarning, match="no labelled text"):
+        assert corpus_pipeline.identify_language(spark, unlabelled, "").count() == 20
+    rows = [(1, "b b b b b b", "en", "s", 1), (1, "a a a a a a", "en", "t", 1), (1, "a a a a a a", "en", "s", 1), (None, "c", "en", "s", 1)]
+    for parts in (1, 3):
+        docs = spark.createDataFrame(rows, ddl).repartition(parts)
+        kept = {tuple(r)[:4] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+        assert kept == {(1, "a a a a a a", "en", "s"), (None, "c", "en", "s")}
+
+
 @pytest.mark.slow
 def test_pipeline_equals_plain_python(spark):
     import corpus_pipeline
