@@ -35,11 +35,11 @@ GRAM = 5
 #: Windows of a segment, at most.
 LONGEST = 20
 #: Words of a shard, on average.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 21
 #: Documents of a key from which its windows are split; the list of such keys has 2^20 entries at most.
 HOT_DOCS, HOT_SHARE = 16_384, 1 << 20
 #: Segments that a task packs at once.
-_PACK = 1 << 17
+_PACK = 1 << 19
 _U = np.uint64
 
 
@@ -109,7 +109,7 @@ def _unpack(packed: bytes, dtype) -> np.ndarray:
 def _keys(window: int):
     """For each text, the segments whose key another document of the batch holds, and the keys to compare elsewhere.
 
-    A key of several documents is sent once with their number, in no segment's name.
+    A key of several documents is sent once, in no segment's name: its ``segment`` is their number below zero.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +131,7 @@ def _keys(window: int):
             sent = np.zeros(len(key), bool)
             sent[order[at]] = True
             sent |= ~local
-            count = np.empty(len(key), np.int32)
+            count = np.empty(len(key), np.int64)
             count[order] = documents[group]
             n = len(b)
             number = _within(np.bincount(found.doc, minlength=n))
@@ -145,16 +145,15 @@ def _keys(window: int):
                     b["doc_id"],
                     lists(local, number, pa.int32()),
                     lists(sent, found.key.view(np.int64), pa.int64()),
-                    lists(sent, np.where(local, -1, number), pa.int32()),
-                    lists(sent, count, pa.int32()),
+                    lists(sent, np.where(local, -count, number), pa.int32()),
                 ],
-                names=["doc_id", "here", "key", "segment", "documents"],
+                names=["doc_id", "here", "key", "segment"],
             )
 
     return scan
 
 
-_KEYS = "doc_id long, here array<int>, key array<long>, segment array<int>, documents array<int>"
+_KEYS = "doc_id long, here array<int>, key array<long>, segment array<int>"
 
 
 def _chosen(b: pa.RecordBatch, window: int) -> tuple[Segments, np.ndarray]:
@@ -241,7 +240,7 @@ def _blobs(held: list) -> pa.RecordBatch:
 def _distinct(words: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the first of each different sequence in their order, and each sequence's number among them)."""
     width = int(length.max())
-    table = np.zeros((len(length), width + 1), _U)
+    table = np.zeros((len(length), width + 1), words.dtype)
     table[np.repeat(np.arange(len(length)), length), _within(length)] = words
     table[:, width] = length
     rows = table.view(np.dtype((np.void, table.itemsize * (width + 1)))).ravel()
@@ -269,12 +268,17 @@ def _search(window: int):
             columns["at"].append(_unpack(blob["at"], np.int32))
         doc_id, digest, at, sequence, length, word = (np.concatenate(x) for x in columns.values())
         ids, document = np.unique(doc_id, return_inverse=True)
-        least = np.full(sequences, len(ids), np.int64)
+        names, code = np.unique(word, return_inverse=True)
+        # Sequences that several tasks sent are indexed once.
+        first, same = _distinct(code.astype(np.int32) + 1, length)
+        kept = np.zeros(sequences, bool)
+        kept[first] = True
+        code, sequence, length = code[np.repeat(kept, length)], same[sequence], length[first]
+        least = np.full(len(first), len(ids), np.int64)
         np.minimum.at(least, sequence, document)
         # Code 0 ends a sequence.
         begin = np.cumsum(length + 1) - (length + 1)
         place = np.repeat(begin, length) + _within(length)
-        names, code = np.unique(word, return_inverse=True)
         text = np.zeros(int((length + 1).sum()), np.int64)
         text[place] = code + 1
         index = FMIndex(text, np.repeat(least, length + 1), len(names) + 1, len(ids), window)
@@ -350,18 +354,18 @@ def repeated_intervals(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     ``rows`` has (doc_id, text, digest), doc_id never null; intervals may touch and overlap.
     """
     scanned = rows.select("doc_id", "text").mapInArrow(_keys(window), _KEYS)
-    each = scanned.select(
-        "doc_id", F.explode(F.arrays_zip("key", "segment", "documents")).alias("s")
-    ).select("doc_id", "s.*")
-    # A key has one line a batch at most, or one for each of a document's own repeats.
+    # A key has one line a batch at most, or one for each of a document's own repeats: too few to combine before the
+    # shuffle, so the lines are dealt out as they are and no lists of places are built on the way.
+    each = scanned.select("doc_id", F.explode(F.arrays_zip("key", "segment")).alias("s")).select("s.key", "doc_id", "s.segment")
+    documents = F.sum(F.when(F.col("segment") < 0, -F.col("segment")).otherwise(1))
     shared = cut_lineage(
-        each.groupBy("key")
+        each.repartition("key")
+        .groupBy("key")
         .agg(
-            F.sum("documents").alias("documents"),
-            F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.max("documents").alias("most"),
+            documents.alias("documents"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("segment").alias("least"),
             F.collect_list(F.when(F.col("segment") >= 0, F.struct("doc_id", "segment"))).alias("places"),
         )
-        .where("low < high or most > 1")
+        .where("low < high or least < 0")
         .select("key", "documents", "places")
     )
     total = shared.agg(F.sum("documents")).first()[0] or 0
