@@ -56,9 +56,12 @@ class Failures:
         rows = spark.read.parquet(f"{self.folder}/measured")
         named = F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8")
         self.documents = rows.withColumn("key", F.concat("digest", named))
-        # The least id of a text is found before the shuffle; the join back is one that Spark splits where a text is hot.
+        # The least id of a text is found before the shuffle.  It is written, so that the join back has a shuffle on both
+        # sides and Spark can split it where a text is hot.
         least = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
-        copies = self.documents.join(least.select("digest", "least"), "digest").where("doc_id > least")
+        least.select("digest", "least").write.parquet(f"{self.folder}/least")
+        least = spark.read.schema("digest binary, least bigint").parquet(f"{self.folder}/least")
+        copies = self.documents.join(least, "digest").where("doc_id > least")
         own = F.filter(F.array(*[F.when(F.col(c), F.lit(c)) for c in "ABCD"]), lambda f: f.isNotNull())
         kept = ["key", "doc_id", "part"]
         failing = self.documents.select(*kept, F.explode(own).alias("filter"))
