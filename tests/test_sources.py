@@ -175,7 +175,7 @@ def test_a_file_that_kills_its_worker_is_isolated(spark, tmp_path):
     for i in range(8):
         (tmp_path / "f" / f"t{i}.txt").write_text(f"Text D{i} here.")
         rows.append((i, f"D{i}", "f/", f"t{i}.txt", "Texto", "F1", "obs", "1"))
-    inv = inventory.inventory(spark.createDataFrame(rows, INVENTORY_DDL), str(tmp_path))
+    inv = inventory.inventory(spark.createDataFrame(rows, INVENTORY_DDL), str(tmp_path)).coalesce(1)
 
     def run():
         E.run(spark, inv, f"{tmp_path}/log", f"{tmp_path}/out", decoders={"txt": killer}, batches=2)
