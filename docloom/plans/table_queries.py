@@ -530,17 +530,21 @@ def json_catalogs(spark, folder):
         string_agg('c_custkey: ' || c_custkey || ' | c_name: ' || c_name ||
             CASE WHEN c_mktsegment = 'FURNITURE' THEN '' ELSE ' | c_mktsegment: ' || replace(c_mktsegment, 'A', ';"') END,
             chr(10) ORDER BY c_custkey) AS texto
-    FROM customer GROUP BY c_nationkey""",
+    FROM customer WHERE c_custkey % 11 <> 0 GROUP BY c_nationkey""",
 )
 def csv_files(spark, folder):
-    """Customers written as a CSV file for each nation, quoted cells and gaps among them, and read back."""
+    """Customers written as a CSV file for each nation, with quoted cells, short rows and long ones, and read back."""
     path = f"{checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
-    segment = F.when(F.col("c_mktsegment") != "FURNITURE", F.replace("c_mktsegment", F.lit("A"), F.lit(';"')))
-    rows = table(spark, folder, "customer").select("c_nationkey", "c_custkey", "c_name", segment.alias("c_mktsegment"))
-    (
-        rows.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").write.partitionBy("c_nationkey")
-        .option("header", True).option("sep", ";").option("escape", '"').csv(path)
+    segment = F.concat(F.lit('"'), F.replace("c_mktsegment", F.lit("A"), F.lit(';""')), F.lit('"'))
+    last = F.when(F.col("c_mktsegment") != "FURNITURE", segment)
+    more = F.when(F.col("c_custkey") % 11 == 0, F.lit("x;y"))
+    line = F.concat_ws(";", F.col("c_custkey").cast("string"), "c_name", last, more)
+    rows = table(spark, folder, "customer").select("c_nationkey", "c_custkey", line.alias("value"))
+    heads = rows.select("c_nationkey").distinct().select(
+        "c_nationkey", F.lit(-1).cast("bigint"), F.lit("c_custkey;c_name;c_mktsegment")
     )
+    ordered = rows.unionAll(heads).repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    ordered.select("c_nationkey", "value").write.partitionBy("c_nationkey").text(path)
     schema = "c_custkey STRING, c_name STRING, c_mktsegment STRING"
     read = csv_rows(spark, f"{path}/*", ";", schema=schema)
     return csv_documents(read, F.regexp_extract("_file", "c_nationkey=([^/]*)/", 1))

@@ -14,20 +14,34 @@ from docloom.operators.pages import ordered_text
 from docloom.operators.row_ids import with_row_id
 
 
+_RECORD = "_record"
+
+
+def _cells(record: Column, delimiter: str) -> Column:
+    """Cells of a raw record: delimiters outside quotes, and one."""
+    plain = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(delimiter), F.lit(""))) + 1
+
+
 def csv_rows(
     spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8", schema: str | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
     """Rows as text with ``_file`` and ``_pos``, their order over all files by name and place.
 
-    Rows longer than the header are left out.  Without line breaks in cells a file is split
-    among tasks.
+    Rows longer than the header are left out, shorter ones are filled up with NULL.  Without line breaks in
+    cells a file is split among tasks.
     """
     reader = spark.read.option("header", True).option("sep", delimiter).option("encoding", encoding)
     # A quote inside a quoted cell is doubled.
-    reader = reader.option("escape", '"')
-    reader = reader.option("mode", "DROPMALFORMED").option("multiLine", multi_line).option("inferSchema", False)
-    rows = (reader.schema(schema) if schema else reader).csv(path)
+    reader = reader.option("escape", '"').option("multiLine", multi_line).option("inferSchema", False)
+    if schema is None:
+        schema = ", ".join(f"`{f.name.replace('`', '``')}` STRING" for f in reader.csv(path).schema)
+    # A record of another length than the header is kept as it stands; all its cells are needed to tell, so none is pruned.
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD).option("columnPruning", False)
+    rows = reader.schema(f"{schema}, {_RECORD} STRING").csv(path)
+    cells = _cells(F.col(_RECORD), delimiter)
+    rows = rows.where(F.col(_RECORD).isNull() | (cells <= len(rows.columns) - 1)).drop(_RECORD)
     place = ["_file", "_block", "_line"]
     placed = rows.select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),

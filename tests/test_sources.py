@@ -13,7 +13,7 @@ from docloom.operators import encode, retrieve
 from docloom.plans import build_index as B
 from docloom.plans import extract as E
 from docloom.plans.isolate import isolated
-from docloom.sources import decoders, inventory, jsonl, sinks
+from docloom.sources import csv_files, decoders, inventory, jsonl, sinks
 from docloom.sources.index import alignment, export_metadata, load_index
 from docloom.streaming import incremental
 
@@ -156,6 +156,16 @@ def test_csv_dialects(data, rows):
     assert decoders.decode_csv(data, "")["sheets"][0]["rows"] == rows
 
 
+def test_splittable_rows_are_those_of_the_decoder(spark, tmp_path):
+    data = b"a,b,c\n1,2,3\n4,5\n6,7,8,9\n7,8,9\n\"x,\"\"y\",,\n\"p,q,r,s\",t\n,,,\n"
+    (tmp_path / "t.csv").write_bytes(data)
+    want = decoders.decode_csv(data, "")["sheets"][0]["rows"]
+    for schema in (None, "a string, b string, c string"):
+        rows = csv_files.csv_rows(spark, str(tmp_path / "t.csv"), schema=schema).orderBy("_pos")
+        assert [[r.a, r.b, r.c] for r in rows.collect()] == want
+        assert [r.b for r in rows.select("b").collect()] == [w[1] for w in want]
+
+
 def test_latin_text_is_not_lost():
     assert decoders.decode_text("año".encode("latin-1"), "") == {"raw": "año", "detalle": "texto no UTF-8, leido como Latin-1"}
     assert decoders.decode_text("año".encode(), "") == {"raw": "año", "detalle": None}
