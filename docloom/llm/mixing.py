@@ -148,7 +148,8 @@ def mix(
         state = cut_lineage(_boundary(summed, state, n))
     limit = F.when(F.col("_open"), F.col("_prefix")).otherwise(F.lit(1 << HASH_BITS))
     limits = targets.drop("source").join(state.select("_key", limit.alias("_limit")), "_key")
-    copies = F.col("_full") + F.when(F.col("_hash") < F.col("_limit"), 1).otherwise(0)
+    # Only texts without words fit a budget of nothing: they too are taken ``most`` times at the most.
+    copies = F.least(F.col("_full") + F.when(F.col("_hash") < F.col("_limit"), 1).otherwise(0), F.lit(most))
     return rows.join(_small(limits, n), "_key").select(
         "doc_id", "source", "size", "source_size", "target",
         copies.cast("bigint").alias("copies"), (copies * F.col("size")).cast("bigint").alias("taken"),
