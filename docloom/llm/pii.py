@@ -10,7 +10,9 @@ instances into finds.  A pattern takes part only if it announces identifiers: if
 follow it in at least half of all its own places in the corpus.  Else a common word before many numbers would vouch for any number.
 
 The graph has one edge for each different pair of pattern and instance, and each round
-sums it over either end, combined before the shuffle.
+sums it over either end, combined before the shuffle.  What is found confers: the values found
+are seeds of the next hop, in which other words before them can become patterns, until a
+hop finds no new value or HOPS are done.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ KINDS = ("email", "ip", "card", "phone", "context")
 
 MIN_DIGITS = 6
 ROUNDS = 3
+#: So often found values become seeds of further patterns, the first search included.
+HOPS = 3
 #: A pattern counts from this score and this many different seeds on.
 MIN_SCORE, MIN_SEEDS = 0.9, 5
 #: Least share of a pattern's places that seeds follow.
@@ -199,7 +203,37 @@ def scored_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return state
 
 
-def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def _found_patterns(each: DataFrame, rows: DataFrame, rounds: int, hops: int) -> DataFrame:
+    """(pattern) of high confidence after all hops over ``each`` (_row, place, value, pattern, seed, ...).
+
+    The set only grows, and with it the values found; both stay tables, joined by key.
+    """
+    good, marked, before = None, each, 0
+    for hop in range(hops):
+        told = cut_lineage(marked.join(announcing(marked, rows), "pattern", "left_semi"))
+        edges = told.select("pattern", F.xxhash64("value").alias("instance"), "seed").distinct()
+        strong = scored_patterns(edges, rounds).where((F.col("score") >= MIN_SCORE) & (F.col("seeds") >= MIN_SEEDS))
+        strong = strong.select("pattern")
+        good = cut_lineage(strong if good is None else good.unionAll(strong).distinct())
+        if hop == hops - 1:
+            break
+        # In the first hop what the patterns tell is known already; later ones add to it.
+        among = told if hop == 0 else each
+        values = among.where("not seed").join(good, "pattern", "left_semi").select("value").distinct()
+        values = cut_lineage(values.withColumn("_known", F.lit(True)))
+        now = values.count()
+        if now == before:
+            break
+        before = now
+        marked = each.join(values, "value", "left").withColumn(
+            "seed", F.col("seed") | F.coalesce("_known", F.lit(False))
+        ).drop("_known")
+    return good
+
+
+def detect(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS, hops: int = HOPS
+) -> DataFrame:
     """(doc_id, base, found): arrays of spans (start, end, kind, value) for every row.
 
     ``base`` holds valid emails, IP addresses, cards and phones, in this order; ``found``
@@ -220,12 +254,10 @@ def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds:
     parts = cut_lineage(parts.withColumn("_row", F.monotonically_increasing_id()))
     each = _apart(parts.select("_row", F.explode("instances").alias("i")).select("_row", "i.*"))
     each = each.withColumn("pattern", F.explode(F.array("one", "two"))).where("pattern <> ''")
-    each = cut_lineage(each.join(announcing(each, rows), "pattern", "left_semi"))
-    edges = each.select("pattern", F.xxhash64("value").alias("instance"), "seed").distinct()
-    good = scored_patterns(edges, rounds).where((F.col("score") >= MIN_SCORE) & (F.col("seeds") >= MIN_SEEDS))
+    good = _found_patterns(each, rows, rounds, hops)
     hits = (
         each.where("not seed")
-        .join(good.select("pattern"), "pattern", "left_semi")
+        .join(good, "pattern", "left_semi")
         .groupBy("_row")
         .agg(F.collect_set(F.struct("start", "end", F.lit("context").alias("kind"), "value")).alias("_hits"))
     )
