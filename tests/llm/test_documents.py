@@ -168,6 +168,12 @@ def test_mixing(docs, rows):
     assert {(r.doc_id, r.copies) for r in got} == {(r.doc_id, r.copies) for r in mixing.mix(docs.repartition(5)).collect()}
 
 
+def test_texts_without_words_are_not_copied_beyond_most(spark):
+    rows = [(i, "one two three", "a") for i in range(3)] + [(100 + i, "", "a") for i in range(40)] + [(200 + i, "x y " * 99, "c") for i in range(9)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(5, 1)).collect()
+    assert max(r.copies for r in got) == 3 and all(r.taken == 9 for r in got if r.size == 3)
+
+
 def test_threshold_is_that_of_sorted_hashes(docs):
     """The histograms take what a running sum over sorted hashes would."""
     import hashlib
@@ -279,6 +285,19 @@ def test_two_words_announce_where_the_last_one_does_not(spark, monkeypatch, limi
     assert found == {100: ["77123456"]}
 
 
+def test_found_values_are_seeds_of_the_next_hop(spark):
+    rows = [(i, f"please contact user{i}@mail.example.com now") for i in range(30)]
+    rows += [(100 + i, f"please contact 5512340{i} now") for i in range(8)]
+    rows += [(200 + i, f"bring my badge 5512340{i} along") for i in range(8)]
+    rows += [(300 + i, f"bring my badge 6612340{i} along") for i in range(4)] + [(400, "take 77123456 or not")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    once, all_hops = (
+        {r.doc_id: [s.value for s in r.found] for r in pii.detect(docs, hops=n).collect() if r.found} for n in (1, pii.HOPS)
+    )
+    assert once == {100 + i: [f"5512340{i}"] for i in range(8)}
+    assert all_hops == once | {200 + i: [f"5512340{i}"] for i in range(8)} | {300 + i: [f"6612340{i}"] for i in range(4)}
+
+
 def graph_by_hand(edges, rounds):
     seed = dict((i, s) for _, i, s in edges)
     sure = {i: 1.0 if s else 0.0 for i, s in seed.items()}
