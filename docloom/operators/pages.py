@@ -5,6 +5,9 @@ shuffled, counted map-side first, so a document that holds a third of all pages
 costs no more than its distinct signatures.  The signatures kept for a document
 are few by definition (each needs a share of the pages, each page offers six), so
 they travel to the pages as one short array per document.
+
+Where a document's pages are an array in its row already, as decoders return them,
+everything is done inside the row, without a shuffle.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
 from docloom.functions import text as X
-from docloom.functions.arrays import explode_items
+from docloom.functions.arrays import explode_items, let
 
 _SALTS = 16
 
@@ -70,14 +73,61 @@ def strip_page_lines(
     salted = pages.withColumn("_salt", F.pmod(F.hash("page"), F.lit(_SALTS)))
     joined = salted.join(per_document, ["doc_id", "_salt"], "left")
 
+    text = _without_furniture(F.col("texto"), F.coalesce("_firmas", F.array().cast("array<string>")))
+    return joined.withColumn("texto", text).drop("_salt", "_firmas")
+
+
+def _without_furniture(page: Column, signatures: Column) -> Column:
     def keep(line: Column) -> Column:
-        repeated = F.array_contains(F.col("_firmas"), X.line_signature(line))
-        furniture = X.is_page_number(line) | F.coalesce(repeated, F.lit(False))
+        furniture = X.is_page_number(line) | F.array_contains(signatures, X.line_signature(line))
         return X.is_blank(line) | ~furniture
 
     # Blank lines part paragraphs whatever blanks they hold.
-    kept = F.array_join(F.filter(F.split(F.col("texto"), "\n"), keep), "\n")
-    return joined.withColumn("texto", X.rebuild_paragraphs(kept)).drop("_salt", "_firmas")
+    return X.rebuild_paragraphs(F.array_join(F.filter(F.split(page, "\n"), keep), "\n"))
+
+
+def _runs(ordered: Column) -> Column:
+    """(firma, n) of a sorted array: the lengths of the runs of equal values."""
+    placed = F.transform(ordered, lambda x, i: F.struct(x.alias("firma"), i.alias("i")))
+    starts = F.filter(placed, lambda e: (e["i"] == 0) | (e["firma"] != F.get(ordered, e["i"] - 1)))
+
+    def lengths(firsts: Column) -> Column:
+        def run(e: Column, at: Column) -> Column:
+            end = F.coalesce(F.get(firsts, at + 1)["i"], F.size(ordered))
+            return F.struct(e["firma"].alias("firma"), (end - e["i"]).cast("bigint").alias("n"))
+
+        return F.transform(firsts, run)
+
+    return let(starts, lengths)
+
+
+def furniture(pages: Column, ratio: float = V.REPEAT_RATIO, margin: int = V.MARGIN_LINES) -> Column:
+    """Array of (firma, n), as ``boilerplate`` counts them, for one document's array of pages."""
+    signatures = F.flatten(F.transform(pages, lambda p: F.transform(margin_lines(p, margin), X.line_signature)))
+    fit = F.filter(signatures, lambda s: F.length(s).between(1, V.MAX_SIGNATURE))
+    least = F.greatest(F.lit(V.MIN_REPEATS), F.floor(F.size(pages) * F.lit(ratio)))
+    repeated = F.filter(let(F.array_sort(fit), _runs), lambda r: r["n"] >= least)
+    return F.when(F.size(pages) >= V.MIN_PAGES, repeated).otherwise(
+        F.array().cast("array<struct<firma:string,n:bigint>>")
+    )
+
+
+def strip_page_array(
+    pages: Column | str, ratio: float = V.REPEAT_RATIO, margin: int = V.MARGIN_LINES
+) -> Column:
+    """One document's array of pages, each as ``strip_page_lines`` leaves it; a NULL page is empty."""
+
+    def strip(filled: Column) -> Column:
+        signatures = F.transform(furniture(filled, ratio, margin), lambda r: r["firma"])
+        return let(signatures, lambda s: F.transform(filled, lambda p: _without_furniture(p, s)))
+
+    return let(F.transform(X.col(pages), lambda p: F.coalesce(p, F.lit(""))), strip)
+
+
+def joined_pages(pages: Column | str, sep: str = "\n\n") -> Column:
+    """The pages that are not blank as one text, NULL where there is none."""
+    shown = F.filter(X.col(pages), lambda p: ~X.is_blank(p))
+    return F.when(F.size(shown) > 0, F.array_join(shown, sep))
 
 
 def ordered_text(rows: DataFrame, key: str, pos: str, text: str, sep: str, run: int = 256) -> DataFrame:

@@ -17,7 +17,7 @@ from docloom.functions.arrays import explode_items
 from docloom.functions.language import unknown_language
 from docloom.operators.compact import latest_wins, out_of_memory, pending
 from docloom.operators.json_documents import json_documents
-from docloom.operators.pages import ordered_text, strip_page_lines
+from docloom.operators.pages import joined_pages, strip_page_array
 from docloom.operators.tiles import tile_documents
 from docloom.plans.isolate import FAILURES, isolated
 from docloom.session import cut_lineage
@@ -76,28 +76,22 @@ def _images(files: DataFrame, decoders: Decoders | None) -> DataFrame:
     return read.withColumn("texto", F.when(useful, F.col("raw"))).withColumn("estado", state).drop("raw")
 
 
-def _page_rows(files: DataFrame) -> DataFrame:
-    return explode_items(files, ["doc_id"], "pages", "page", "texto")
-
-
-def _joined_pages(pages: DataFrame) -> DataFrame:
-    shown = pages.filter(~X.is_blank("texto"))
-    return ordered_text(shown, "doc_id", "page", "texto", "\n\n")
-
-
 def _pdfs(files: DataFrame, decoders: Decoders | None) -> DataFrame:
     """Text layer first; only documents with a poor one are read by OCR."""
-    # Pages are used twice, to count repeated lines and to drop them.
-    read = cut_lineage(decode_files(files, "pdf", decoders))
-    native = read.withColumn("titulo", X.document_title("raw")).withColumn(
-        "n_paginas", F.size("pages").cast("bigint")
-    ).drop("pages", "raw").join(_joined_pages(strip_page_lines(_page_rows(read))), "doc_id", "left")
+    # A document is used twice, as it is and to find those that OCR reads.
+    read = cut_lineage(
+        decode_files(files, "pdf", decoders)
+        .withColumn("titulo", X.document_title("raw"))
+        .withColumn("n_paginas", F.size("pages").cast("bigint"))
+        .withColumn("_pages", strip_page_array("pages"))
+        .drop("pages", "raw")
+    )
+    native = read.withColumn("texto", joined_pages("_pages")).drop("_pages")
     poor = X.needs_ocr(F.length(F.coalesce("texto", F.lit(""))), "n_paginas")
     wanted = files.join(native.filter(poor).select("doc_id"), "doc_id", "left_semi")
     scanned = cut_lineage(decode_files(wanted, "scanned", decoders))
-    rebuilt = _page_rows(scanned).withColumn("texto", X.rebuild_paragraphs("texto"))
-    ocr = scanned.select("doc_id", F.col("detalle").alias("_ocr_error")).join(
-        _joined_pages(rebuilt).withColumnRenamed("texto", "_ocr"), "doc_id", "left"
+    ocr = scanned.withColumn("_pages", F.transform("pages", X.rebuild_paragraphs)).select(
+        "doc_id", F.col("detalle").alias("_ocr_error"), joined_pages("_pages").alias("_ocr")
     )
     both = native.join(ocr, "doc_id", "left")
     tried = poor & F.col("estado").isNull()

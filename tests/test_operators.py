@@ -1,6 +1,7 @@
 """Pages, compaction, tiles, statistics and JSON on hand-made tables."""
 
 import json
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -35,6 +36,28 @@ def test_strip_page_lines(spark):
     assert got["e", 0] == "Head 1"
 
 
+def test_page_arrays_equal_page_rows(spark):
+    rng = random.Random(5)
+    lines = ["Head 1", "HEAD 2", "- 3 -", "Página 4 de 9", "", "  ", "body a-", "body b", "z" * 121, "Foot\t9"]
+    docs = {
+        f"d{n}": ["\n".join(rng.choice(lines) for _ in range(rng.randrange(9))) for _ in range(n % 13)] for n in range(60)
+    }
+    made = spark.createDataFrame(list(docs.items()), "doc_id string, pages array<string>")
+    for ratio in (0.5, 0.2):
+        rows = pages.strip_page_lines(page_table(spark, docs), ratio)
+        want = {(r.doc_id, r.page): r.texto for r in rows.collect()}
+        counted = {(r.doc_id, r.firma): r.n for r in pages.boilerplate(page_table(spark, docs), ratio).collect()}
+        inside = made.select("doc_id", pages.strip_page_array("pages", ratio).alias("p"), pages.furniture("pages", ratio).alias("f"))
+        assert "Exchange" not in inside._jdf.queryExecution().executedPlan().toString()
+        got = inside.collect()
+        assert {(r.doc_id, i): t for r in got for i, t in enumerate(r.p)} == want
+        assert {(r.doc_id, f.firma): f.n for r in got for f in r.f} == counted and counted
+    odd = spark.createDataFrame([("n", None), ("e", []), ("m", ["x", None, " "])], "doc_id string, pages array<string>")
+    stripped = odd.select("doc_id", pages.strip_page_array("pages").alias("p"))
+    got = {r.doc_id: (r.p, r.t) for r in stripped.select("*", pages.joined_pages("p").alias("t")).collect()}
+    assert got == {"n": (None, None), "e": ([], None), "m": (["x", "", ""], "x")}
+
+
 def test_ordered_text_over_runs(spark):
     rows = spark.createDataFrame([(i % 2, i, f"t{i}") for i in range(40)], "k int, p bigint, t string")
     got = {r.k: r.texto for r in pages.ordered_text(rows, "k", "p", "t", ",", run=3).collect()}
