@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from docloom.functions.tokens import rank_counter  # noqa: E402
 from docloom.operators import encode, retrieve  # noqa: E402
 from docloom.functions.language import trigram_detector, trigram_profiles, unknown_language  # noqa: E402
 from docloom.plans import build_index, extract  # noqa: E402
@@ -43,6 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     two.add_argument("--input", required=True)
     two.add_argument("--output", required=True)
     two.add_argument("--reiniciar", action="store_true", help="chunk anew, keep a backup")
+    two.add_argument("--tokens", help="rank file of a byte-pair vocabulary that counts tokens, else words are counted")
 
     three = commands.add_parser("index", help="chunks to a searchable index")
     three.add_argument("--input", required=True, help="output folder of chunk")
@@ -128,7 +130,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "extract":
         _extract(spark, args)
     elif args.command == "chunk":
-        build_index.build_chunks(spark, args.input, args.output, args.reiniciar, batches=args.lotes)
+        count = rank_counter(spark, args.tokens) if args.tokens else None
+        build_index.build_chunks(
+            spark, args.input, args.output, args.reiniciar, batches=args.lotes, count_tokens=count
+        )
     elif args.command == "index":
         build_index.build_index(
             spark, build_index.read_chunks(spark, args.input), args.embeddings_cache,

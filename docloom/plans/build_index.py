@@ -26,14 +26,14 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 def build_chunks(
     spark: SparkSession, documents: str, out: str, restart: bool = False,
-    segmenter: Segmenter = by_language, batches: int = 1,
+    segmenter: Segmenter = by_language, batches: int = 1, count_tokens=None,
 ) -> None:
     """Append the chunks of documents not chunked before.
 
     Done are documents with chunks and those listed as having none.  Documents are taken
     in ``batches`` by a hash of their id; a batch is one committed write, so a run that dies
     leaves a document with all its chunks or none, and the batches before it.  A restart
-    copies what is there to a backup folder first.
+    copies what is there to a backup folder first.  ``count_tokens`` is that of ``chunk_documents``.
     """
     valid = valid_documents(spark.read.parquet(documents))
     chunks, empty = f"{out}/chunks", f"{out}/empty"
@@ -52,7 +52,7 @@ def build_chunks(
         todo = part.join(ids, "doc_id", "left_semi") if before else part
         mode = "overwrite" if fresh else "append"
         todo_ids = cut_lineage(ids)
-        chunk_documents(todo, segmenter).drop("last").write.mode(mode).parquet(chunks)
+        chunk_documents(todo, segmenter, count_tokens=count_tokens).drop("last").write.mode(mode).parquet(chunks)
         without = pending(todo_ids, spark.read.parquet(chunks))
         without.write.mode(mode).parquet(empty)
 

@@ -8,8 +8,9 @@ from docloom import fixed_values as V
 from docloom.functions import segment
 from docloom.functions import text as X
 from docloom.functions.arrays import explode_items
+from docloom.functions.tokens import rank_counter
 from docloom.operators import chunks as C
-from docloom.operators.pages import boilerplate, ordered_text, strip_page_lines
+from docloom.operators.pages import boilerplate, ordered_text, strip_page_array, strip_page_lines
 from docloom.plans import sql as Q
 from docloom.plans.registry import as_pages, corpus, query, table
 
@@ -171,6 +172,20 @@ def chunks(spark, folder):
     )
 
 
+#: A rank file of a public byte-pair vocabulary; it is not part of this repository.
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+# SQL cannot express merging by rank: tested against plain Python.
+@query("chunk_tokens")
+def chunk_tokens(spark, folder, ranks=RANKS):
+    made = C.chunk_documents(
+        C.valid_documents(corpus(spark, folder)), count_tokens=rank_counter(spark, ranks)
+    )
+    bucket = C.token_bucket("num_tokens").alias("bucket")
+    return made.select("chunk_id", "doc_id", "posicion", "num_tokens", "n_palabras_chunk", bucket)
+
+
 @query(
     "fragments",
     f"""WITH src AS (SELECT doc_id, text AS txt FROM documents), {Q.fragments('src', 'doc_id')}
@@ -242,6 +257,36 @@ def page_lines(spark, folder):
     return strip_page_lines(as_pages(spark, folder), ratio=0.05)
 
 
+@query(
+    "page_arrays",
+    rf"""WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS linea,
+        unnest(range(len(string_split(text, chr(10))))) AS page FROM documents),
+    al AS (SELECT doc_id, page, unnest(CASE WHEN page % 4 = 3 THEN [linea, (page + 1)::VARCHAR]
+        ELSE ['Informe ' || doc_id, linea, (page + 1)::VARCHAR] END) AS l,
+        unnest(range(CASE WHEN page % 4 = 3 THEN 2 ELSE 3 END)) AS i FROM p),
+    s AS (SELECT *, regexp_replace(regexp_replace(lower({Q.strip('l')}), '\p{{Nd}}+', '#', 'g'), '{V.WS}+', ' ', 'g') AS firma
+        FROM al WHERE {Q.strip('l')} <> ''),
+    c AS (SELECT DISTINCT doc_id, page, l, firma FROM s),
+    n AS (SELECT doc_id, firma, count(*) AS n FROM c WHERE length(firma) BETWEEN 1 AND 120 GROUP BY ALL),
+    z AS (SELECT doc_id, count(*) AS pages FROM p GROUP BY ALL),
+    b AS (SELECT doc_id, firma FROM n JOIN z USING (doc_id) WHERE pages >= 4 AND n >= greatest(3, floor(pages * 0.5))),
+    k AS (SELECT s.* FROM s WHERE NOT regexp_matches(l, '\A{V.WS}*[-–—|]*{V.WS}*\p{{Nd}}{{1,4}}{V.WS}*[-–—|]*{V.WS}*\z')
+        AND NOT EXISTS (SELECT 1 FROM b WHERE b.doc_id = s.doc_id AND b.firma = s.firma)),
+    j AS (SELECT doc_id, page, string_agg({Q.strip('l')}, ' ' ORDER BY i) AS texto FROM k GROUP BY ALL)
+    SELECT p.doc_id, p.page::BIGINT AS page, coalesce(j.texto, '') AS texto FROM p LEFT JOIN j USING (doc_id, page)""",
+)
+def page_arrays(spark, folder):
+    # A line is a page under a heading, which every fourth page lacks, and over its number.
+    rows = table(spark, folder, "documents")
+    heading = F.concat(F.lit("Informe "), "doc_id", F.lit("\n"))
+    paged = F.transform(
+        F.split("text", "\n"),
+        lambda x, i: F.concat(F.when(i % 4 == 3, "").otherwise(heading), x, F.lit("\n"), (i + 1).cast("string")),
+    )
+    stripped = rows.select("doc_id", strip_page_array(paged).alias("_pages"))
+    return explode_items(stripped, ["doc_id"], "_pages", "page", "texto")
+
+
 MENU = f"""menu AS (SELECT doc_id, linea, pos, lag({Q.strip('linea')}) OVER (PARTITION BY doc_id ORDER BY pos) AS previa FROM lines),
 kept AS (SELECT doc_id, linea, pos FROM menu WHERE NOT ({Q.strip('linea')} <> '' AND {Q.strip('linea')} = coalesce(previa, '')
     AND length({Q.strip('linea')}) < 60))"""
