@@ -18,8 +18,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from docloom.functions.tokens import rank_counter  # noqa: E402
 from docloom.operators import encode, retrieve  # noqa: E402
+from docloom.functions.segment import by_language  # noqa: E402
 from docloom.functions.language import trigram_detector, trigram_profiles, unknown_language  # noqa: E402
-from docloom.plans import build_index, extract  # noqa: E402
+from docloom.plans import build_index, extract, log_table  # noqa: E402
 from docloom.session import SETTINGS  # noqa: E402
 from docloom.sources import sinks  # noqa: E402
 from docloom.sources.inventory import inventory, read_inventory  # noqa: E402
@@ -46,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
     two.add_argument("--reiniciar", action="store_true", help="chunk anew, keep a backup")
     two.add_argument("--tokens", help="rank file of a byte-pair vocabulary that counts tokens, else words are counted")
 
+    two.add_argument("--segmenter", help="module:name of a segmenter, else sentences are cut by language")
+
     three = commands.add_parser("index", help="chunks to a searchable index")
     three.add_argument("--input", required=True, help="output folder of chunk")
     three.add_argument("--output-dir", required=True)
@@ -111,7 +114,7 @@ def _extract(spark: SparkSession, args: argparse.Namespace) -> None:
         spark, wanted, log, f"{args.salida}/documentos", language,
         _named(args.decoders) if args.decoders else None, args.lotes,
     )
-    documents = spark.read.parquet(f"{args.salida}/documentos")
+    documents = log_table.read(spark, f"{args.salida}/documentos")
     sinks.write_metadata_csv(documents, f"{args.salida}/documentos_metadata")
     sinks.write_errors_csv(documents, f"{args.salida}/errores")
     sinks.write_summary(documents, f"{args.salida}/resumen")
@@ -132,8 +135,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "chunk":
         count = rank_counter(spark, args.tokens) if args.tokens else None
         build_index.build_chunks(
-            spark, args.input, args.output, args.reiniciar, batches=args.lotes, count_tokens=count
+            spark, args.input, args.output, args.reiniciar, batches=args.lotes, count_tokens=count,
+            segmenter=_named(args.segmenter) if args.segmenter else by_language,
         )
+        sinks.write_chunking_errors_csv(build_index.read_chunk_errors(spark, args.output), f"{args.output}/errores_chunking")
     elif args.command == "index":
         build_index.build_index(
             spark, build_index.read_chunks(spark, args.input), args.embeddings_cache,

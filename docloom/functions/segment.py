@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import importlib.util
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import cache
 
 import pandas as pd
@@ -21,6 +22,40 @@ from docloom.functions.text import StrCol, col, strip
 Segmenter = Callable[[Column, Column], Column]
 
 
+@dataclass(frozen=True)
+class Guarded:
+    """A segmenter in Python, ``cut(text, language)``, whose failures stay with their row.
+
+    ``checked`` gives (oraciones, error): what ``cut`` returned, or what it raised.  As a plain
+    segmenter it gives NULL for a text that failed.
+    """
+
+    cut: Callable[[str, str | None], list[str]]
+
+    def checked(self, text: StrCol, language: StrCol) -> Column:
+        return _guarded_udf(self.cut)(col(text), col(language))
+
+    def __call__(self, text: StrCol, language: StrCol) -> Column:
+        return self.checked(text, language)["oraciones"]
+
+
+def _guarded_udf(cut):
+    @F.pandas_udf("oraciones array<string>, error string")
+    def segment(texts: pd.Series, languages: pd.Series) -> pd.DataFrame:
+        found, errors = [], []
+        for text, language in zip(texts, languages):
+            sentences, error = [], None
+            try:
+                sentences = cut(text, language) if text is not None else []
+            except Exception as failure:  # noqa: BLE001 - it becomes the row's error
+                sentences, error = None, str(failure) or type(failure).__name__
+            found.append(sentences)
+            errors.append(error)
+        return pd.DataFrame({"oraciones": pd.Series(found, dtype=object), "error": pd.Series(errors, dtype=object)})
+
+    return segment
+
+
 def _split(text: Column, gap: str) -> Column:
     return F.filter(F.transform(F.split(text, gap), strip), lambda s: s != "")
 

@@ -14,7 +14,7 @@ from docloom import schemas
 from docloom.functions import pack
 from docloom.functions import text as X
 from docloom.functions.arrays import explode_items
-from docloom.functions.segment import Segmenter, by_language
+from docloom.functions.segment import Guarded, Segmenter, by_language
 
 
 def valid_documents(documents: DataFrame) -> DataFrame:
@@ -44,12 +44,15 @@ def chunk_documents(
     segmenter: Segmenter = by_language,
     limit: int = V.CHUNK_CHARS,
     count_tokens=None,
+    errors: bool = False,
 ) -> DataFrame:
     """Chunk table of a document table, with the fields chunks inherit.
 
     ``count_tokens`` is a Column function of the text; without one, tokens are words.
     Documents whose phenomenon is NULL keep their chunks.  ``last`` marks the last
-    chunk of its document, known here for free.
+    chunk of its document, known here for free.  With ``errors`` a document on which a
+    ``Guarded`` segmenter failed gives one row without text, its ``error`` filled, in the same pass;
+    without, it gives no row.
     """
     inherited = [
         (F.col(f.name) if f.name in documents.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -61,12 +64,20 @@ def chunk_documents(
             "doc_id", *inherited, _language(documents).alias("idioma"),
             X.clean_text("texto").alias("texto"),
         )
-        .withColumn("_sentences", segmenter(F.col("texto"), F.col("idioma")))
-        .drop("texto")
-        .withColumn("_chunks", pack.pack_chunks("_sentences", limit))
-        .drop("_sentences")
     )
-    keep = ["doc_id", *V.INHERITED, F.size("_chunks").alias("_n")]
+    pieces = pack.pack_chunks("_sentences", limit)
+    guarded = errors and isinstance(segmenter, Guarded)
+    if guarded:
+        found = packed.withColumn("_found", segmenter.checked("texto", "idioma"))
+        packed = found.withColumns({"_sentences": F.col("_found.oraciones"), "error": F.col("_found.error")}).drop("_found")
+        pieces = F.when(F.col("error").isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(pieces)
+    else:
+        packed = packed.withColumn("_sentences", segmenter(F.col("texto"), F.col("idioma")))
+        if errors:
+            packed = packed.withColumn("error", F.lit(None).cast("string"))
+    packed = packed.drop("texto").withColumn("_chunks", pieces).drop("_sentences")
+    also = ["error"] if errors else []
+    keep = ["doc_id", *V.INHERITED, *also, F.size("_chunks").alias("_n")]
     exploded = explode_items(packed, keep, "_chunks", "posicion", "texto").withColumn(
         "_words", X.stripped_word_count("texto").cast("bigint")
     )
@@ -80,9 +91,18 @@ def chunk_documents(
         X.char_count("texto").alias("n_caracteres_chunk"),
         F.col("_words").alias("n_palabras_chunk"),
         (F.col("posicion") == F.col("_n") - 1).alias("last"),
+        *also,
     )
 
 
+def chunking_errors(documents: DataFrame, segmenter: Segmenter) -> DataFrame:
+    """(doc_id, error) of the documents on which the segmenter fails."""
+    if not isinstance(segmenter, Guarded):
+        return documents.select("doc_id", F.lit(None).cast("string").alias("error")).limit(0)
+    cut = segmenter.checked(X.clean_text("texto"), _language(documents))
+    return documents.select("doc_id", cut["error"].alias("error")).filter(F.col("error").isNotNull())
+
+
 def fragment_chunks(
     chunks: DataFrame, segmenter: Segmenter = by_language, limit: int = V.FRAGMENT_WORDS
 ) -> DataFrame:

@@ -28,13 +28,56 @@ def feature_text(props: Column) -> Column:
     return F.array_join(F.filter(pairs, lambda p: p.isNotNull()), " | ")
 
 
-def tile_documents(features: DataFrame, tiles: DataFrame) -> DataFrame:
+#: Where a feature stands; tiles are ordered by path.
+PLACE = ("path", "layer_pos", "feature_pos")
+
+
+def feature_owners(features: DataFrame) -> DataFrame:
+    """(layer, id, place) of the first of ``features`` with each key; those without an id have no owner.
+
+    Such rows of many arrivals can be kept in one table: the owner of a key is the first place of
+    all its rows (``current_owners``), whatever order they came in.
+    """
+    keyed = features.withColumn("id", feature_id(F.col("props"))).where(F.col("id").isNotNull())
+    return current_owners(keyed.select("layer", "id", *PLACE))
+
+
+def current_owners(owners: DataFrame) -> DataFrame:
+    """One row a key: its first place.  Combined before the shuffle, so a key may be in any number of tiles."""
+    first = owners.groupBy("layer", "id").agg(F.min(F.struct(*PLACE)).alias("_first"))
+    return first.select("layer", "id", "_first.*")
+
+
+def losing_tiles(features: DataFrame, owners: DataFrame) -> DataFrame:
+    """(path) of the tiles that once owned a key of the new ``features`` and do not any more.
+
+    ``owners`` holds the rows of the new features too.  A tile that lost a key in a run which died
+    is named again as long as the new tiles are.
+    """
+    keys = feature_owners(features).select("layer", "id")
+    # The stored side has few rows a key: one for each run that changed its owner.
+    rows = owners.select("layer", "id", "path").distinct().join(keys, ["layer", "id"], "left_semi")
+    now = current_owners(owners).select("layer", "id", F.col("path").alias("_owner"))
+    lost = rows.join(now, ["layer", "id"]).where(F.col("path") != F.col("_owner")).select("path").distinct()
+    return lost.join(features.select("path").distinct(), "path", "left_anti")
+
+
+def _kept(features: DataFrame, owners: DataFrame | None) -> DataFrame:
+    keyed = features.withColumn("id", feature_id(F.col("props")))
+    if owners is None:
+        return first_wins_features(keyed)
+    owned = keyed.where(F.col("id").isNotNull()).join(current_owners(owners).select(*PLACE), list(PLACE), "left_semi")
+    return owned.unionByName(keyed.where(F.col("id").isNull()))
+
+
+def tile_documents(features: DataFrame, tiles: DataFrame, owners: DataFrame | None = None) -> DataFrame:
     """(path, texto, estado, filas_totales, detalle) of every tile.
 
     A feature is written by the first tile that has it, even when it has nothing
     to print; a tile left without text is a duplicate, or empty if it had no feature.
+    First among ``features``, or by a table of ``owners``, with which some tiles can be written alone.
     """
-    kept = first_wins_features(features.withColumn("id", feature_id(F.col("props"))))
+    kept = _kept(features, owners)
     lines = (
         kept.withColumn("linea", feature_text(F.col("props")))
         .filter(F.col("linea") != "")

@@ -7,12 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom import fixed_values as V
-from docloom.functions.segment import Segmenter, by_language
+from docloom import schemas
+from docloom.functions import text as X
+from docloom.functions.segment import Guarded, Segmenter, by_language
 from docloom.functions.vectors import assert_unit
 from docloom.operators import encode, retrieve
-from docloom.operators.chunks import assert_sources, chunk_documents, metadata_records, valid_documents
+from docloom.operators.chunks import (
+    assert_sources, chunk_documents, chunking_errors, metadata_records, valid_documents,
+)
 from docloom.operators.compact import done_keys, pending
 from docloom.operators.row_ids import with_row_id
+from docloom.plans.isolate import isolated
 from docloom.session import cut_lineage
 from docloom.sources.index import load_index, write_index
 
@@ -34,27 +39,56 @@ def build_chunks(
     in ``batches`` by a hash of their id; a batch is one committed write, so a run that dies
     leaves a document with all its chunks or none, and the batches before it.  A restart
     copies what is there to a backup folder first.  ``count_tokens`` is that of ``chunk_documents``.
+
+    A document on which the segmenter fails is listed in ``errors`` and tried again by the next run.
+    A ``Guarded`` segmenter says so itself; a batch that any other one breaks is halved until the
+    document is alone.
     """
     valid = valid_documents(spark.read.parquet(documents))
-    chunks, empty = f"{out}/chunks", f"{out}/empty"
+    chunks, empty, errors = f"{out}/chunks", f"{out}/empty", f"{out}/errors"
     if restart:
         kept = f"{out}/backup-{spark.sql('SELECT unix_millis(now())').first()[0]}"
-        for name, path in (("chunks", chunks), ("empty", empty)):
+        for name, path in (("chunks", chunks), ("empty", empty), ("errors", errors)):
             old = _existing(spark, path)
             if old is not None:
                 old.write.parquet(f"{kept}/{name}")
-    for at in range(batches):
-        fresh = restart and at == 0
-        before = [] if fresh else [t for t in (_existing(spark, chunks), _existing(spark, empty)) if t is not None]
-        part = valid.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == at)
+                spark.createDataFrame([], old.schema).write.mode("overwrite").parquet(path)
+
+    def healthy() -> None:
+        spark.createDataFrame([], schemas.CHUNKS).write.mode("append").parquet(chunks)
+
+    def failed(rows: DataFrame) -> None:
+        rows.select("doc_id", "error", F.current_timestamp().alias("momento")).write.mode("append").parquet(errors)
+
+    def work(part: DataFrame, tries: int) -> None:
+        before = [t for t in (_existing(spark, chunks), _existing(spark, empty)) if t is not None]
         # Keys are compared, texts are not shuffled for it.
         ids = pending(part.select("doc_id"), done_keys(*before)) if before else part.select("doc_id")
         todo = part.join(ids, "doc_id", "left_semi") if before else part
-        mode = "overwrite" if fresh else "append"
         todo_ids = cut_lineage(ids)
-        chunk_documents(todo, segmenter, count_tokens=count_tokens).drop("last").write.mode(mode).parquet(chunks)
-        without = pending(todo_ids, spark.read.parquet(chunks))
-        without.write.mode(mode).parquet(empty)
+        chunk_documents(todo, segmenter, count_tokens=count_tokens).drop("last").write.mode("append").parquet(chunks)
+        without = cut_lineage(pending(todo_ids, spark.read.parquet(chunks)))
+        if isinstance(segmenter, Guarded):
+            # Only texts that gave no chunk are cut again, to tell failures from texts without any.
+            wrong = cut_lineage(chunking_errors(part.join(without, "doc_id", "left_semi"), segmenter))
+            failed(wrong)
+            without = pending(without, wrong)
+        without.write.mode("append").parquet(empty)
+
+    def alone(rows: DataFrame, tries: int, error: Exception) -> None:
+        failed(rows.select("doc_id").distinct().withColumn("error", X.error_detail(F.lit(str(error)))))
+
+    isolated(valid, work, alone, healthy, batches)
+
+
+def read_chunk_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, error), the last one of every document that has still neither chunks nor the mark of having none."""
+    found = _existing(spark, f"{folder}/errors")
+    if found is None:
+        return spark.createDataFrame([], "doc_id STRING, error STRING")
+    done = [t for t in (_existing(spark, f"{folder}/{n}") for n in ("chunks", "empty")) if t is not None]
+    left = pending(found, done_keys(*done)) if done else found
+    return left.groupBy("doc_id").agg(F.max_by("error", "momento").alias("error"))
 
 
 def read_chunks(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,7 +18,8 @@ from docloom.functions.language import unknown_language
 from docloom.operators.compact import latest_wins, out_of_memory, pending
 from docloom.operators.json_documents import json_documents
 from docloom.operators.pages import joined_pages, strip_page_array
-from docloom.operators.tiles import tile_documents
+from docloom.operators.tiles import feature_owners, losing_tiles, tile_documents
+from docloom.plans import log_table
 from docloom.plans.isolate import FAILURES, isolated
 from docloom.session import cut_lineage
 from docloom.sources.decoders import Decoders, decode_files, spread_files
@@ -115,12 +116,18 @@ def _pdfs(files: DataFrame, decoders: Decoders | None) -> DataFrame:
 
 def _tiles(files: DataFrame, decoders: Decoders | None) -> DataFrame:
     """All tiles together: what a tile keeps depends on the tiles before it."""
-    read = cut_lineage(decode_files(files, "pbf", decoders))
-    features = explode_items(
+    return _tile_rows(cut_lineage(decode_files(files, "pbf", decoders)))
+
+
+def _tile_features(read: DataFrame) -> DataFrame:
+    return explode_items(
         read.withColumnRenamed("ruta_relativa", "path"), ["path"], "features", "pos", "f"
     ).select("path", "f.*")
+
+
+def _tile_rows(read: DataFrame, owners: DataFrame | None = None) -> DataFrame:
     good = read.filter(F.col("estado").isNull()).withColumnRenamed("ruta_relativa", "path")
-    made = tile_documents(features, good).withColumnRenamed("path", "ruta_relativa")
+    made = tile_documents(_tile_features(read), good, owners).withColumnRenamed("path", "ruta_relativa")
     rest = read.drop("features")
     return rest.filter(F.col("estado").isNull()).drop("estado", "detalle").join(
         made, "ruta_relativa"
@@ -219,6 +226,14 @@ def _written(spark: SparkSession, log: str) -> DataFrame:
         return spark.createDataFrame([], LOG)
 
 
+def _stored(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+        return True
+    except AnalysisException:
+        return False
+
+
 def settled(log: DataFrame, runs: int = RUNS) -> DataFrame:
     """Keys that need no further run: those whose latest row is not that of a file which failed alone, or has been so ``runs`` times."""
     lost = F.startswith(F.coalesce("detalle", F.lit("")), F.lit(V.LOST_DETAIL))
@@ -231,7 +246,7 @@ def run(
     spark: SparkSession, inventory: DataFrame, log: str, out: str, language=unknown_language,
     decoders: Decoders | None = None, batches: int | None = None,
 ) -> None:
-    """Append passes to the log folder and compact them to ``out``, latest row wins.
+    """Append passes to the log folder and compact them to ``out``, latest row wins, in buckets of which only the touched ones are rewritten.
 
     A first pass takes the pending files in ``batches`` by a hash of the id, each a committed
     write, so an interrupted run repeats at most one of them; by default a batch has about
@@ -274,23 +289,43 @@ def run(
     fresh = todo.join(before.select("doc_id").distinct(), "doc_id", "left_anti")
     passed(fresh.where(~tile), 1, parts(fresh))
     if todo.where(tile).limit(1).count():
-        _tile_pass(inventory.where(tile), append, healthy, language, decoders)
+        tiles, owners = inventory.where(tile), f"{log}-duenos"
+        # Without a table of owners (a log from before it) all tiles are fresh.
+        fresh_tiles = todo.where(tile) if _stored(spark, owners) else tiles
+        _tile_pass(spark, fresh_tiles, tiles, owners, append, healthy, language, decoders)
     passed(suspects.where(~tile), 1, max(1, suspects.count()))
     failed = out_of_memory(_written(spark, log))
     passed(cut_lineage(inventory.where(~tile).join(failed, "doc_id", "left_semi")), 2, 1)
     append(lost_rows(inventory, _written(spark, log)), 3)
-    latest_wins(_written(spark, log)).select(*V.DOCUMENT_COLUMNS).write.mode("overwrite").option(
-        "compression", "snappy"
-    ).parquet(out)
+    log_table.compact(spark, _written(spark, log), out, V.DOCUMENT_COLUMNS, number)
 
 
-def _tile_pass(tiles: DataFrame, append, healthy, language, decoders: Decoders | None) -> None:
-    """All tiles as one batch, as they depend on each other; if it fails, the tiles that no decoding survives are left out.
+def _tile_pass(
+    spark: SparkSession, fresh: DataFrame, tiles: DataFrame, owners: str, append, healthy, language, decoders: Decoders | None,
+) -> None:
+    """The fresh tiles as one batch, and the tiles that lose a feature to one of them.
 
-    Only decoding runs foreign bytes, so halving the decoding finds them.
+    ``owners`` is a folder of feature owners, to which each run adds rows before it writes documents: a
+    run that died between finds the same losing tiles again.  If the batch fails, the tiles
+    that no decoding survives are left out; only decoding runs foreign bytes, so halving the decoding finds them.
     """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def decoded(rows: DataFrame) -> DataFrame:
+        named = rows.drop("pos").withColumn("formato", X.extension("ruta_relativa"))
+        return cut_lineage(decode_files(spread_files(named, tasks), "pbf", decoders))
+
+    def write(rows: DataFrame, tries: int = 1) -> None:
+        read = decoded(rows)
+        new = _tile_features(read)
+        feature_owners(new).write.mode("append").parquet(owners)
+        stored = spark.read.parquet(owners)
+        losing = losing_tiles(new, stored).withColumnRenamed("path", "ruta_relativa")
+        again = decoded(tiles.join(losing, "ruta_relativa", "left_semi"))
+        append(finish(_tile_rows(read.unionByName(again), stored), language), 1, tries)
+
     try:
-        append(extract(tiles, None, language, decoders=decoders, kinds={"pbf"}), 1)
+        write(fresh)
         return
     except FAILURES:
         healthy()
@@ -304,6 +339,5 @@ def _tile_pass(tiles: DataFrame, append, healthy, language, decoders: Decoders |
         append(failed_rows(rows, V.LOST_DETAIL), 1, tries)
         bad.extend(r.doc_id for r in rows.select("doc_id").collect())
 
-    isolated(tiles, decode, alone, healthy)
-    rest = tiles.where(~F.col("doc_id").isin(bad))
-    append(extract(rest, None, language, decoders=decoders, kinds={"pbf"}), 1, 2)
+    isolated(fresh, decode, alone, healthy)
+    write(fresh.where(~F.col("doc_id").isin(bad)), 2)

@@ -12,9 +12,10 @@ from docloom.functions import text as X
 from docloom.operators import chunks as C
 from docloom.operators import compact, stats, tiles
 from docloom.operators.json_documents import json_documents
+from docloom.plans import log_table
 from docloom.plans import sql as Q
 from docloom.plans.registry import corpus, query, table
-from docloom.session import checkpoint_dir
+from docloom.session import checkpoint_dir, cut_lineage
 from docloom.sources.csv_files import csv_documents, csv_rows
 from docloom.sources.inventory import inventory, is_tile, reader
 from docloom.sources.jsonl import parse_lines
@@ -202,21 +203,36 @@ def feature_dedup(spark, folder):
     return kept.select(F.col("feature_pos").alias("event_id"), "layer", "id", "path")
 
 
-@query(
-    "tile_documents",
-    f"""WITH {FEATURES_SQL}, l AS (SELECT path, layer_pos, event_id, concat_ws(' | ', 'fid: ' || id, 'user: ' || user_id,
+TILES_SQL = f"""WITH {FEATURES_SQL}, l AS (SELECT path, layer_pos, event_id, concat_ws(' | ', 'fid: ' || id, 'user: ' || user_id,
         CASE WHEN value > 5 THEN 'value: ' || trunc(value)::INT END) AS linea FROM kept),
     x AS (SELECT path, string_agg(linea, chr(10) ORDER BY layer_pos, event_id) AS texto, count(*) AS n FROM l GROUP BY path),
     a AS (SELECT path, count(*) AS total FROM f GROUP BY path)
     SELECT a.path, coalesce(texto, '') AS texto, CASE WHEN texto IS NULL THEN 'duplicado_pbf' ELSE 'ok' END AS estado,
       total::BIGINT AS filas_totales, 'features=' || total || ' nuevas=' || coalesce(n, 0) AS detalle
-    FROM a LEFT JOIN x USING (path)""",
-)
+    FROM a LEFT JOIN x USING (path)"""
+
+
+@query("tile_documents", TILES_SQL)
 def tile_texts(spark, folder):
     features = _features(spark, folder)
     return tiles.tile_documents(features, features.select("path").distinct())
 
 
+@query("tiles_arriving", TILES_SQL)
+def tiles_arriving(spark, folder):
+    """The tiles in three arrivals; each writes its own and those that lose a feature to it, the last row of a tile counts."""
+    run = f"{checkpoint_dir(spark)}/tiles-{uuid.uuid4().hex}"
+    features = _features(spark, folder)
+    for step in range(3):
+        new = features.where(F.pmod(F.xxhash64("path"), F.lit(3)) == step)
+        tiles.feature_owners(new).write.mode("append").parquet(f"{run}/owners")
+        owners = spark.read.parquet(f"{run}/owners")
+        changed = cut_lineage(new.select("path").distinct().unionAll(tiles.losing_tiles(new, owners)))
+        made = tiles.tile_documents(features.join(changed, "path", "left_semi"), changed, owners)
+        made.withColumn("step", F.lit(step)).write.mode("append").parquet(f"{run}/documents")
+    return compact.latest_wins(spark.read.parquet(f"{run}/documents"), "path", "step").drop("step")
+
+
 @query(
     "resume_pending",
     "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
@@ -304,6 +320,24 @@ def passes_compacted(spark, folder):
     return compact.latest_wins(compact.append_passes(first, retry), "doc_id", ["pass", "seq"])
 
 
+@query(
+    "log_buckets",
+    f"""WITH s AS (SELECT user_id, event_id, {STATUS} AS estado, {REASON} AS detalle FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+    SELECT user_id AS doc_id, estado, detalle FROM s""",
+)
+def log_buckets(spark, folder):
+    """The events as a log of three runs, compacted after each: the later runs rewrite the buckets they touch."""
+    out = f"{checkpoint_dir(spark)}/log-{uuid.uuid4().hex}"
+    log = _status_log(spark, folder)
+    ends = log.agg(F.percentile_approx("seq", F.array(F.lit(0.9), F.lit(0.99), F.lit(1.0)), F.lit(1000))).first()[0]
+    since = 0
+    for end in ends:
+        log_table.compact(spark, log.where(F.col("seq") <= end), f"{out}/documentos", ["doc_id", "estado", "detalle"], since)
+        since = end
+    return log_table.read(spark, f"{out}/documentos")
+
+
 @query(
     "jsonl_rows",
     """SELECT event_id AS seq, user_id::VARCHAR AS doc_id, event_type AS estado FROM events

@@ -172,6 +172,34 @@ def chunks(spark, folder):
     )
 
 
+def _strict_lines(text, language):
+    """Lines as sentences; a text with an address in it is refused."""
+    at = text.find("@")
+    if at >= 0:
+        raise ValueError(f"{language}: '@' at {at}")
+    return [line.strip(V.BLANKS) for line in text.split("\n") if line.strip(V.BLANKS)]
+
+
+STRICT_LINES = segment.Guarded(_strict_lines)
+
+
+@query(
+    "chunking_errors",
+    f"""WITH t AS (SELECT doc_id, lang, {Q.light_clean('text')} AS txt FROM documents),
+    l AS (SELECT *, list_filter(list_transform(string_split(txt, chr(10)), lambda s: {Q.strip('s')}), lambda s: s <> '') AS ss
+      FROM t),
+    p AS (SELECT *, {Q.packed('ss', 'length(s)', V.CHUNK_CHARS)} AS cs FROM l WHERE len(ss) > 0)
+    SELECT doc_id::VARCHAR AS doc_id, CASE WHEN strpos(txt, '@') = 0 THEN list_max(cs) + 1 ELSE 0 END AS n_chunks,
+      CASE WHEN strpos(txt, '@') > 0 THEN lang || ': ''@'' at ' || (strpos(txt, '@') - 1) END AS error
+    FROM p""",
+)
+def chunking_errors(spark, folder):
+    """Chunks of every document, or why it could not be cut, from one pass."""
+    rows = C.chunk_documents(C.valid_documents(corpus(spark, folder)), STRICT_LINES, errors=True)
+    # A document's chunks are in one task, so this combines before the shuffle.
+    return rows.groupBy("doc_id").agg(F.count("texto").alias("n_chunks"), F.max("error").alias("error"))
+
+
 #: A rank file of a public byte-pair vocabulary; it is not part of this repository.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 

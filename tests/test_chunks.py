@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docloom.functions import pack, segment
 from docloom.functions import text as X
 from docloom.operators import chunks as C
+from docloom.plans import build_index as B
 
 TEXTS = {
     "en": ["The river is calm.", "Boats pass at noon.", "Nobody waits.", "Night comes."],
@@ -138,3 +139,51 @@ def test_blank_source_fails(spark):
     with pytest.raises(ValueError, match="1 chunks with an empty fuente, c2"):
         C.assert_sources(df)
     C.assert_sources(df.filter("chunk_id = 'c1'"))
+
+
+def test_failing_documents_give_error_rows(spark, tmp_path):
+    """One failing document: an error row, the others are chunked, and the next run tries it again."""
+
+    def cut(text, language):
+        if "bad" in text:
+            raise ValueError(f"no cut for {language}")
+        return [s for s in text.split(". ") if s]
+
+    docs = spark.createDataFrame(
+        [("a", "One. Two", "en"), ("b", "a bad one", "fr"), ("c", "  ", "en"), ("d", "Three", None), ("e", "bad", None)],
+        "doc_id string, texto string, idioma string",
+    ).withColumns({"estado": F.lit("ok"), "fuente": F.lit("f")})
+    picky = segment.Guarded(cut)
+    rows = C.chunk_documents(docs, picky, errors=True).select("doc_id", "texto", "error").collect()
+    assert sorted((r.doc_id, r.texto or "", r.error or "") for r in rows) == [
+        ("a", "One Two", ""), ("b", "", "no cut for fr"), ("d", "Three", ""), ("e", "", "no cut for None")]
+    assert {r.doc_id for r in C.chunk_documents(docs, picky).collect()} == {"a", "d"}
+    plain = C.chunk_documents(docs, errors=True)
+    assert plain.where("error is not null").count() == 0 and plain.count() == 4
+    source, out = f"{tmp_path}/docs", f"{tmp_path}/out"
+    docs.write.parquet(source)
+    B.build_chunks(spark, source, out, segmenter=picky, batches=2)
+    B.build_chunks(spark, source, out, segmenter=picky)
+    assert {r.doc_id: r.error for r in B.read_chunk_errors(spark, out).collect()} == {"b": "no cut for fr", "e": "no cut for None"}
+    assert sorted(r.doc_id for r in B.read_chunks(spark, out).collect()) == ["a", "d"]
+    assert [r.doc_id for r in spark.read.parquet(f"{out}/empty").collect()] == ["c"]
+    # A segmenter that succeeds takes them out of the list.
+    B.build_chunks(spark, source, out)
+    assert B.read_chunk_errors(spark, out).count() == 0 and B.read_chunks(spark, out).count() == 4
+
+
+def test_a_segmenter_that_breaks_its_batch(spark, tmp_path):
+    """An expression cannot be guarded: the batch is halved until the document is alone."""
+    docs = spark.createDataFrame([(f"d{i}", "bad" if i == 3 else f"Text {i}.", "en") for i in range(8)],
+                                 "doc_id string, texto string, idioma string").withColumns({"estado": F.lit("ok"), "fuente": F.lit("f")})
+    source, out = f"{tmp_path}/docs", f"{tmp_path}/out"
+    docs.write.parquet(source)
+
+    def refuses(text, language):
+        return F.when(text == "bad", F.raise_error(F.lit("cannot cut"))).otherwise(F.array(text))
+
+    B.build_chunks(spark, source, out, segmenter=refuses)
+    assert B.read_chunks(spark, out).count() == 7
+    errors = B.read_chunk_errors(spark, out).collect()
+    assert [r.doc_id for r in errors] == ["d3"] and "cannot cut" in errors[0].error
+    assert spark.read.parquet(f"{out}/empty").count() == 0

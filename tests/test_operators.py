@@ -4,10 +4,12 @@ import json
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from docloom.operators import compact, pages, stats, tiles
 from docloom.operators.json_documents import json_documents
+from docloom.plans import log_table
 
 
 def page_table(spark, docs):
@@ -126,6 +128,35 @@ def test_tiles(spark):
     assert (got["d"].estado, got["d"].filas_totales) == ("vacio", 0)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_tiles_arriving_in_any_order(spark, tmp_path, seed):
+    """Each arrival writes its tiles and those that lose a key; the end is that of all tiles at once."""
+    rng = random.Random(seed)
+    rows = [
+        feature(f"t{t}", pos, [("fid", rng.choice(["1", "2", "3", str(10 + t), " "])), ("n", f"{t}-{pos}")],
+                rng.choice(["roads", "rivers"]), 0)
+        for t in range(8) for pos in range(4)
+    ]
+    df = spark.createDataFrame(
+        rows, "path string, layer string, layer_pos bigint, feature_pos bigint, props array<struct<k:string,v:string>>")
+    df = df.withColumn("id", tiles.feature_id(F.col("props")))
+    want = {r.path: (r.texto, r.estado, r.detalle) for r in tiles.tile_documents(df, df.select("path").distinct()).collect()}
+    order = [f"t{t}" for t in range(8)]
+    rng.shuffle(order)
+    store, got, written = f"{tmp_path}/owners", {}, 0
+    for part in (order[:3], order[3:7], order[7:]):
+        new = df.where(F.col("path").isin(part))
+        tiles.feature_owners(new).write.mode("append").parquet(store)
+        owners = spark.read.parquet(store)
+        again = [r.path for r in tiles.losing_tiles(new, owners).collect()]
+        assert not set(again) & set(part) and set(again) <= set(got)
+        changed = df.where(F.col("path").isin(part + again))
+        made = tiles.tile_documents(changed, changed.select("path").distinct(), owners).collect()
+        got.update({r.path: (r.texto, r.estado, r.detalle) for r in made})
+        written += len(made)
+    assert got == want and written >= 8
+
+
 def document_rows(spark):
     rows = [("a", "ok", "pdf", 1, "es", 10, 5, False), ("b", "ok", "csv", None, "en", 20, 6, None),
             ("c", "error", "pdf", 2, "es", 0, 0, True), ("d", None, None, 2, None, 1, 1, False)]
@@ -211,3 +242,35 @@ def test_passes(spark):
     assert [r.doc_id for r in compact.pending(one, two).collect()] == ["b"]
     assert [r.doc_id for r in compact.among(one, two).collect()] == ["a"]
     assert sorted(r.doc_id for r in compact.done_keys(one, two).collect()) == ["a", "b"]
+
+
+def test_compaction_rewrites_touched_buckets(spark, tmp_path):
+    """A run with one document rewrites one bucket; any history gives what a full compaction gives."""
+    out, columns = f"{tmp_path}/out", ["doc_id", "estado"]
+
+    def log(rows):
+        return spark.createDataFrame(rows, "doc_id string, estado string, seq long")
+
+    def files():
+        return {p.parent.name: p.name for p in (tmp_path / "out").glob("cubo=*/*.parquet")}
+
+    rows = [(f"d{i}", "error" if i % 3 else "ok", 1) for i in range(60)] + [(None, "ok", 1)]
+    assert log_table.compact(spark, log(rows), out, columns, 0, buckets=8) is None
+    before = files()
+    assert len(before) == 8
+    rows.append(("d7", "ok", 2))
+    # The number of buckets a table was made with stays.
+    assert log_table.compact(spark, log(rows), out, columns, 1, buckets=9) == 1
+    assert sum(before[b] != name for b, name in files().items()) == 1 and len(files()) == 8
+    rows += [("new", "ok", 3), ("d7", "vacio", 4)]
+    assert log_table.compact(spark, log(rows), out, columns, 2) <= 2
+    last = {}
+    for key, state, _ in sorted(rows, key=lambda r: r[2]):
+        last[key] = state
+    assert len(log_table.read(spark, out).collect()) == len(last)
+    assert dict((r.doc_id, r.estado) for r in log_table.read(spark, out).collect()) == last
+    assert log_table.compact(spark, log(rows), out, columns, 4) == 0
+    # A run that died before it compacted: its rows come in by a full compaction.
+    rows += [("lost", "ok", 5), ("after", "ok", 6)]
+    assert log_table.compact(spark, log(rows), out, columns, 5) is None
+    assert {"lost", "after"} <= {r.doc_id for r in log_table.read(spark, out).collect()}
