@@ -11,6 +11,7 @@ callers pass theirs in a ``Decoders`` table.  Without one a file gets the state
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
 import time
@@ -66,7 +67,14 @@ def read_bytes(path: str) -> bytes:
 
 
 def _text(data: bytes) -> tuple[str, str]:
-    """(text, encoding): strict UTF-8, else Latin-1, in which every byte is a letter."""
+    """(text, encoding): UTF-16 or -32 where a byte order mark says so, strict UTF-8, else Latin-1, in which every byte is a letter."""
+    # The mark of UTF-32 begins with that of UTF-16.
+    for encoding, marks in (("utf-32", (codecs.BOM_UTF32_LE, codecs.BOM_UTF32_BE)), ("utf-16", (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE))):
+        if data.startswith(marks):
+            try:
+                return data.decode(encoding), encoding
+            except UnicodeDecodeError:
+                break
     try:
         return data.decode("utf-8-sig"), "utf-8"
     except UnicodeDecodeError:
@@ -75,7 +83,7 @@ def _text(data: bytes) -> tuple[str, str]:
 
 def decode_text(data: bytes, path: str) -> dict:
     text, encoding = _text(data)
-    return {"raw": text, "detalle": None if encoding == "utf-8" else V.LATIN_DETAIL}
+    return {"raw": text, "detalle": V.LATIN_DETAIL if encoding == "latin-1" else None}
 
 
 def decode_json(data: bytes, path: str) -> dict:

@@ -221,6 +221,31 @@ def test_a_tile_that_kills_its_worker_is_left_out(spark, corpus, tmp_path):
     assert rows["z1.pbf"][0] == "ok" and rows["z2.pbf"][0] == "error"
 
 
+def test_marked_encodings():
+    for encoding in ("utf-16", "utf-32", "utf-8-sig"):
+        assert decoders.decode_text("año 河".encode(encoding), "") == {"raw": "año 河", "detalle": None}
+    read = decoders.decode_csv("nombre;edad\nJosé;3\n".encode("utf-16"), "")
+    assert read["sheets"][0]["rows"] == [["José", "3"]]
+    # A mark without the text it promises is read as bytes.
+    assert decoders.decode_text(b"\xff\xfea", "")["raw"] == "ÿþa"
+
+
+def test_a_tile_that_arrives_late(spark, corpus, tmp_path):
+    """The earlier tile comes second: the later one loses the feature they share, and no other tile is read."""
+    _, inv = corpus
+    tiles = inv.where("ruta_relativa like '%.pbf'")
+    log, out = f"{tmp_path}/log", f"{tmp_path}/out"
+
+    def state():
+        return {r.fuente: (r.estado, r.detalle) for r in spark.read.parquet(out).collect()}
+
+    E.run(spark, tiles.where("fuente = 'z2.pbf'"), log, out, batches=1)
+    assert state() == {"z2.pbf": ("ok", "features=1 nuevas=1")}
+    E.run(spark, tiles, log, out, batches=1)
+    assert state() == {"z1.pbf": ("ok", "features=2 nuevas=2"), "z2.pbf": ("duplicado_pbf", "features=1 nuevas=0")}
+    assert spark.read.parquet(log).count() == 3
+
+
 def test_a_broken_store_is_no_fault_of_a_file(spark):
     files = spark.createDataFrame([("a",), ("b",)], "doc_id string")
     asked = []
