@@ -121,7 +121,7 @@ def decode_csv(data: bytes, path: str) -> dict:
     ]
     return {
         "sheets": [{"name": "", "columns": columns, "rows": cells}],
-        "detalle": None if encoding == "utf-8" else V.LATIN_DETAIL,
+        "detalle": V.LATIN_DETAIL if encoding == "latin-1" else None,
     }
 
 
