@@ -22,14 +22,18 @@ from docloom.streaming.incremental import append_available, document_stream
 def stream_chunks(spark, folder):
     """All document files through the stream, twice: the second run finds nothing new."""
     schema = table(spark, folder, "documents").schema
-    rows = document_stream(spark, folder, schema, pattern="documents.parquet").select(
+    # The table is one file or a folder of files, whatever their names: all of them are read.  A stream
+    # takes a path to be a folder unless it is a pattern; this one stands for the table alone.
+    rows = document_stream(spark, f"{folder}/documents.parque[t]", schema, pattern="*").select(
         F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("texto"),
         F.col("lang").alias("idioma"),
     )
     run = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    chunks = chunk_documents(rows)
     for _ in range(2):
-        append_available(chunk_documents(rows), f"{run}/chunks", f"{run}/state").awaitTermination()
-    done = spark.read.parquet(f"{run}/chunks")
+        append_available(chunks, f"{run}/chunks", f"{run}/state").awaitTermination()
+    # Without a document no file tells the schema.
+    done = spark.read.schema(chunks.schema).parquet(f"{run}/chunks")
     return done.select("chunk_id", "doc_id", "posicion", "texto", "num_tokens")
 
 

@@ -12,6 +12,7 @@ from docloom import schemas
 from docloom.operators import encode, retrieve
 from docloom.plans import build_index as B
 from docloom.plans import extract as E
+from docloom.plans import stream_queries
 from docloom.plans.isolate import isolated
 from docloom.sources import csv_files, decoders, inventory, jsonl, sinks
 from docloom.sources.index import alignment, export_metadata, load_index
@@ -411,6 +412,21 @@ def test_stream_takes_new_files_once(spark, tmp_path):
     assert advance() == ["d0", "d1", "d2"]
 
 
+def test_the_stream_query_takes_a_table_of_many_files(spark, tmp_path):
+    rows = [(i, f"Text number {i}. And more.", "en") for i in range(6)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    table.repartition(3).write.parquet(f"{tmp_path}/many/documents.parquet")
+    # Another table beside it, also a folder, is not read.
+    table.write.parquet(f"{tmp_path}/many/pages.parquet")
+    table.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    (tmp_path / "one").mkdir()
+    table.toPandas().to_parquet(tmp_path / "one" / "documents.parquet")
+    for name in ("many", "one"):
+        got = stream_queries.stream_chunks(spark, f"{tmp_path}/{name}").collect()
+        assert sorted((r.doc_id, r.posicion, r.texto) for r in got) == [(str(i), 0, text) for i, text, _ in rows]
+    assert stream_queries.stream_chunks(spark, f"{tmp_path}/none").collect() == []
+
+
 def test_line_stream_drops_torn_lines(spark, tmp_path):
     (tmp_path / "in").mkdir()
     good = json.dumps({"doc_id": "a", "estado": "ok", "texto": "One. Two.", "idioma": "en"})
