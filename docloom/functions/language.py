@@ -9,20 +9,22 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from docloom import fixed_values as V
 from docloom.functions import text as X
 from docloom.functions.arrays import explode_items
-from docloom.operators.compact import first_per_group
 
 GRAM = 3
 #: Added to a language's number of trigrams, for those it has not shown.
 SMOOTHING = 2000
 #: Labelled rows of each language that a profile is learned from; it bounds the model.
 ROWS_PER_LANGUAGE = 20_000
+#: Ranges of hashes that a language's rows are counted by: so many bits.
+_RANGE_BITS = 12
+_TEXTS_AT_ONCE = 200
 
 
 def sample(text: Column | str) -> Column:
@@ -45,9 +47,8 @@ def trigram_profiles(
     hash of the text.
     """
     known = labelled.select(F.col(language).alias("idioma"), F.col(text).alias("_text")).where("idioma is not null")
-    hashed = known.withColumn("_hash", F.xxhash64("_text"))
-    chosen = first_per_group(hashed, ["idioma"], [F.col("_hash"), F.col("_text")], rows)
-    chars = chosen.select("idioma", F.split(F.lower("_text"), "").alias("_chars"))
+    chosen = _smallest_hashes(known.withColumn("_hash", F.xxhash64("_text")), rows)
+    chars = chosen.select("idioma", "_times", F.split(F.lower("_text"), "").alias("_chars"))
     starts = F.slice("_chars", F.lit(1), F.greatest(F.size("_chars") - GRAM + 1, F.lit(1)))
 
     def gram(first: Column, i: Column) -> Column:
@@ -55,12 +56,46 @@ def trigram_profiles(
         return F.concat(first, *rest)
 
     counted = (
-        explode_items(chars, ["idioma"], F.transform(starts, gram), "pos", "gram")
+        explode_items(chars, ["idioma", "_times"], F.transform(starts, gram), "pos", "gram")
         .groupBy("idioma", "gram")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("_times").alias("n"))
     )
+    # One row a language: it goes to the grams, which stay where they are.
     totals = counted.groupBy("idioma").agg(F.sum("n").alias("total"))
-    return counted.join(totals, "idioma")
+    return counted.join(F.broadcast(totals), "idioma")
+
+
+def _smallest_hashes(known: DataFrame, rows: int) -> DataFrame:
+    """(idioma, _hash, _text, _times): of every language the ``rows`` first by hash and text.
+
+    Hashes alone are counted and cut off, first by their leading bits and then inside the one range
+    where a language's count is reached, so no task meets a language's texts.  Only texts up to the
+    cut are shuffled, equal ones as one row with the times it counts.
+    """
+    hashes = known.groupBy("idioma", "_hash").agg(F.count("*").alias("_n"))
+    ranged = hashes.withColumn("_range", F.shiftright("_hash", 64 - _RANGE_BITS))
+    ranges = ranged.groupBy("idioma", "_range").agg(F.sum("_n").alias("_n"))
+    reached = _reached(ranges, ["idioma"], "_range", F.lit(0), rows)
+    inside = ranged.join(F.broadcast(reached), ["idioma", "_range"])
+    cuts = _reached(inside, ["idioma"], "_hash", F.col("_before"), rows).withColumnRenamed("_hash", "_cut")
+    # One row a language, as in the model.
+    below = known.join(F.broadcast(cuts), "idioma").where(F.col("_hash") <= F.col("_cut"))
+    texts = below.groupBy("idioma", "_hash", "_text").agg(
+        F.count("*").alias("_n"), F.any_value("_cut").alias("_cut"), F.any_value("_before").alias("_before")
+    )
+    # Texts of one hash: more than one by chance alone.
+    earlier = Window.partitionBy("idioma", "_hash").orderBy("_text").rowsBetween(Window.unboundedPreceding, -1)
+    room = F.lit(rows) - F.col("_before") - F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    times = F.when(F.col("_hash") < F.col("_cut"), F.col("_n")).otherwise(F.least(F.col("_n"), room))
+    return texts.withColumn("_times", times).where("_times > 0").select("idioma", "_hash", "_text", "_times")
+
+
+def _reached(counts: DataFrame, keys: list[str], place: str, start: Column, rows: int) -> DataFrame:
+    """(keys, place, _before): the last place of a key with fewer than ``rows`` before it, and how many."""
+    earlier = Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("_before", start + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    last = before.where(F.col("_before") < rows).groupBy(*keys).agg(F.max(F.struct(place, "_before")).alias("_last"))
+    return last.select(*keys, "_last.*")
 
 
 def _codes(text: str) -> np.ndarray:
@@ -97,17 +132,20 @@ def trigram_detector(profiles: DataFrame):
         if not languages:
             out.iloc[given] = V.UNKNOWN
             return out
-        parts = [_codes(t) for t in texts.iloc[given].str.lower()]
-        flat = np.concatenate(parts)
-        place = np.searchsorted(keys, flat)
-        place[place == len(keys)] = 0
-        # The last row is that of trigrams no language has.
-        place = np.where(keys[place] == flat, place, len(keys))
-        starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]])
-        scores = np.add.reduceat(logs[place], starts, axis=0)
-        best = scores.argmax(axis=1)
-        prob = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
-        out.iloc[given] = np.where(prob >= V.LANGUAGE_MIN_PROB, np.array(languages, object)[best], V.UNKNOWN)
+        # A score for every trigram and language: a few texts at a time, whatever the size of a batch.
+        for at in range(0, len(given), _TEXTS_AT_ONCE):
+            some = given[at : at + _TEXTS_AT_ONCE]
+            parts = [_codes(t) for t in texts.iloc[some].str.lower()]
+            flat = np.concatenate(parts)
+            place = np.searchsorted(keys, flat)
+            place[place == len(keys)] = 0
+            # The last row is that of trigrams no language has.
+            place = np.where(keys[place] == flat, place, len(keys))
+            starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]])
+            scores = np.add.reduceat(logs[place], starts, axis=0)
+            best = scores.argmax(axis=1)
+            prob = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
+            out.iloc[some] = np.where(prob >= V.LANGUAGE_MIN_PROB, np.array(languages, object)[best], V.UNKNOWN)
         return out
 
     return lambda text: F.coalesce(identify(sample(text)), F.lit(V.UNKNOWN))

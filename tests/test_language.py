@@ -57,3 +57,29 @@ def test_scores_are_those_of_single_lookups(spark, apply):
 def test_rows_bound_a_profile(spark):
     rows = [("en", f"text number {i}") for i in range(50)]
     assert L.trigram_profiles(spark.createDataFrame(rows[:10], "idioma string, texto string"), rows=2).first().total == 2 * (len(rows[0][1]) - 2)
+
+
+def test_the_rows_of_a_profile_are_the_first_by_hash_and_text(spark):
+    from pyspark.sql import functions as F
+
+    # Many copies of a few texts, so that the cut falls among equal ones; texts that are null count as rows.
+    texts = [f"text {i % 7} and {i % 3}" for i in range(60)] + [None] * 5
+    rows = [(lang, t) for lang in ("en", "es") for t in texts[: 65 if lang == "en" else 40]] + [(None, "unlabelled")]
+    labelled = spark.createDataFrame(rows, "idioma string, texto string").withColumn("h", F.xxhash64("texto"))
+    found = sorted((r.idioma, r.h, r.texto or "", r.texto is not None) for r in labelled.where("idioma is not null").collect())
+    for n in (1, 13, 38, 1000):
+        want = {}
+        for lang in ("en", "es"):
+            for _, _, t, there in [r for r in found if r[0] == lang][:n]:
+                for i in range(len(t) - 2 if there else 0):
+                    want[lang, t[i : i + 3]] = want.get((lang, t[i : i + 3]), 0) + 1
+        assert {(r.idioma, r.gram): r.n for r in L.trigram_profiles(labelled, rows=n).collect()} == want
+
+
+def test_no_task_meets_all_texts_of_a_language(spark):
+    labelled = spark.range(10).selectExpr("'en' AS idioma", "string(id) AS texto")
+    plan = L.trigram_profiles(labelled)._jdf.queryExecution().executedPlan().toString()
+    # Windows by language see counts of hashes alone; texts are dealt out by their hash.
+    windows = [x for x in plan.splitlines() if " Window [" in x]
+    assert windows and all("_text" not in x or "_hash" in x.split("], [")[1] for x in windows)
+    assert not any("row_number" in x for x in windows)
