@@ -40,18 +40,13 @@ class Guarded:
 
 
 def _guarded_udf(cut):
-    @F.pandas_udf("oraciones array<string>, error string")
-    def segment(texts: pd.Series, languages: pd.Series) -> pd.DataFrame:
-        found, errors = [], []
-        for text, language in zip(texts, languages):
-            sentences, error = [], None
-            try:
-                sentences = cut(text, language) if text is not None else []
-            except Exception as failure:  # noqa: BLE001 - it becomes the row's error
-                sentences, error = None, str(failure) or type(failure).__name__
-            found.append(sentences)
-            errors.append(error)
-        return pd.DataFrame({"oraciones": pd.Series(found, dtype=object), "error": pd.Series(errors, dtype=object)})
+    # Row by row: Spark sends a hundred texts at a time, where an Arrow batch holds ten thousand and their sentences.
+    @F.udf("oraciones array<string>, error string", useArrow=False)
+    def segment(text: str | None, language: str | None) -> tuple:
+        try:
+            return (list(cut(text, language)) if text is not None else []), None
+        except Exception as failure:  # noqa: BLE001 - it becomes the row's error
+            return None, str(failure) or type(failure).__name__
 
     return segment
 

@@ -187,3 +187,11 @@ def test_a_segmenter_that_breaks_its_batch(spark, tmp_path):
     errors = B.read_chunk_errors(spark, out).collect()
     assert [r.doc_id for r in errors] == ["d3"] and "cannot cut" in errors[0].error
     assert spark.read.parquet(f"{out}/empty").count() == 0
+
+
+def test_a_guarded_segmenter_gets_few_texts_at_a_time(spark):
+    rows = spark.range(3).select(F.lit("One.").alias("texto"), F.lit("en").alias("idioma"))
+    plan = rows.select(segment.Guarded(lambda text, language: (text,)).checked("texto", "idioma")["oraciones"].alias("o"))
+    # An Arrow batch has ten thousand rows; the other way sends a hundred.
+    assert "BatchEvalPython" in plan._jdf.queryExecution().executedPlan().toString()
+    assert [r.o for r in plan.collect()] == [["One."]] * 3
