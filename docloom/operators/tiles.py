@@ -66,8 +66,10 @@ def _kept(features: DataFrame, owners: DataFrame | None) -> DataFrame:
     keyed = features.withColumn("id", feature_id(F.col("props")))
     if owners is None:
         return first_wins_features(keyed)
-    owned = keyed.where(F.col("id").isNotNull()).join(current_owners(owners).select(*PLACE), list(PLACE), "left_semi")
-    return owned.unionByName(keyed.where(F.col("id").isNull()))
+    # One pass: a feature is at an owner's place or has no id; places can be few enough to be sent to the features.
+    places = current_owners(owners).select(*PLACE).distinct().withColumn("_owner", F.lit(True))
+    joined = keyed.join(places, list(PLACE), "left")
+    return joined.where(F.when(F.col("id").isNull(), True).otherwise(F.col("_owner").isNotNull())).drop("_owner")
 
 
 def tile_documents(features: DataFrame, tiles: DataFrame, owners: DataFrame | None = None) -> DataFrame:

@@ -227,7 +227,9 @@ def tiles_arriving(spark, folder):
         new = features.where(F.pmod(F.xxhash64("path"), F.lit(3)) == step)
         tiles.feature_owners(new).write.mode("append").parquet(f"{run}/owners")
         owners = spark.read.parquet(f"{run}/owners")
-        changed = cut_lineage(new.select("path").distinct().unionAll(tiles.losing_tiles(new, owners)))
+        # Read back from files its size is known: a short list of tiles goes to the features, which stay where they are.
+        new.select("path").distinct().unionAll(tiles.losing_tiles(new, owners)).write.parquet(f"{run}/changed-{step}")
+        changed = spark.read.parquet(f"{run}/changed-{step}")
         made = tiles.tile_documents(features.join(changed, "path", "left_semi"), changed, owners)
         made.withColumn("step", F.lit(step)).write.mode("append").parquet(f"{run}/documents")
     return compact.latest_wins(spark.read.parquet(f"{run}/documents"), "path", "step").drop("step")

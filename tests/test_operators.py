@@ -157,6 +157,22 @@ def test_tiles_arriving_in_any_order(spark, tmp_path, seed):
     assert got == want and written >= 8
 
 
+def test_tiles_with_owners_are_read_once_a_use(spark, tmp_path):
+    rows = [feature("a", 0, [("fid", "1")]), feature("b", 0, [("fid", "1")]), feature("b", 1, [("fid", " "), ("n", "x")])]
+    spark.createDataFrame(
+        rows, "path string, layer string, layer_pos bigint, feature_pos bigint, props array<struct<k:string,v:string>>"
+    ).write.parquet(f"{tmp_path}/features")
+    df = spark.read.parquet(f"{tmp_path}/features")
+    tiles.feature_owners(df).write.parquet(f"{tmp_path}/owners")
+    df.select("path").distinct().write.parquet(f"{tmp_path}/tiles")
+    made = tiles.tile_documents(
+        df, spark.read.parquet(f"{tmp_path}/tiles"), spark.read.parquet(f"{tmp_path}/owners"))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    # Features for their number, for those kept and for the text; tiles once, owners twice.
+    assert sum("Relation [" in line for line in plan.splitlines()) == 6
+    assert {r.path: r.detalle for r in made.collect()} == {"a": "features=1 nuevas=1", "b": "features=2 nuevas=1"}
+
+
 def document_rows(spark):
     rows = [("a", "ok", "pdf", 1, "es", 10, 5, False), ("b", "ok", "csv", None, "en", 20, 6, None),
             ("c", "error", "pdf", 2, "es", 0, 0, True), ("d", None, None, 2, None, 1, 1, False)]
