@@ -1,19 +1,19 @@
 """Texts to unit vectors, resumable.
 
 An encoder is a picklable object with ``encoder_id``, ``dim`` and
-``encode(list[str]) -> float array``; Spark batches and spreads the texts.
+``encode(list[str]) -> float array``; Spark batches and spreads the texts.  One that pads
+nothing may say by ``batch`` how many texts of any length it takes at once.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,33 +29,39 @@ class Encoder(Protocol):
     def encode(self, texts: list[str]) -> np.ndarray: ...
 
 
-@lru_cache(maxsize=1 << 17)
-def _hashed(word: str) -> tuple[int, int]:
-    digest = hashlib.md5(word.encode("utf-8")).hexdigest()
-    return int(digest[:8], 16), 1 if digest[8] < "8" else -1
+def _hashed(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number, sign) of every word, by its MD5."""
+    digests = b"".join([hashlib.md5(w.encode("utf-8")).digest()[:5] for w in words])
+    parts = np.frombuffer(digests, np.dtype([("number", ">u4"), ("sign", "u1")]))
+    return parts["number"].astype(np.int64), np.where(parts["sign"] < 128, 1.0, -1.0)
 
 
 class HashingEncoder:
     """Signed feature hashing of lower-case words, deterministic and model-free.
 
-    Stands in where no trained encoder is available.
+    Stands in where no trained encoder is available.  It pads nothing, so a batch has texts of
+    any length, and is large: a word that many of them hold is hashed once.
     """
 
+    batch = 4096
+
     def __init__(self, dim: int = 256):
         self.dim = dim
         self.encoder_id = f"hashing-{dim}"
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        words = [text.lower().split() for text in texts]
-        flat = pa.array(chain.from_iterable(words), pa.string()).dictionary_encode()
+        # Arrow splits at the blanks that Python's split knows; a blank text is NULL and has no words.
+        bare = pa.array([text.lower().strip() or None for text in texts], pa.string())
+        words = pc.utf8_split_whitespace(bare)
+        flat = words.flatten().dictionary_encode()
         if not len(flat):
             return np.zeros((len(texts), self.dim))
         # Each different word is hashed once; its occurrences are counted by place.
-        known = np.array([_hashed(w) for w in flat.dictionary.to_pylist()], np.int64)
+        number, sign = _hashed(flat.dictionary.to_pylist())
         place = flat.indices.to_numpy()
-        row = np.repeat(np.arange(len(texts)), [len(w) for w in words])
-        slot = row * self.dim + known[place, 0] % self.dim
-        counts = np.bincount(slot, weights=known[place, 1], minlength=len(texts) * self.dim)
+        row = np.repeat(np.arange(len(texts)), words.value_lengths().fill_null(0).to_numpy())
+        slot = row * self.dim + (number % self.dim)[place]
+        counts = np.bincount(slot, weights=sign[place], minlength=len(texts) * self.dim)
         return counts.reshape(len(texts), self.dim)
 
 
@@ -102,20 +108,24 @@ def _encode_batches(
 
 def encode_texts(
     df: DataFrame, encoder: Encoder, keys: list[str], text: str = "texto",
-    max_words: int = V.ENCODE_WORDS, tokens: str | None = None,
+    max_words: int = V.ENCODE_WORDS, tokens: str | None = None, spread: bool = True,
 ) -> DataFrame:
     """``keys`` and the unit ``vector`` of the first ``max_words`` words of ``text``.
 
     With a ``tokens`` column, short and long texts are batched apart, so that no
-    short text is padded to a long one.  Encoding costs far more than moving the
+    short text is padded to a long one; an encoder with a ``batch`` of its own needs no such
+    care.  Encoding costs far more than moving the
     texts, so they are dealt out evenly first: after a join few tasks may hold them.
+    Without ``spread`` they stay where they are, for texts that are made in the same tasks.
     The worker that encodes a text also cuts it, which is cheaper than doing it before.
     """
     long = token_bucket(tokens) == "long" if tokens else F.lit(False)
-    batch = F.when(long, V.BATCH_LONG).otherwise(V.BATCH_SHORT)
+    own = getattr(encoder, "batch", None)
+    batch = F.lit(own) if own else F.when(long, V.BATCH_LONG).otherwise(V.BATCH_SHORT)
     texts = df.select(*keys, F.col(text).alias("_text"), batch.alias("_batch"))
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _encode_batches(texts.repartition(tasks, *keys), encoder, keys, max_words)
+    if spread:
+        texts = texts.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return _encode_batches(texts, encoder, keys, max_words)
 
 
 def with_cache_key(chunks: DataFrame, encoder: Encoder) -> DataFrame:

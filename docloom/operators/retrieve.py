@@ -6,6 +6,8 @@ vectors; chunk texts are fetched for the pooled rows alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from docloom.sources.index import row_range
 
 # A pool of this many rows is a few tens of megabytes and safe to broadcast.
 _BROADCAST_POOL = 500_000
+#: A table, or what makes the rows of it that ranked rows (query_id, rank, row_id, score), at most so many, need.
+Metadata = DataFrame | Callable[[DataFrame, int], DataFrame]
 #: Folders that a read of metadata names one by one; a pool in more of them reads most of the table anyway.
 MAX_RANGES = 10_000
 
@@ -56,13 +60,18 @@ def rank_fragments(
     )
 
 
+def few(rows: DataFrame, n: int | None) -> DataFrame:
+    """At most ``n`` rows, marked for a broadcast where that is safe."""
+    return F.broadcast(rows) if n is not None and n <= _BROADCAST_POOL else rows
+
+
 def with_metadata(ranked: DataFrame, metadata: DataFrame, key: str, rows: int | None) -> DataFrame:
     """Join the few ranked rows to their metadata, from the small side when it is.
 
     Metadata in folders by ``row_range`` is read from the folders of the ranked rows alone, as long as
     they are at most MAX_RANGES; ``ranked`` should be materialised for that.
     """
-    small = F.broadcast(ranked) if rows is not None and rows <= _BROADCAST_POOL else ranked
+    small = few(ranked, rows)
     if key != "row_id" or "row_range" not in metadata.columns:
         return metadata.join(small, key)
     wanted = ranked.select(row_range(F.col("row_id")).alias("r")).where("r is not null").distinct()
@@ -73,7 +82,7 @@ def with_metadata(ranked: DataFrame, metadata: DataFrame, key: str, rows: int |
 
 
 def search(
-    queries: DataFrame, index: DataFrame, metadata: DataFrame, k: int = 10,
+    queries: DataFrame, index: DataFrame, metadata: Metadata, k: int = 10,
     max_query_bytes: int = MAX_QUERY_BYTES,
 ) -> DataFrame:
     """Metadata of the ``k`` best chunks of every query, with ``rank`` and ``score``.
@@ -82,6 +91,10 @@ def search(
     """
     ranked = top_k(queries, index, k, max_query_bytes=max_query_bytes)
     rows = queries.count() * k
+    if callable(metadata):
+        # Read for its metadata and for the join.
+        ranked = cut_lineage(ranked)
+        metadata = metadata(ranked, rows)
     if "row_id" not in metadata.columns:
         keys = index.select("row_id", "chunk_id")
         ranked = with_metadata(ranked, keys, "row_id", rows).drop("row_id")
@@ -93,7 +106,7 @@ def search(
 
 
 def answer(
-    queries: DataFrame, index: DataFrame, metadata: DataFrame, pool: int = V.POOL,
+    queries: DataFrame, index: DataFrame, metadata: Metadata, pool: int = V.POOL,
     segmenter: Segmenter = by_language,
 ) -> DataFrame:
     """(query_id, documents, fragments): the nested answer of every query, by query.

@@ -244,16 +244,27 @@ frags AS (SELECT query_id, chunk_id, doc_id, text, row_number() OVER (PARTITION
 )
 def answers(spark, folder):
     encoder = encode.HashingEncoder(DIM)
-    # Chunks are a stored table in use; here they are made once and kept the same way.
-    chunks = cut_lineage(C.chunk_documents(corpus(spark, folder)))
-    keys = with_row_id(chunks.select("chunk_id", "doc_id", "posicion"), ["doc_id", "posicion"])
-    numbered = chunks.join(keys.select("chunk_id", "row_id"), "chunk_id")
-    index = encode.encode_texts(numbered, encoder, ["row_id", "chunk_id"], tokens="num_tokens")
+    # Chunks are cut and encoded in one pass, and their texts stay where they are made: keys and vectors are
+    # kept, numbered and searched.
+    documents = corpus(spark, folder)
+    keys = ["chunk_id", "doc_id", "posicion"]
+    chunks = C.chunk_documents(documents)
+    vectors = cut_lineage(encode.encode_texts(chunks, encoder, keys, tokens="num_tokens", spread=False))
+    numbers = with_row_id(vectors.select(*keys), ["doc_id", "posicion"])
+    index = vectors.select("chunk_id", "vector").join(numbers.select("chunk_id", "row_id"), "chunk_id")
+
+    def texts(ranked, n):
+        """The ranked chunks: their documents, and no others, are cut once more."""
+        wanted = retrieve.few(ranked.select("row_id").distinct(), n)
+        near = cut_lineage(numbers.join(wanted, "row_id", "left_semi"))
+        cut = C.chunk_documents(documents.join(retrieve.few(near.select("doc_id").distinct(), n), "doc_id", "left_semi"))
+        return cut.join(retrieve.few(near.select("chunk_id", "row_id"), n), "chunk_id")
+
     asked = table(spark, folder, "benchmark").select(
         F.col("item_id").cast("string").alias("query_id"), "text"
     )
     queries = cut_lineage(encode.encode_texts(asked, encoder, ["query_id"], "text"))
-    nested = cut_lineage(retrieve.answer(queries, index, numbered))
+    nested = cut_lineage(retrieve.answer(queries, index, texts))
     documents = nested.select("query_id", F.inline("documents")).select(
         "query_id", F.lit("document").alias("kind"), "rank", "doc_id",
         F.lit(None).cast("string").alias("chunk_id"), F.lit(None).cast("string").alias("text"),

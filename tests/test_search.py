@@ -1,5 +1,7 @@
 """Vector checks, search against brute force, encoding and answers."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from docloom.functions import vectors as VX
 from docloom.operators import encode, retrieve, search
 from docloom.operators.row_ids import with_row_id
+from docloom.plans import search_queries as S
 
 
 def unit_rows(n, dim, seed=0):
@@ -103,6 +106,72 @@ def test_encoder(spark):
     assert np.array_equal(again, rows[3]) and rows[2][0] == 1
 
 
+def test_hashing_splits_and_hashes_like_plain_python():
+    texts = ["a\x1cB\x85c\u3000\u2003d a", "\xa0 \u2003", "", "İx ΑΣ e\u0301\u200be", "".join(f"w{i}{chr(b)}" for i, b in enumerate(
+        b for b in range(0x3001) if chr(b).isspace()))]
+    wanted = np.zeros((len(texts), 16))
+    for i, text in enumerate(texts):
+        for word in text.lower().split():
+            digest = hashlib.md5(word.encode()).hexdigest()
+            wanted[i, int(digest[:8], 16) % 16] += 1 if digest[8] < "8" else -1
+    assert np.array_equal(encode.HashingEncoder(16).encode(texts), wanted)
+    assert np.array_equal(encode.HashingEncoder(16).encode(["", " "]), np.zeros((2, 16)))
+
+
+def test_an_encoder_may_name_its_batch(spark):
+    class Counting:
+        encoder_id, dim = "counting", 2
+
+        def encode(self, texts):
+            return np.tile([1.0, len(texts)], (len(texts), 1))
+
+    class AtOnce(Counting):
+        batch = 1000
+
+    df = spark.range(100).select("id", F.lit("a b").alias("texto"), F.when(F.col("id") < 50, 9).otherwise(1600).alias("n")).coalesce(1)
+
+    def sizes(encoder):
+        rows = encode.encode_texts(df, encoder, ["id"], tokens="n", spread=False).collect()
+        return {round(r.vector[1] / r.vector[0]) for r in rows}
+
+    assert sizes(AtOnce()) == {100} and sizes(Counting()) == {48, 2, 32, 18}
+
+
+def test_texts_stay_where_they_are_without_spread(spark):
+    df = spark.range(10).select("id", F.lit("a b").alias("texto"))
+    plans = [encode.encode_texts(df, encode.HashingEncoder(8), ["id"], spread=s)._jdf.queryExecution().executedPlan().toString()
+             for s in (True, False)]
+    assert ["Exchange" in p for p in plans] == [True, False]
+
+
+def test_answers_shuffle_no_texts(spark, tmp_path, monkeypatch):
+    rows = [(i, f"word{i} river{i % 7}. Night boat.\t{'calm ' * (i % 5)}", "en", "s") for i in range(300)]
+    rows[7:9] = [(7, None, "en", "s"), (8, " ", None, "s")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    asked = [(1, "word11 river4"), (2, "word250 night")]
+    spark.createDataFrame(asked, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    cut, given, chunk, answer = [], [], S.C.chunk_documents, retrieve.answer
+
+    def spied_chunk(documents, *rest, **options):
+        cut.append(documents.count())
+        return chunk(documents, *rest, **options)
+
+    def spied_answer(queries, index, metadata, *rest):
+        given.append(index)
+        return answer(queries, index, metadata, *rest)
+
+    monkeypatch.setattr(S.C, "chunk_documents", spied_chunk)
+    monkeypatch.setattr(retrieve, "answer", spied_answer)
+    found = S.answers(spark, str(tmp_path)).collect()
+    # The index holds keys and vectors only; the documents of the pools alone are cut a second time.
+    assert "texto" not in given[0]._jdf.queryExecution().analyzed().toString()
+    assert cut[0] == 300 and len(cut) == 2 and 30 <= cut[1] <= 60
+    first = {(r.query_id, r.kind): (r.doc_id, r.text) for r in found if r["rank"] == 1}
+    assert first["1", "document"][0] == "11"
+    assert first["1", "fragment"] == ("11", "word11 river4. Night boat. calm")
+    assert len(found) == 2 * (3 + 10)
+
+
 def test_encode_missing_follows_text_and_encoder(spark):
     enc = encode.HashingEncoder(16)
     chunks = spark.createDataFrame([("a", "one", 1), ("b", "two", 1)], "chunk_id string, texto string, num_tokens bigint")
