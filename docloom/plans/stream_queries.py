@@ -49,7 +49,7 @@ def language_sample(spark, folder):
 @query(
     "language_id",
     f"""WITH g AS (SELECT lang AS idioma, unnest(list_transform(range(1, greatest(length(text) - 1, 2)), lambda i: substr(lower(text), i, 3))) AS gram
-        FROM documents WHERE substr(md5(doc_id::VARCHAR), 1, 1) < '8'),
+        FROM documents),
     c AS (SELECT idioma, gram, count(*) AS n FROM g GROUP BY ALL),
     t AS (SELECT idioma, sum(n) + 2000 AS total FROM c GROUP BY idioma),
     p AS (SELECT idioma, gram, ln((n + 1) / total) AS lp FROM c JOIN t USING (idioma)),
@@ -61,9 +61,8 @@ def language_sample(spark, folder):
     SELECT doc_id, CASE WHEN prob >= 0.6 THEN best ELSE '{V.UNKNOWN}' END AS idioma FROM documents LEFT JOIN r USING (doc_id)""",
 )
 def language_id(spark, folder):
-    # Learned from one half of the documents, by a hash of the id; both halves are labelled.
-    known = corpus(spark, folder).where(F.substring(F.md5(F.col("doc_id").cast("binary")), 1, 1) < "8")
-    detect = trigram_detector(trigram_profiles(known))
+    # Learned from every document that has a language; every document is given one.
+    detect = trigram_detector(trigram_profiles(corpus(spark, folder)))
     return table(spark, folder, "documents").select(
         "doc_id", detect(F.col("text")).alias("idioma")
     )

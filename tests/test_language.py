@@ -83,3 +83,68 @@ def test_no_task_meets_all_texts_of_a_language(spark):
     windows = [x for x in plan.splitlines() if " Window [" in x]
     assert windows and all("_text" not in x or "_hash" in x.split("], [")[1] for x in windows)
     assert not any("row_number" in x for x in windows)
+
+
+def test_profiles_count_all_labelled_rows(spark):
+    # More rows than a profile once was learned from.
+    labelled = spark.range(20_300).selectExpr("if(id < 20200, 'en', 'es') AS idioma", "string(id + 10000) AS texto")
+    totals = {r.idioma: r.total for r in L.trigram_profiles(labelled).select("idioma", "total").distinct().collect()}
+    assert totals == {"en": 3 * 20_200, "es": 3 * 100}
+
+
+def test_the_query_learns_from_every_document(spark, tmp_path):
+    import hashlib
+
+    import duckdb
+
+    from docloom.plans import catalogue
+
+    ids = sorted(range(400), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    # By this order of ids one language stands in the second half alone.
+    rows = [(i, WORDS["en"] * 2 if k < 300 else WORDS["es"] * 2, "en" if k < 300 else "es", "s") for k, i in enumerate(ids)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, catalogue.QUERIES["language_id"](spark, str(tmp_path)).collect()))
+    assert got == sorted((i, lang) for i, _, lang, _ in rows)
+    with duckdb.connect() as con:
+        con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert got == sorted(con.sql(catalogue.SQL["language_id"]).fetchall())
+
+
+def test_counts_of_texts_in_pieces_and_of_many_grams(monkeypatch):
+    from collections import Counter
+
+    import pyarrow as pa
+
+    rows = [
+        ("en", 1, "a long text, in many pieces, in many pieces"), ("es", 2, "otro texto \U0001f600\U0001f601\U0001f602 con ñ"),
+        ("en", 1, "ab"), ("en", 1, "ab\0"), ("en", 1, ""), ("es", 1, None), ("en", 3, "in many pieces"),
+    ]
+    want = Counter()
+    for lang, times, text in rows:
+        for i in range(max(len(text) - 2, 1) if text is not None else 0):
+            want[lang, text[i : i + 3]] += times
+    batches = [pa.RecordBatch.from_pylist([dict(zip("abc", r, strict=True)) for r in rows[i : i + 3]]) for i in (0, 3, 6)]
+    for chars, held in ((1 << 21, 1 << 20), (5, 1 << 20), (5, 7), (1, 1)):
+        monkeypatch.setattr(L, "_CHARS_AT_ONCE", chars)
+        monkeypatch.setattr(L, "_GRAMS_HELD", held)
+        got = Counter()
+        for b in L._count(iter(batches)):
+            for r in b.to_pylist():
+                got[r["idioma"], r["gram"]] += r["n"]
+        assert got == want
+
+
+def test_numbers_of_grams_are_alike_in_tables_and_texts(spark):
+    grams = ["abc", "ñü€", "\U0001f600a\U0001f601", "ab", "", "ab\0", "\0\0\0", "語彙集"]
+    df = spark.createDataFrame(list(enumerate(grams)), "i int, gram string").select("i", L._code("gram").alias("code"))
+    codes = [r.code for r in df.sort("i").collect()]
+    assert codes == [int(L._codes(g)[0]) for g in grams] and len(set(codes)) == len(grams)
+    assert L._grams(__import__("numpy").array(codes, "uint64")) == grams
+
+
+def test_without_a_labelled_text_everything_is_unknown(spark, apply):
+    from pyspark.sql import functions as F
+
+    labelled = spark.createDataFrame([(None, "a text without a label"), ("en", None)], "idioma string, texto string")
+    detect = L.trigram_detector(L.trigram_profiles(labelled))
+    assert apply(lambda c: detect(F.col(c)), ["a text of more than thirty characters", None]) == [V.UNKNOWN, V.UNKNOWN]
